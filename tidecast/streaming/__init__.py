@@ -1,0 +1,8 @@
+"""Streaming.
+
+The modelled workload is batch only: feature sets, model fits and forecast
+combination all run over complete weekly tables. There is no watermark,
+event-time window or keyed state to re-express, so this package holds no
+operators. Incremental refresh is done by re-running the batch plans for the
+affected horizons (they are partitioned by ``version``/``horizon``).
+"""
