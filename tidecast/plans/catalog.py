@@ -62,3 +62,7 @@ register("features_h10", lambda: O.features_sql(4, 10))(_features(4, 10))
 @register("features_all_horizons", lambda: O.features_all_horizons_sql(3))
 def features_all_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(build_all_horizons(tables(spark, sf_dir), 3))
+
+
+# Query modules register themselves on import.
+from tidecast.plans import eda_queries  # noqa: E402,F401

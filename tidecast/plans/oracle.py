@@ -21,22 +21,24 @@ _MARKDOWNS = ",\n".join(
     for i in range(1, 6)
 )
 
-FIXTURE_CTES = f"""
-sales_all AS (
-  SELECT s_nationkey AS store, CAST(substr(p_brand, 7) AS INTEGER) AS dept,
+SALES_ALL_SQL = """SELECT s_nationkey AS store, CAST(substr(p_brand, 7) AS INTEGER) AS dept,
          CAST(date_trunc('week', l_shipdate) AS DATE) AS dt,
          CAST(SUM(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS sales
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
-  GROUP BY 1, 2, 3
-),
-history AS (SELECT * FROM sales_all WHERE dt < DATE '{CUTOFF}'),
-future AS (SELECT store, dept, dt FROM sales_all WHERE dt >= DATE '{CUTOFF}'),
-stores AS (
-  SELECT s_nationkey AS store,
+  GROUP BY 1, 2, 3"""
+
+HISTORY_SQL = f"SELECT * FROM ({SALES_ALL_SQL}) WHERE dt < DATE '{CUTOFF}'"
+
+STORES_SQL = """SELECT s_nationkey AS store,
          MIN(CASE WHEN n_regionkey <= 1 THEN 'A' WHEN n_regionkey <= 3 THEN 'B' ELSE 'C' END) AS type,
          CAST(1000 + 10000 * COUNT(*) + 100 * s_nationkey AS DOUBLE) AS size
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY s_nationkey
-),
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY s_nationkey"""
+
+FIXTURE_CTES = f"""
+sales_all AS ({SALES_ALL_SQL}),
+history AS (SELECT * FROM sales_all WHERE dt < DATE '{CUTOFF}'),
+future AS (SELECT store, dept, dt FROM sales_all WHERE dt >= DATE '{CUTOFF}'),
+stores AS ({STORES_SQL}),
 context AS (
   SELECT store, dt, CAST(COUNT(*) AS DOUBLE) AS temperature, MIN(o_totalprice) AS fuel_price,
 {_MARKDOWNS},
