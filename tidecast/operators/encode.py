@@ -41,7 +41,8 @@ def label_encode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None =
     for c in cols:
         m = fit_codes(src, c, max_levels)
         maps[c] = m
-        out = out.join(F.broadcast(m.withColumnRenamed("value", c)), c, "left").drop(c).withColumnRenamed("code", c)
+        b = F.broadcast(m)
+        out = out.join(b, out[c].eqNullSafe(b["value"]), "left").drop(c, "value").withColumnRenamed("code", c)
     return out.select(*df.columns), maps
 
 
@@ -49,7 +50,8 @@ def label_decode(df: DataFrame, maps: dict[str, DataFrame]) -> DataFrame:
     """Inverse of :func:`label_encode` (M2)."""
     out = df
     for c, m in maps.items():
-        out = out.join(F.broadcast(m.withColumnRenamed("code", c)), c, "left").drop(c).withColumnRenamed("value", c)
+        b = F.broadcast(m)
+        out = out.join(b, out[c].eqNullSafe(b["code"]), "left").drop(c, "code").withColumnRenamed("value", c)
     return out.select(*df.columns)
 
 

@@ -26,6 +26,10 @@ HORIZONS = tuple(range(1, 11))        # forecast horizons in months
 
 START = FIRST_WEEK + dt.timedelta(days=WARMUP_DAYS)
 
+# The future holiday week (ISO week 36) and the week after it,
+# the pair the date post-processing (scale / redistribute) acts on.
+POST_WEEKS = (dt.date(2001, 9, 3), dt.date(2001, 9, 10))
+
 
 def end_date(horizon: int) -> dt.date:
     """Last future date visible to the feature set of ``horizon``."""
