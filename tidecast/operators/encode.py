@@ -61,9 +61,10 @@ def column_means(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
 
 
 def impute_mean(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Fill NULLs with the training mean in both frames."""
+    """Fill NULLs with the training mean in both frames (A19, M4); a column
+    with no training value at all is filled with 0."""
     means = column_means(train, cols)
-    fill = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in means.items()}
+    fill = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0 if m is None else m)) for c, m in means.items()}
     return train.withColumns(fill), test.withColumns(fill)
 
 

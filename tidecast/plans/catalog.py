@@ -65,4 +65,4 @@ def features_all_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Query modules register themselves on import.
-from tidecast.plans import eda_queries, forecast_queries  # noqa: E402,F401
+from tidecast.plans import eda_queries, forecast_queries, model_queries  # noqa: E402,F401
