@@ -28,6 +28,20 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return df
 
 
+# Byte budget for a broadcast side whose size is bounded before execution.
+BROADCAST_MAX_BYTES = 128 * 1024 * 1024
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows_bound: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` when an upper bound of its row count, times an
+    estimated row width, fits the byte budget; otherwise leave the join to
+    sort-merge (where AQE can still split skewed partitions)."""
+    width = 16 + 8 * len(df.columns)
+    if max_rows_bound * width <= max_bytes:
+        return F.broadcast(df)
+    return df
+
+
 def union_panel(history: DataFrame, future: DataFrame, end: dt.date | None = None,
                 label: str = "sales") -> DataFrame:
     """History UNION ALL future-with-NULL-label; the horizon cut applies to the

@@ -41,7 +41,9 @@ def oracle_sql() -> dict[str, str]:
 
 
 def tables(spark: SparkSession, sf_dir: str):
-    return load_panel_tables(spark, sf_dir)
+    """Derived panel tables, materialised once per session (see
+    :func:`tidecast.sources.fixtures.load_panel_tables`)."""
+    return load_panel_tables(spark, sf_dir, materialize=True)
 
 
 # --- feature sets (M12) -----------------------------------------------------

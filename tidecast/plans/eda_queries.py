@@ -51,7 +51,7 @@ _CTX_SQL = ", ".join(
 
 @register("normalize_na", W() + f"SELECT store, dt, {_CTX_SQL}, is_holiday FROM context")
 def normalize_na_q(spark: SparkSession, d: str) -> DataFrame:
-    return R(normalize_na(fx.context(spark, d)).select(*_CTX))
+    return R(normalize_na(tables(spark, d).context).select(*_CTX))
 
 
 @register("csv_roundtrip", W() + f"SELECT store, dt, {_CTX_SQL}, is_holiday FROM context")
@@ -59,7 +59,7 @@ def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Context written as CSV with literal 'NA' cells, read back with an
     explicit schema that maps 'NA' to NULL (S2, S7)."""
     path = scratch_path(spark, "context-csv")
-    write_csv(fx.context(spark, d).select(*_CTX), path)
+    write_csv(tables(spark, d).context.select(*_CTX), path)
     schema = ("store int, dt date, temperature double, fuel_price double, "
               + ", ".join(f"{c} double" for c in NA_COLUMNS) + ", is_holiday boolean")
     return R(read_csv(spark, path, schema))
@@ -114,7 +114,7 @@ def split_label_q(spark: SparkSession, d: str) -> DataFrame:
 @register("series_id", W() + "SELECT store, dept, dt, concat_ws('_', store, dept) AS id, "
           "concat_ws('_', store, dept, dt) AS row_id FROM history")
 def series_id_q(spark: SparkSession, d: str) -> DataFrame:
-    h = fx.history(spark, d)
+    h = tables(spark, d).history
     return h.select("store", "dept", "dt", series_id("store", "dept").alias("id"),
                     series_id("store", "dept", "dt").alias("row_id"))
 
@@ -146,7 +146,7 @@ def join_context(spark: SparkSession, d: str) -> DataFrame:
 
 @register("daily_mean", W() + f"SELECT dt, {cents('AVG(sales)')} AS mean_sales FROM history GROUP BY dt")
 def daily_mean(spark: SparkSession, d: str) -> DataFrame:
-    return R(stats.group_mean(fx.history(spark, d), ["dt"], ["sales"]))
+    return R(stats.group_mean(tables(spark, d).history, ["dt"], ["sales"]))
 
 
 @register("context_trend", W(_bd(10)) + f"SELECT dt, {cents('AVG(cpi)')} AS mean_cpi, "
@@ -160,24 +160,24 @@ def context_trend(spark: SparkSession, d: str) -> DataFrame:
           f"CAST(weekofyear(dt) AS INTEGER) AS weekofyear, {cents('AVG(sales)')} AS mean_sales "
           f"FROM history GROUP BY 1, 2")
 def yoy_week_mean(spark: SparkSession, d: str) -> DataFrame:
-    return R(stats.yoy_week_mean(fx.history(spark, d)))
+    return R(stats.yoy_week_mean(tables(spark, d).history))
 
 
 @register("series_length", W() + "SELECT store, dept, COUNT(dt) AS n_weeks FROM history GROUP BY store, dept")
 def series_length(spark: SparkSession, d: str) -> DataFrame:
-    return stats.series_length(fx.history(spark, d))
+    return stats.series_length(tables(spark, d).history)
 
 
 @register("sparse_series", W() + "SELECT store, dept, COUNT(dt) AS n_weeks FROM history GROUP BY store, dept "
           "HAVING COUNT(dt) < 20")
 def sparse_series(spark: SparkSession, d: str) -> DataFrame:
-    return stats.sparse_series(fx.history(spark, d))
+    return stats.sparse_series(tables(spark, d).history)
 
 
 @register("filter_series", W() + f"""SELECT h.store, h.dept, h.dt, {cents('h.sales')} AS sales FROM history h
 WHERE (h.store, h.dept) IN (SELECT store, dept FROM history GROUP BY store, dept HAVING COUNT(dt) < 20)""")
 def filter_series(spark: SparkSession, d: str) -> DataFrame:
-    h = fx.history(spark, d)
+    h = tables(spark, d).history
     return R(stats.rows_of(h, stats.sparse_series(h)))
 
 
@@ -191,20 +191,20 @@ _HIST_SQL = W("len AS (SELECT store, dept, COUNT(dt) AS n_weeks FROM history GRO
 
 @register("length_histogram", _HIST_SQL)
 def length_histogram(spark: SparkSession, d: str) -> DataFrame:
-    return stats.histogram(stats.series_length(fx.history(spark, d)), "n_weeks", 10)
+    return stats.histogram(stats.series_length(tables(spark, d).history), "n_weeks", 10)
 
 
 @register("distinct_counts", W() + """SELECT COUNT(DISTINCT store) AS n_store, COUNT(DISTINCT dept) AS n_dept,
   (SELECT COUNT(*) FROM (SELECT DISTINCT store, dept FROM history)) AS n_store_dept FROM history""")
 def distinct_counts(spark: SparkSession, d: str) -> DataFrame:
-    return stats.distinct_counts(fx.history(spark, d), ["store", "dept", ("store", "dept")])
+    return stats.distinct_counts(tables(spark, d).history, ["store", "dept", ("store", "dept")])
 
 
 @register("date_span", W() + """SELECT 'train' AS part, MIN(dt) AS first_dt, MAX(dt) AS last_dt, COUNT(dt) AS n_rows
 FROM history UNION ALL SELECT 'test', MIN(dt), MAX(dt), COUNT(dt) FROM future""")
 def date_span(spark: SparkSession, d: str) -> DataFrame:
-    a = stats.date_span(fx.history(spark, d)).select(F.lit("train").alias("part"), "*")
-    b = stats.date_span(fx.future(spark, d)).select(F.lit("test").alias("part"), "*")
+    a = stats.date_span(tables(spark, d).history).select(F.lit("train").alias("part"), "*")
+    b = stats.date_span(tables(spark, d).future).select(F.lit("test").alias("part"), "*")
     return a.unionByName(b)
 
 
@@ -217,12 +217,12 @@ def _pivot_sql(src: str, col: str, value: str) -> str:
 
 @register("pivot_dept", _pivot_sql(f"SELECT dt, dept, sales FROM ({HISTORY_SQL})", "dept", "sales"))
 def pivot_dept(spark: SparkSession, d: str) -> DataFrame:
-    return R(stats.pivot_sum(fx.history(spark, d), "dt", "dept", "sales"))
+    return R(stats.pivot_sum(tables(spark, d).history, "dt", "dept", "sales"))
 
 
 @register("pivot_store", _pivot_sql(f"SELECT dt, store, sales FROM ({HISTORY_SQL})", "store", "sales"))
 def pivot_store(spark: SparkSession, d: str) -> DataFrame:
-    return R(stats.pivot_sum(fx.history(spark, d), "dt", "store", "sales"))
+    return R(stats.pivot_sum(tables(spark, d).history, "dt", "store", "sales"))
 
 
 @register("pivot_store_norm", _pivot_sql(f"SELECT dt, store, sales / size AS norm_sales FROM ({HISTORY_SQL}) "
@@ -243,7 +243,7 @@ _SEASON = ("CAST(month(dt) AS INTEGER) AS month, "
           f"SELECT dt, {cents('SUM(sales)')} AS sum_sales, {cents('SUM(fitted)')} AS sum_fitted "
           "FROM h LEFT JOIN m USING (store, dept, month, week) GROUP BY dt")
 def fit_overlay_q(spark: SparkSession, d: str) -> DataFrame:
-    return R(fit_overlay(fitted_history(fx.history(spark, d))))
+    return R(fit_overlay(fitted_history(tables(spark, d).history)))
 
 
 @register("hier_rollup", W(f"h AS (SELECT *, {_SEASON} FROM history)") + f"""SELECT
@@ -252,7 +252,7 @@ def fit_overlay_q(spark: SparkSession, d: str) -> DataFrame:
   store, dept, month, week, {cents('AVG(sales)')} AS mean
 FROM h GROUP BY GROUPING SETS ((store, dept, month, week), (store, dept, month), (store, dept), (store))""")
 def hier_rollup(spark: SparkSession, d: str) -> DataFrame:
-    return R(hier_means(fx.history(spark, d)))
+    return R(hier_means(tables(spark, d).history))
 
 
 _HIER_JOIN = [
@@ -288,7 +288,7 @@ def holiday_calendar(spark: SparkSession, d: str) -> DataFrame:
           "GROUP BY store, dept ORDER BY AVG(sales) DESC, store, dept LIMIT 50")
 def top_series(spark: SparkSession, d: str) -> DataFrame:
     """Top-50 report (the limit is the operator)."""
-    m = fx.history(spark, d).groupBy("store", "dept").agg(F.avg("sales").alias("mean_sales"))
+    m = tables(spark, d).history.groupBy("store", "dept").agg(F.avg("sales").alias("mean_sales"))
     return R(stats.top_k(m, "mean_sales", 50, ["store", "dept"]))
 
 
@@ -296,7 +296,7 @@ def top_series(spark: SparkSession, d: str) -> DataFrame:
           "ORDER BY store, dept, dt LIMIT 5")
 def head_history(spark: SparkSession, d: str) -> DataFrame:
     """First five rows in key order (the limit is the operator)."""
-    return R(fx.history(spark, d).orderBy("store", "dept", "dt").limit(5))
+    return R(tables(spark, d).history.orderBy("store", "dept", "dt").limit(5))
 
 
 @register("overlap_store", W() + """SELECT

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.cols import NA_COLUMNS
-from tidecast.operators.joins import enrich, union_panel
+from tidecast.operators.joins import bounded_broadcast, broadcast_if_bounded, enrich, union_panel
 from tidecast.operators.windows import (
     LEVELS,
     OPS,
@@ -115,6 +115,24 @@ def base_data(tables: PanelTables, horizon: int, version: int = 1) -> DataFrame:
     return df.withColumn("unixtime", F.col("day_num").cast("long") * F.lit(86400))
 
 
+def rollup_source(tables: PanelTables, horizon: int, version: int) -> DataFrame:
+    """The columns the coarse-level rollups need: the panel, plus the store
+    size when the size-normalised label is used (no context join)."""
+    panel = union_panel(tables.history, tables.future, end_date(horizon))
+    if version >= 4:
+        panel = panel.join(bounded_broadcast(tables.stores.select("store", "size")), "store", "left").withColumn(
+            "norm_sales", F.try_divide(F.col("sales"), F.col("size")))
+    return panel
+
+
+def rollup_row_bounds(panel: DataFrame) -> dict[tuple[str, ...], int]:
+    """Upper bounds of the rollup table sizes: distinct keys x distinct
+    dates, from one aggregation pass over the panel."""
+    n_store, n_dept, n_dt = panel.agg(F.count_distinct("store"), F.count_distinct("dept"),
+                                      F.count_distinct("dt")).first()
+    return {("store",): n_store * n_dt, ("dept",): n_dept * n_dt}
+
+
 def _series_columns(version: int, base: int, suffix: str = "") -> dict[str, Column]:
     cols = {}
     for value in values_for(version):
@@ -127,18 +145,21 @@ def _series_columns(version: int, base: int, suffix: str = "") -> dict[str, Colu
     return cols
 
 
-def _with_windows(df: DataFrame, version: int, bases: dict[str, int]) -> DataFrame:
-    """Series-level windows in place (one partitioning per spec) and the
-    coarse levels through pre-aggregated rollups joined back on (key, dt)."""
+def _with_windows(df: DataFrame, src: DataFrame, version: int, bases: dict[str, int]) -> DataFrame:
+    """Series-level windows in place (one shuffle by series serves every
+    spec) and the coarse levels through pre-aggregated rollups of ``src``
+    joined back on (key, dt); a rollup is broadcast when its proven size
+    bound fits, else the join is a sort-merge join."""
     cols = {}
     for suffix, base in bases.items():
         cols.update(_series_columns(version, base, suffix))
     out = df.withColumns(cols)
+    bounds = rollup_row_bounds(src)
     for keys in LEVELS:
         if keys == SERIES:
             continue
-        feats = rollup_windows(df, values_for(version), keys, bases)
-        out = out.join(feats, [*keys, "dt"], "left")
+        feats = rollup_windows(src, values_for(version), keys, bases)
+        out = out.join(broadcast_if_bounded(feats, bounds[keys]), [*keys, "dt"], "left")
     return out
 
 
@@ -152,7 +173,7 @@ def _with_diffs(df: DataFrame) -> DataFrame:
 def build_features(tables: PanelTables, version: int, horizon: int, start: dt.date = START) -> DataFrame:
     """Feature set of ``version`` for forecasting ``horizon`` months ahead."""
     df = base_data(tables, horizon, version)
-    out = _with_windows(df, version, {"": MONTH_DAYS * horizon})
+    out = _with_windows(df, rollup_source(tables, horizon, version), version, {"": MONTH_DAYS * horizon})
     if version >= 3:
         out = _with_diffs(out)
     out = out.where(F.col("dt") >= F.lit(start))
@@ -165,7 +186,7 @@ def build_all_horizons(tables: PanelTables, version: int, horizons: Iterable[int
     horizons = list(horizons)
     df = base_data(tables, max(horizons), version)
     bases = {f"__h{h}": MONTH_DAYS * h for h in horizons}
-    wide = _with_windows(df, version, bases)
+    wide = _with_windows(df, rollup_source(tables, max(horizons), version), version, bases)
     per_h = [c for c in window_columns(version) if c not in diff_columns()]
     base_cols = [c for c in output_columns(version) if c not in window_columns(version)]
     slices = F.array(

@@ -113,7 +113,7 @@ def seasonal_first(spark: SparkSession, d: str) -> DataFrame:
   LEAD(CAST(month(dt) AS INTEGER)) OVER w AS month_lead1, LAG(CAST(month(dt) AS INTEGER)) OVER w AS month_lag1
 FROM history WINDOW w AS (PARTITION BY store, dept ORDER BY dt)""")
 def lead_lag_q(spark: SparkSession, d: str) -> DataFrame:
-    h = fx.history(spark, d).withColumn("month", F.month("dt"))
+    h = tables(spark, d).history.withColumn("month", F.month("dt"))
     out = lead_lag(h, ["sales", "month"])
     return R(out.select(*KEY, "sales", "sales_lead1", "sales_lag1", "month_lead1", "month_lag1"))
 
@@ -244,7 +244,7 @@ def blend_models(spark: SparkSession, d: str) -> DataFrame:
 def rolling2(spark: SparkSession, d: str) -> DataFrame:
     """History stacked with the combined forecast, 2-row rolling mean with
     fallback, forecast weeks kept (W8, U2, P11)."""
-    hist = fx.history(spark, d).select(*KEY, "sales")
+    hist = tables(spark, d).history.select(*KEY, "sales")
     fc = _hmean(spark, d).select(*KEY, F.col("pred").alias("sales"))
     out = rolling_mean(hist.unionByName(fc), "sales")
     return R(out.where(F.col("dt") >= F.lit(fx.CUTOFF)).select(*KEY, "sales_rolling_mean"))

@@ -136,11 +136,47 @@ class PanelTables:
     context: DataFrame
 
 
-def load_panel_tables(spark: SparkSession, sf_dir: str) -> PanelTables:
-    """The four input tables of the feature plans."""
+_MATERIALIZED: dict = {}
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    from tidecast.session import ensure_checkpoint_dir
+
+    return ensure_checkpoint_dir(spark).rstrip("/")
+
+
+def load_panel_tables(spark: SparkSession, sf_dir: str, materialize: bool = False) -> PanelTables:
+    """The four input tables of the feature plans.
+
+    With ``materialize`` the derived tables are written once per session as
+    Parquet under the shared checkpoint folder and read back: every later
+    plan starts from the small weekly panel instead of re-deriving it from
+    the raw line items (one raw scan instead of one per branch), lineage is
+    cut at that point, and the reads get column pruning and pushed-down
+    date filters.
+    """
+    if not materialize:
+        return PanelTables(
+            history=history(spark, sf_dir),
+            future=future(spark, sf_dir),
+            stores=stores(spark, sf_dir),
+            context=context(spark, sf_dir),
+        )
+    key = (id(spark.sparkContext), sf_dir)
+    paths = _MATERIALIZED.get(key)
+    if paths is None:
+        import uuid
+
+        root = f"{_shared_folder(spark)}/panel-{uuid.uuid4().hex[:12]}"
+        paths = {}
+        for name, fn in (("sales_all", sales_all), ("stores", stores), ("context", context)):
+            paths[name] = f"{root}/{name}"
+            fn(spark, sf_dir).write.mode("overwrite").parquet(paths[name])
+        _MATERIALIZED[key] = paths
+    sales = spark.read.parquet(paths["sales_all"])
     return PanelTables(
-        history=history(spark, sf_dir),
-        future=future(spark, sf_dir),
-        stores=stores(spark, sf_dir),
-        context=context(spark, sf_dir),
+        history=sales.where(F.col("dt") < F.lit(CUTOFF)),
+        future=sales.where(F.col("dt") >= F.lit(CUTOFF)).select("store", "dept", "dt"),
+        stores=spark.read.parquet(paths["stores"]),
+        context=spark.read.parquet(paths["context"]),
     )
