@@ -130,6 +130,11 @@ def horizon_first(preds: DataFrame, pred: str = "pred") -> DataFrame:
     return p.groupBy(*KEY).agg(F.min_by(pred, "horizon").alias("pred"), F.min("horizon").alias("horizon"))
 
 
+def columns_like(df: DataFrame, token: str) -> list[str]:
+    """Columns whose name contains ``token`` (P14), e.g. every fold prediction."""
+    return [c for c in df.columns if token in c]
+
+
 def row_mean(cols: Sequence[str]) -> Column:
     """Row-wise mean skipping NULLs; NULL when all are NULL."""
     n = sum((F.col(c).isNotNull().cast("int") for c in cols), F.lit(0))

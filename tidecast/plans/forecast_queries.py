@@ -292,7 +292,8 @@ _ROWMEAN = ("CASE WHEN (pred_fold0 IS NOT NULL)::INT + (pred_fold1 IS NOT NULL):
           f"{cents(_ROWMEAN)} AS pred FROM fp")
 def fold_mean(spark: SparkSession, d: str) -> DataFrame:
     f = _fold_frame(spark, d)
-    return R(f.select(*KEY, *_PRED_COLS, C.row_mean(_PRED_COLS).alias("pred")))
+    preds = C.columns_like(f, "pred_fold")
+    return R(f.select(*KEY, *preds, C.row_mean(preds).alias("pred")))
 
 
 _LONG = "lg AS (" + " UNION ALL ".join(
