@@ -181,9 +181,22 @@ def build_features(tables: PanelTables, version: int, horizon: int, start: dt.da
 
 
 def build_all_horizons(tables: PanelTables, version: int, horizons: Iterable[int] = HORIZONS,
-                       start: dt.date = START) -> DataFrame:
-    """Long feature table with a ``horizon`` column, all horizons in one pass."""
+                       start: dt.date = START, method: str = "onepass") -> DataFrame:
+    """Long feature table with a ``horizon`` column.
+
+    ``onepass`` (default) evaluates every horizon's frames after one shuffle
+    of the widest panel; ``direct`` unions the per-horizon plans (one
+    shuffle per horizon), kept as the plain form to compare against.
+    """
     horizons = list(horizons)
+    if method == "direct":
+        parts = [build_features(tables, version, h, start).withColumn("horizon", F.lit(h)) for h in horizons]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    if method != "onepass":
+        raise ValueError(method)
     df = base_data(tables, max(horizons), version)
     bases = {f"__h{h}": MONTH_DAYS * h for h in horizons}
     wide = _with_windows(df, rollup_source(tables, max(horizons), version), version, bases)
@@ -198,3 +211,12 @@ def build_all_horizons(tables: PanelTables, version: int, horizons: Iterable[int
     if version >= 3:
         long = _with_diffs(long)
     return long.select(*output_columns(version), "horizon")
+
+
+def write_feature_store(tables: PanelTables, path: str, versions: Iterable[int] = VERSIONS,
+                        horizons: Iterable[int] = HORIZONS) -> None:
+    """Every version x horizon feature set under one dataset partitioned by
+    (version, horizon), one job per version (S3, M12)."""
+    for i, v in enumerate(versions):
+        df = build_all_horizons(tables, v, horizons).withColumn("version", F.lit(v))
+        df.write.mode("overwrite" if i == 0 else "append").partitionBy("version", "horizon").parquet(path)

@@ -197,3 +197,19 @@ def fold_average(test_preds: DataFrame) -> DataFrame:
 def load_models(paths: dict[int, str], kind: str = "gbt") -> dict:
     cls = GBTRegressionModel if kind == "gbt" else LinearRegressionModel
     return {fold: cls.load(p) for fold, p in paths.items()}
+
+
+def forecast_horizons(tables, version: int, kind: str = "gbt", horizons=None, **params) -> DataFrame:
+    """Per-horizon CV fits (one feature set and one 3-fold fit per horizon, as
+    the training drivers run them) and the long forecast table
+    (store, dept, dt, horizon, pred) that the combination operators take."""
+    from tidecast.plans.features import build_features
+    from tidecast.sources.fixtures import HORIZONS
+
+    out = None
+    for h in horizons or HORIZONS:
+        feats = build_features(tables, version, h)
+        res = fit_gbt_cv(feats, version, **params) if kind == "gbt" else fit_ridge_cv(feats, version, **params)
+        part = fold_average(res.test).select(*KEY, F.lit(h).alias("horizon"), "pred")
+        out = part if out is None else out.unionByName(part)
+    return out

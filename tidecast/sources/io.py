@@ -45,9 +45,12 @@ def write_features(df: DataFrame, path: str) -> None:
 
 
 def read_features(spark: SparkSession, path: str, version: int, horizon: int) -> DataFrame:
-    """One feature set; the predicate prunes partitions."""
+    """One feature set (S4).  Only the version's folder is listed, so its own
+    schema applies (versions differ in columns); the horizon predicate
+    prunes partitions inside it."""
     return (
-        spark.read.parquet(path)
+        spark.read.option("basePath", path)
+        .parquet(f"{path}/version={version}")
         .where((F.col("version") == version) & (F.col("horizon") == horizon))
         .drop("version", "horizon")
     )
