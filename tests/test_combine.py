@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tidecast.operators import combine as C
 
 D = dt.date(2001, 3, 5)

@@ -1,5 +1,4 @@
 import datetime as dt
-import math
 
 from tidecast.operators.encode import fit_codes, impute_mean, label_decode, label_encode, standardize
 from tidecast.operators.folds import holdout_folds

@@ -1,7 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tidecast.sources.io import (
     read_csv, read_features, read_predictions, read_submission, scratch_path, write_csv, write_features,
     write_predictions, write_submission,

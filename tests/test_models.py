@@ -53,3 +53,15 @@ def test_gbt_learns_planted_signal(spark):
     assert np.mean(list(model.values())) < 0.5 * np.mean(list(const.values()))
     n_test = feats.where(F.col("sales").isNull()).count()
     assert res.test.count() == 3 * n_test
+
+
+def test_forecast_horizons_feeds_combination(spark):
+    from tidecast.operators.combine import horizon_mean
+    from tidecast.sources.fixtures import end_date
+    tables = load_panel_tables(spark, SF_SMALL, materialize=True)
+    preds = M.forecast_horizons(tables, 1, "gbt", horizons=(1, 2), max_iter=3)
+    assert set(preds.columns) == {"store", "dept", "dt", "horizon", "pred"}
+    by_h = {r["horizon"]: (r["n"], r["last"]) for r in preds.groupBy("horizon").agg(
+        F.count("*").alias("n"), F.max("dt").alias("last")).collect()}
+    assert by_h[1][0] <= by_h[2][0] and by_h[1][1] <= end_date(1) and by_h[2][1] <= end_date(2)
+    assert horizon_mean(preds).where(F.col("pred").isNull()).count() == 0

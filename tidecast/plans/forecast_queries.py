@@ -19,7 +19,7 @@ from tidecast.operators.encode import impute_mean, label_decode, label_encode, s
 from tidecast.operators.folds import holdout_folds
 from tidecast.operators.metrics import cv_score, fold_scores, wmae
 from tidecast.operators.windows import (
-    LEVELS, OPS, SERIES, SPANS, expanding_lagged_avg, feature_name, lagged_range, lead_lag, rolling_mean,
+    LEVELS, OPS, SPANS, expanding_lagged_avg, feature_name, lagged_range, lead_lag, rolling_mean,
     seasonal_value,
 )
 from tidecast.plans.catalog import register, tables

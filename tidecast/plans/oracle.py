@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 
 from tidecast.functions.cols import NA_COLUMNS
-from tidecast.operators.windows import LEVELS, OPS, SERIES, SPANS, feature_name
+from tidecast.operators.windows import LEVELS, OPS, SPANS, feature_name
 from tidecast.sources.fixtures import CUTOFF, HORIZONS, MONTH_DAYS, START, end_date
 
 _MARKDOWNS = ",\n".join(
