@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidecast.session import ensure_checkpoint_dir
+
 MAX_LEVELS = 4096
 
 
@@ -28,8 +30,12 @@ def fit_codes(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> DataFram
     n = vals.limit(max_levels + 1).count()
     if n > max_levels:
         raise ValueError(f"{col}: more than {max_levels} levels")
-    return vals.select("value", (F.row_number().over(Window.orderBy(F.col("value").asc_nulls_first())) - 1)
-                       .alias("code"))
+    codes = vals.select("value", (F.row_number().over(Window.orderBy(F.col("value").asc_nulls_first())) - 1)
+                        .alias("code"))
+    # Fitted state: materialised once in the shared checkpoint folder, so
+    # encoding and decoding reuse it instead of re-deriving it.
+    ensure_checkpoint_dir(df.sparkSession)
+    return codes.checkpoint(eager=True)
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,

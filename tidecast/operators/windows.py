@@ -139,12 +139,21 @@ def rollup_windows(df: DataFrame, values: Sequence[str], keys: Sequence[str], ba
     return parts.select(*keys, "dt", *[c.alias(n) for n, c in cols.items()])
 
 
+def rollup_row_bound(df: DataFrame, keys: Sequence[str]) -> int:
+    """Upper bound of a rollup table's rows: distinct keys x distinct dates."""
+    n_keys, n_dt = df.agg(F.count_distinct(*keys), F.count_distinct("dt")).first()
+    return int(n_keys) * int(n_dt)
+
+
 def lagged_range_rollup(df: DataFrame, values: Sequence[str], keys: Sequence[str], bases: Mapping[str, int],
                         ops: Iterable[str] = OPS, spans: Mapping[str, int] = SPANS) -> DataFrame:
     """Pre-aggregated form of :func:`lagged_range` for coarse keys; equal to
-    the direct window on every row (see tests)."""
+    the direct window on every row (see tests).  The rollup is broadcast
+    back when its size bound fits, else joined by sort-merge."""
+    from tidecast.operators.joins import broadcast_if_bounded
+
     feats = rollup_windows(df, values, keys, bases, ops, spans)
-    return df.join(feats, [*keys, "dt"], "left")
+    return df.join(broadcast_if_bounded(feats, rollup_row_bound(df, keys)), [*keys, "dt"], "left")
 
 
 def expanding_lagged_avg(value: str, keys: Sequence[str], base_days: int) -> Column:
