@@ -86,3 +86,50 @@ def test_rolling_two_with_gap(spark, fallback, expected):
     out = rolling_mean(spark.createDataFrame(rows, SCHEMA), "sales", fallback=fallback)
     got = [r[0] for r in out.orderBy("dt").select("sales_rolling_mean").collect()]
     assert got == expected
+
+
+def _windows_above_aggregate(plan: str, key: str) -> list[bool]:
+    """For every Window node partitioned by ``key`` alone, whether an
+    Aggregate sits below it (i.e. it runs over per-(key, dt) partials)."""
+    import re
+    lines = plan.splitlines()
+    depth = [len(l) - len(l.lstrip(" :+-")) for l in lines]
+    only_key = re.compile(rf"windowspecdefinition\({key}#\d+, (day_num#|specifiedwindowframe)")
+    out = []
+    for i, line in enumerate(lines):
+        if line.lstrip(" :+-").startswith("Window ") and only_key.search(line):
+            below = []
+            for j in range(i + 1, len(lines)):
+                if depth[j] <= depth[i]:
+                    break
+                below.append(lines[j])
+            out.append(any(b.lstrip(" :+-").startswith("Aggregate") for b in below))
+    return out
+
+
+def test_hot_store_is_pre_aggregated(spark):
+    """One store holds about a third of the rows: its rows are combined per
+    (store, dt) before any store-level window, and values equal the direct form."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for w in range(40):
+        day = dt.date(2000, 1, 3) + dt.timedelta(weeks=w)
+        for dept in range(30):                      # hot store: 30 depts
+            rows.append((0, dept, day, float(rng.normal(5e4, 1e4))))
+        for store in range(1, 21):                  # 20 stores x 3 depts
+            for dept in range(3):
+                rows.append((store, dept, day, float(rng.normal(5e4, 1e4))))
+    panel = _panel(spark, rows)
+    rolled = lagged_range(panel, "sales", ("store",), 28)
+    flags = _windows_above_aggregate(rolled._jdf.queryExecution().optimizedPlan().toString(), "store")
+    assert flags and all(flags)
+    direct = panel.withColumns(lagged_range_columns("sales", ("store",), 28))
+    cols = [c for c in direct.columns if c.startswith("sales_")]
+    a = {tuple(r[:3]): r[3:] for r in rolled.select("store", "dept", "dt", *cols).collect()}
+    b = {tuple(r[:3]): r[3:] for r in direct.select("store", "dept", "dt", *cols).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for x, y in zip(a[k], b[k]):
+            assert (x is None) == (y is None)
+            if x is not None:
+                assert math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-6)
