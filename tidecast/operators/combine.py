@@ -93,9 +93,16 @@ def fitted_history(history: DataFrame, value: str = "sales", clamp_december: boo
     return h.withColumn("fitted", fit)
 
 
-def fit_overlay(df: DataFrame, value: str = "sales", fitted: str = "fitted") -> DataFrame:
-    """Per-date totals of actual and fitted values (A10)."""
-    return df.groupBy("dt").agg(F.sum(value).alias("sum_" + value), F.sum(fitted).alias("sum_" + fitted))
+def fit_overlay(df: DataFrame, value: str = "sales", fitted: str = "fitted", value_scale: int | None = 4) -> DataFrame:
+    """Per-date totals of actual and fitted values (A10).
+
+    The label has ``value_scale`` decimals, so its total is summed exactly in
+    decimal: a double sum depends on the order rows arrive in, which
+    changes with the partitioning.  ``None`` keeps a double sum.
+    """
+    total = F.sum(value) if value_scale is None else \
+        F.sum(F.col(value).cast(f"decimal(38,{value_scale})")).cast("double")
+    return df.groupBy("dt").agg(total.alias("sum_" + value), F.sum(fitted).alias("sum_" + fitted))
 
 
 def horizon_predictions(forecast: DataFrame, horizons: Sequence[int], cutoff: dt.date, month_days: int = 28,

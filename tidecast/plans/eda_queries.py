@@ -240,7 +240,8 @@ _SEASON = ("CAST(month(dt) AS INTEGER) AS month, "
 
 @register("fit_overlay", W(f"h AS (SELECT *, {_SEASON} FROM history)",
                            "m AS (SELECT store, dept, month, week, AVG(sales) AS fitted FROM h GROUP BY ALL)") +
-          f"SELECT dt, {cents('SUM(sales)')} AS sum_sales, {cents('SUM(fitted)')} AS sum_fitted "
+          f"SELECT dt, {cents('CAST(SUM(CAST(sales AS DECIMAL(38,4))) AS DOUBLE)')} AS sum_sales, "
+          f"{cents('SUM(fitted)')} AS sum_fitted "
           "FROM h LEFT JOIN m USING (store, dept, month, week) GROUP BY dt")
 def fit_overlay_q(spark: SparkSession, d: str) -> DataFrame:
     return R(fit_overlay(fitted_history(tables(spark, d).history)))
