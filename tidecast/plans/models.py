@@ -47,8 +47,14 @@ def training_frame(features: DataFrame) -> DataFrame:
     return df.withColumn("weight", row_weight())
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
+def _checkpoint(df: DataFrame, spread: bool = False) -> DataFrame:
+    """Materialise in the shared checkpoint folder.  ``spread`` first deals
+    the rows round-robin over the cluster's default parallelism: the
+    iterative fits then aggregate over evenly sized partitions that use
+    every core, whatever AQE coalesced the feature plan's output to."""
     ensure_checkpoint_dir(df.sparkSession)
+    if spread:
+        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
     return df.checkpoint(eager=True)
 
 
@@ -94,13 +100,14 @@ def fit_gbt_cv(features: DataFrame, version: int, max_iter: int = 60, **override
     """
     params = {**GBT_PARAMS, **overrides}
     cols = feature_columns(version)
-    df = training_frame(features)
+    # The feature plan runs once: encoding statistics and fits read this.
+    df = _checkpoint(training_frame(features).select(*dict.fromkeys([*KEY, LABEL, "weight", *cols])))
     df, _ = _with_nominal(df, CATEGORICAL[version], params["maxBins"])
     numeric = [c for c in cols if c not in CATEGORICAL[version]]
     df = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in numeric})
     vec = VectorAssembler(inputCols=cols, outputCol="features")
     df = _checkpoint(vec.transform(df).select(*KEY, LABEL, "weight", "features"))
-    train = _checkpoint(_split_folds(df.where(F.col(LABEL).isNotNull())))
+    train = _checkpoint(_split_folds(df.where(F.col(LABEL).isNotNull())), spread=True)
     test = df.where(F.col(LABEL).isNull())
     res = CVResult(valid=None, test=None, test_input=test.select(*KEY, "features"))
     valids, tests = [], []
@@ -157,13 +164,15 @@ def fit_ridge_cv(features: DataFrame, version: int = 2, alphas=RIDGE_ALPHAS) ->
     |y - Xw|^2 + alpha |w|^2 is lambda = alpha * std_pop(y) / n.
     """
     cols = ridge_columns(version)
-    df = training_frame(features)
+    keep = list(dict.fromkeys([*KEY, LABEL, "weight", LAG, *cols]))
+    # The feature plan runs once: imputation/scaling statistics and fits read this.
+    df = _checkpoint(training_frame(features).select(*keep))
     train = df.where(F.col(LABEL).isNotNull() & F.col(LAG).isNotNull())
     test = df.where(F.col(LABEL).isNull())
     train, test = impute_mean(train, test, cols)
     train, test = standardize(train, test, cols)
     vec = VectorAssembler(inputCols=cols, outputCol="features")
-    train = _checkpoint(_split_folds(vec.transform(train).select(*KEY, LABEL, "weight", "features")))
+    train = _checkpoint(_split_folds(vec.transform(train).select(*KEY, LABEL, "weight", "features")), spread=True)
     test = vec.transform(test).select(*KEY, "features")
     res = CVResult(valid=None, test=None, test_input=test)
     valids, tests = [], []
