@@ -26,16 +26,16 @@ def fit_codes(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> DataFram
     deduplicated in parallel first; the final numbering runs over at most
     ``max_levels`` rows and fails beyond that.
     """
-    vals = df.select(F.col(col).alias("value")).distinct()
-    n = vals.limit(max_levels + 1).count()
+    # The distinct values are fitted state: computed once (in parallel) and
+    # materialised in the shared checkpoint folder, then counted and
+    # numbered from there, so encoding and decoding never re-derive them.
+    ensure_checkpoint_dir(df.sparkSession)
+    vals = df.select(F.col(col).alias("value")).distinct().checkpoint(eager=True)
+    n = vals.count()
     if n > max_levels:
         raise ValueError(f"{col}: more than {max_levels} levels")
-    codes = vals.select("value", (F.row_number().over(Window.orderBy(F.col("value").asc_nulls_first())) - 1)
-                        .alias("code"))
-    # Fitted state: materialised once in the shared checkpoint folder, so
-    # encoding and decoding reuse it instead of re-deriving it.
-    ensure_checkpoint_dir(df.sparkSession)
-    return codes.checkpoint(eager=True)
+    return vals.select("value", (F.row_number().over(Window.orderBy(F.col("value").asc_nulls_first())) - 1)
+                       .alias("code"))
 
 
 def label_encode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
