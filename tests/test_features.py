@@ -44,7 +44,7 @@ def test_all_horizons_equals_per_horizon(spark, tables):
 
 
 def test_row_count_and_unique_key(spark, tables):
-    feats = build_features(tables, 3, 2)
+    feats = build_features(tables, 3, 2, check_key=True)
     assert_unique_key(feats)
     panel = base_data(tables, 2).where(F.col("dt") >= F.lit(dt.date(1995, 3, 27)))
     assert feats.count() == panel.count()

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.functions.cols import NA_COLUMNS
-from tidecast.operators.joins import bounded_broadcast, broadcast_if_bounded, enrich, union_panel
+from tidecast.operators.joins import assert_unique_key, bounded_broadcast, broadcast_if_bounded, enrich, union_panel
 from tidecast.operators.windows import (
     LEVELS,
     OPS,
@@ -170,9 +170,17 @@ def _with_diffs(df: DataFrame) -> DataFrame:
     )
 
 
-def build_features(tables: PanelTables, version: int, horizon: int, start: dt.date = START) -> DataFrame:
-    """Feature set of ``version`` for forecasting ``horizon`` months ahead."""
+def build_features(tables: PanelTables, version: int, horizon: int, start: dt.date = START,
+                   check_key: bool = False) -> DataFrame:
+    """Feature set of ``version`` for forecasting ``horizon`` months ahead.
+
+    Windows are computed in place instead of being joined back on the key,
+    which is equal only while (store, dept, dt) is unique; ``check_key``
+    verifies that first (one aggregation job).
+    """
     df = base_data(tables, horizon, version)
+    if check_key:
+        assert_unique_key(df)
     out = _with_windows(df, rollup_source(tables, horizon, version), version, {"": MONTH_DAYS * horizon})
     if version >= 3:
         out = _with_diffs(out)
