@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import exact_dedup, secrets, simhash, url_filter
+from tidecast.llm import exact_dedup, secrets, simhash, token_counts, url_filter
 from tidecast.llm.common import table
 
 
+#: A public vocabulary file, read where it lies.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 #: The rules for urls, verdict and host with path.
 URL_RULES = (
     ("allow", "com/"),
@@ -22,6 +24,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.read_vocabulary(vocabulary))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
 
