@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import exact_dedup, html_text, secrets, simhash, token_counts, url_filter
+from tidecast.llm import exact_dedup, html_text, mixing, secrets, simhash, token_counts, url_filter
 from tidecast.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
