@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import exact_dedup, html_text, mixing, secrets, simhash, token_counts, url_filter
+from tidecast.llm import decontam, exact_dedup, html_text, mixing, secrets, simhash, token_counts, url_filter
 from tidecast.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), token_counts.read_vocabulary(vocabulary))
 
