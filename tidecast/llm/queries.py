@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidecast.llm import decontam, exact_dedup, html_text, mixing, secrets, simhash, token_counts, toxicity, url_filter
+from tidecast.llm import decontam, exact_dedup, html_text, mixing, secrets, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from tidecast.llm.common import table
 
 
@@ -20,6 +20,10 @@ URL_RULES = (
 )
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(table(spark, sf_dir, "documents"))
 
