@@ -13,8 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import exact_dedup as exact
-from tidecast.llm import simhash
+from tidecast.llm import decontam, exact_dedup, mixing, simhash, toxicity
 from tidecast.session import ensure_checkpoint_dir
 
 
@@ -23,17 +22,35 @@ def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(dropped.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that the classifier, fitted on the labelled rows of ``docs``, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return without(docs, toxicity.score(docs, toxicity.train(docs, labels)).where("predicted = 1"))
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, exact.exact_dedup(docs).where("not kept"))
+    return without(docs, exact_dedup.exact_dedup(docs).where("not kept"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, simhash.simhash_groups(docs, shingle=3, radius=3).where("doc_id <> component_id"))
 
 
+def not_in_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without(docs, decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: for each document that is left, its source's weight and how often it is drawn."""
+    return mixing.mix(docs)
+
+
 STAGES = [
+    ("toxicity", not_toxic),
     ("exact_dedup", exact_copies),
     ("simhash_near_dedup", near_copies),
+    ("decontamination", not_in_benchmark),
+    ("source_mixing", mixed),
 ]
 
 #: A trained network, edit distances and seeded permutations have no SQL form;
