@@ -33,7 +33,7 @@ def test_scale_and_blend(spark):
     scaled = {r["id"]: r["pred"] for r in C.scale_dates(df, {D: 6 / 7}).collect()}
     assert abs(scaled["a"] - 6.0) < 1e-12 and scaled["b"] == 7.0
     other = spark.createDataFrame([("a", 2.0)], "id string, pred double")
-    got = {r["id"]: (r["pred"], r["n_models"]) for r in C.blend([df.select("id", "pred"), other]).collect()}
+    got = {r["id"]: (r["pred"], r["n_models"]) for r in C.blend([df.select("id", "pred"), other], partial=True).collect()}
     assert got == {"a": (4.5, 2), "b": (7.0, 1)}
 
 
@@ -49,3 +49,12 @@ def test_hier_forecast_fallback_chain(spark):
     assert got[(1, dt.date(2001, 3, 26))] == 15.0     # same month only
     assert got[(1, dt.date(2001, 5, 7))] == 30.0      # series mean
     assert got[(2, dt.date(2001, 5, 7))] == 0.0       # unseen series
+
+
+def test_blend_fails_on_unequal_keys(spark):
+    import pytest
+
+    a = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "id string, pred double")
+    assert {r["n_models"] for r in C.blend([a, a]).collect()} == {2}
+    with pytest.raises(Exception, match="not in every input"):
+        C.blend([a, a.where("id = 'a'")]).collect()

@@ -64,7 +64,7 @@ def test_no_leakage(spark, tables):
     cut = target - dt.timedelta(days=28 * h)
     changed = tables.history.withColumn(
         "sales", F.when(F.col("dt") > F.lit(cut), F.col("sales") * 10 + 1).otherwise(F.col("sales")))
-    other = PanelTables(history=changed, future=tables.future, stores=tables.stores, context=tables.context)
+    other = PanelTables(history=changed, future=tables.future, stores=tables.stores, context=tables.context, calendar=tables.calendar)
     cols = [c for c in output_columns(4) if c not in ("sales", "norm_sales") and not c.startswith("diff_")]
     a = build_features(tables, 4, h).where(F.col("dt") == F.lit(target))
     b = build_features(other, 4, h).where(F.col("dt") == F.lit(target))
@@ -72,9 +72,10 @@ def test_no_leakage(spark, tables):
     _same(_rows(a, cols), _rows(b, cols))
 
 
-def test_onepass_equals_direct_union(spark, tables):
+@pytest.mark.parametrize("method", ["shift", "onepass"])
+def test_all_in_one_equals_direct_union(spark, tables, method):
     cols = output_columns(2) + ["horizon"]
-    a = build_all_horizons(tables, 2, horizons=(2, 7))
+    a = build_all_horizons(tables, 2, horizons=(2, 7), method=method)
     b = build_all_horizons(tables, 2, horizons=(2, 7), method="direct")
     key = lambda r: (r["store"], r["dept"], r["dt"], r["horizon"])
     ra = {key(r): tuple(r[c] for c in cols) for r in a.collect()}
@@ -95,3 +96,31 @@ def test_feature_store_all_versions(spark, tables):
     v4 = read_features(spark, path, 4, 2)
     assert set(output_columns(4)) <= set(v4.columns)
     assert v4.count() == build_features(tables, 4, 2).count()
+
+
+def test_other_calendar_and_many_departments(spark):
+    """No row is lost on a panel with its own dates, gaps and 5,000 departments."""
+    from tidecast.operators.encode import fit_codes
+    from tidecast.sources.panel import Calendar
+
+    first, cutoff = dt.date(2010, 2, 5), dt.date(2010, 6, 4)
+    weeks = [first + dt.timedelta(days=7 * i) for i in range(17 + 9)]
+    hist = [(1, d, w, float(d + i)) for i, w in enumerate(weeks) if w < cutoff for d in (range(5000) if i == 3 else (1, 7)) if (d + i) % 5]
+    fut = [(1, d, w) for w in weeks if w >= cutoff for d in (1, 7, 9000)]
+    schema = "store int, dept int, dt date"
+    h, f = spark.createDataFrame(hist, schema + ", sales double"), spark.createDataFrame(fut, schema)
+    stores = spark.createDataFrame([(1, "A", 10.0)], "store int, type string, size double")
+    context = spark.createDataFrame([(1, w, 1.0, 2.0, *["NA"] * 7, False) for w in weeks], schema.replace("dept int, ", "")
+                                    + ", temperature double, fuel_price double, markdown1 string, markdown2 string, markdown3 string,"
+                                    " markdown4 string, markdown5 string, cpi string, unemployment string, is_holiday boolean")
+    t = PanelTables(h, f, stores, context, Calendar(cutoff=cutoff, start=first + dt.timedelta(days=14), horizons=(1, 2)))
+    for horizon in (1, 2):
+        rows = build_features(t, 4, horizon).select("dept", "dt", "sales").collect()
+        want = {(d, w) for _, d, w, _ in hist if w >= t.calendar.start} | {(d, w) for _, d, w in fut if w <= t.calendar.end_date(horizon)}
+        assert {(r.dept, r.dt) for r in rows} == want and len(rows) == len(want)
+    cols = output_columns(4)
+    both = build_all_horizons(t, 4)
+    for horizon in (1, 2):
+        _same(_rows(both.where(F.col("horizon") == horizon), cols), _rows(build_features(t, 4, horizon), cols))
+    codes = {r["value"]: r["code"] for r in fit_codes(h.select("dept").unionByName(f.select("dept")), "dept").collect()}
+    assert codes == {v: i for i, v in enumerate(sorted({x[1] for x in hist} | {x[1] for x in fut}))}

@@ -1,22 +1,4 @@
-from pyspark.sql import functions as F
-
-from tidecast.operators.joins import assert_unique_key, bounded_broadcast, broadcast_if_bounded, union_panel
-
-
-def _hinted(df):
-    return "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-
-
-def test_bounded_broadcast_checks_row_count(spark):
-    small = spark.range(5)
-    assert _hinted(bounded_broadcast(small, max_rows=5))
-    assert not _hinted(bounded_broadcast(small, max_rows=4))
-
-
-def test_broadcast_if_bounded_uses_byte_budget(spark):
-    df = spark.range(3).withColumn("x", F.lit(1.0))
-    assert _hinted(broadcast_if_bounded(df, 1000, max_bytes=1000 * 32))
-    assert not _hinted(broadcast_if_bounded(df, 1000, max_bytes=1000))
+from tidecast.operators.joins import assert_unique_key, rows_with_lag, union_panel
 
 
 def test_union_panel_cuts_future_only(spark):
@@ -32,3 +14,8 @@ def test_assert_unique_key_raises(spark):
     df = spark.createDataFrame([(1, 1), (1, 1)], "store int, dept int")
     with pytest.raises(ValueError):
         assert_unique_key(df, ["store", "dept"])
+
+
+def test_rows_with_lag(spark):
+    df = spark.createDataFrame([(1, None), (2, 0.0)], "x int, lag1_store_dept_sales double")
+    assert [r.x for r in rows_with_lag(df).collect()] == [2]

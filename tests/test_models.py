@@ -43,7 +43,7 @@ def test_gbt_learns_planted_signal(spark):
     feats = build_features(tables, 4, 1)
     planted = F.month("dt") * 1000.0 + F.least(F.floor(F.dayofmonth("dt") / 7), F.lit(3)) * 100.0
     feats = feats.withColumn("sales", F.when(F.col("sales").isNotNull(), planted))
-    res = M.fit_gbt_cv(feats, 4, max_iter=15)
+    res = M.fit_gbt_cv(feats, 4, max_rounds=15, patience=15)
     assert [i["fold"] for i in res.info] == [0, 1, 2]
     assert all(1 <= i["best_iter"] <= 15 for i in res.info)
     mean = feats.agg(F.avg("sales")).first()[0]
@@ -59,9 +59,39 @@ def test_forecast_horizons_feeds_combination(spark):
     from tidecast.operators.combine import horizon_mean
     from tidecast.sources.fixtures import end_date
     tables = load_panel_tables(spark, SF_SMALL, materialize=True)
-    preds = M.forecast_horizons(tables, 1, "gbt", horizons=(1, 2), max_iter=3)
+    preds = M.forecast_horizons(tables, 1, "gbt", horizons=(1, 2), max_rounds=3)
     assert set(preds.columns) == {"store", "dept", "dt", "horizon", "pred"}
     by_h = {r["horizon"]: (r["n"], r["last"]) for r in preds.groupBy("horizon").agg(
         F.count("*").alias("n"), F.max("dt").alias("last")).collect()}
     assert by_h[1][0] <= by_h[2][0] and by_h[1][1] <= end_date(1) and by_h[2][1] <= end_date(2)
     assert horizon_mean(preds).where(F.col("pred").isNull()).count() == 0
+
+
+def test_rounds_are_added_until_patience_runs_out(spark):
+    """The slow step size goes on for longer than the first batch of rounds."""
+    from pyspark.ml.regression import GBTRegressor
+
+    rows = [(float(i % 20), float((i % 20) ** 2)) for i in range(400)]
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(spark.createDataFrame(rows, "x double, sales double"))
+    slow = GBTRegressor(labelCol="sales", maxDepth=2, stepSize=0.05, seed=1)
+    model, best, error = M.boost(slow, df, df, max_rounds=12, patience=2)
+    assert best == 12 and model.getNumTrees == 12
+    short, best, worse = M.boost(slow, df, df, max_rounds=3, patience=2)
+    assert best == 3 and worse > error
+    noise = df.withColumn("sales", F.rand(3))
+    held = df.withColumn("sales", F.rand(4))
+    model, best, _ = M.boost(slow.copy({slow.stepSize: 1.0}), noise, held, max_rounds=40, patience=3)
+    assert best < 40 and model.getNumTrees == best
+
+
+def test_train_sink_has_a_column_per_fold(spark, tmp_path):
+    from tidecast.sources.io import read_predictions
+    tables = load_panel_tables(spark, SF_SMALL, materialize=True)
+    fits = M.horizon_fits(tables, 1, "gbt", horizons=(1, 2), max_rounds=1)
+    M.write_horizon_predictions(fits, "m", str(tmp_path / "p"))
+    train = read_predictions(spark, str(tmp_path / "p"), "m", "train")
+    test = read_predictions(spark, str(tmp_path / "p"), "m")
+    assert {"pred_fold0", "pred_fold1", "pred_fold2"} <= set(train.columns)
+    assert train.where("pred_fold2 is null").count() == 0 < train.where("pred_fold0 is null").count()
+    keys = tables.future.join(test, ["store", "dept", "dt"], "left_semi")
+    assert keys.count() == test.select("store", "dept", "dt").distinct().count() > 0

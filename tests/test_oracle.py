@@ -19,7 +19,9 @@ NAMES = [
     "base_panel", "csv_roundtrip", "pivot_dept", "hier_rollup", "hier_means", "length_histogram",
     "overlap_series", "date_parts", "hier_forecast", "horizon_wide", "horizon_first", "blend_models",
     "xmas_redistribute", "rolling2", "fold_mean", "cv_score", "label_encode", "standardize",
-    "horizon_long", "submission_parse",
+    "horizon_long", "submission_parse", "features_all_horizons_v2", "pivot_store_norm", "impute_mean", "mae", "lag_present",
+    "forecast_vs_actual", "horizon_mean_spine", "daily_mean_norm", "holiday_weeks", "split_label", "holdout_folds",
+    "length_histogram", "label_decode", "scan_history", "feature_store_roundtrip",
 ]
 
 

@@ -29,7 +29,7 @@ def test_pivot_fill_and_distinct_counts(spark):
     d = dt.date(2000, 1, 3)
     df = spark.createDataFrame([(d, 1, 2.0), (d, 1, 3.0), (d, 10, 1.0), (d + dt.timedelta(days=7), 2, 4.0)],
                                "dt date, dept int, sales double")
-    piv = {r["dt"]: tuple(r[c] for c in ("1", "2", "10")) for r in stats.pivot_sum(df, "dt", "dept", "sales").collect()}
+    piv = {r["dt"]: tuple(r[c] for c in ("1", "2", "10")) for r in stats.pivot_sum(df, "dt", "dept", "sales", [1, 2, 10]).collect()}
     assert piv == {d: (5.0, 0.0, 1.0), d + dt.timedelta(days=7): (0.0, 4.0, 0.0)}
     counts = stats.distinct_counts(df, ["dt", "dept", ("dt", "dept")]).first()
     assert (counts["n_dt"], counts["n_dept"], counts["n_dt_dept"]) == (2, 3, 3)
@@ -42,3 +42,11 @@ def test_sparse_series_and_rows_of(spark):
     sparse = stats.sparse_series(df)
     assert sorted((r["store"], r["dept"], r["n_weeks"]) for r in sparse.collect()) == [(1, 2, 1), (2, 1, 1)]
     assert stats.rows_of(df, sparse).count() == 2
+
+
+def test_pivot_raises_on_undeclared_values(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1, 1, 2.0), (1, 9, 3.0)], "dt int, dept int, sales double")
+    with pytest.raises(Exception, match="not declared: 9"):
+        stats.pivot_sum(df, "dt", "dept", "sales", [1, 2]).collect()

@@ -35,15 +35,17 @@ def with_season(df: DataFrame, clamp_december: bool = True) -> DataFrame:
 
 
 def hier_means(history: DataFrame, value: str = "sales", clamp_december: bool = True) -> DataFrame:
-    """Long table of the hierarchical means: one GROUPING SETS-style pass
-    (rollup of store > dept > month > week without the grand total) (A11)."""
+    """Long table of the hierarchical means: one pass over the four grouping
+    sets of store > dept > month > week (A11)."""
     h = with_season(history, clamp_december)
-    g = h.rollup("store", "dept", "month", "week").agg(F.avg(value).alias("mean"), F.grouping_id().alias("_g"))
+    keys = [F.col(c) for c in HIER_LEVELS["store_dept_month_week"]]
+    sets = [[F.col(c) for c in level] for level in HIER_LEVELS.values()]
+    g = h.groupingSets(sets, *keys).agg(F.avg(value).alias("mean"), F.grouping_id().alias("_g"))
     names = {0: "store_dept_month_week", 1: "store_dept_month", 3: "store_dept", 7: "store"}
     level = F.lit(None).cast("string")
     for gid, name in names.items():
         level = F.when(F.col("_g") == gid, F.lit(name)).otherwise(level)
-    return g.where(F.col("_g") != 15).select(level.alias("level"), "store", "dept", "month", "week", "mean")
+    return g.select(level.alias("level"), "store", "dept", "month", "week", "mean")
 
 
 def hier_level_means(history: DataFrame, future: DataFrame, value: str = "sales",
@@ -126,9 +128,13 @@ def horizon_wide(preds: DataFrame, horizons: Sequence[int], spine: DataFrame | N
     return spine.select(*KEY).join(wide, list(KEY), "left")
 
 
-def horizon_mean(preds: DataFrame, pred: str = "pred") -> DataFrame:
-    """Mean of the available horizons per key and their count."""
-    return preds.groupBy(*KEY).agg(F.avg(pred).alias("pred"), F.count(pred).alias("n_horizons"))
+def horizon_mean(preds: DataFrame, pred: str = "pred", spine: DataFrame | None = None) -> DataFrame:
+    """Mean of the available horizons per key and their count (M14, A18);
+    with a ``spine``, exactly its keys, 0 horizons where none reaches one."""
+    mean = preds.groupBy(*KEY).agg(F.avg(pred).alias("pred"), F.count(pred).alias("n_horizons"))
+    if spine is None:
+        return mean
+    return spine.select(*KEY).join(mean, list(KEY), "left").fillna(0, ["n_horizons"])
 
 
 def horizon_first(preds: DataFrame, pred: str = "pred") -> DataFrame:
@@ -174,12 +180,13 @@ def redistribute(df: DataFrame, d0: dt.date, d1: dt.date, r0: float = 6 / 14, r1
 
 
 def blend(forecasts: Sequence[DataFrame], weights: Sequence[float] | None = None, key: str = "id",
-          value: str = "pred") -> DataFrame:
+          value: str = "pred", partial: bool = False) -> DataFrame:
     """Weighted mean of several forecasts aligned on ``key``.
 
     The frames are stacked and aggregated once per key (no positional
-    alignment); a key missing from some inputs averages the rest, and
-    ``n_models`` shows how many contributed.
+    alignment).  All inputs must hold the same keys, each once: a key that
+    some of them lack raises an error when the plan runs, unless ``partial``
+    is set; then the rest is averaged and ``n_models`` shows how many contributed.
     """
     weights = list(weights) if weights is not None else [1.0] * len(forecasts)
     parts = [f.select(key, (F.col(value) * F.lit(w)).alias("_wv"), F.lit(w).alias("_w"))
@@ -187,9 +194,22 @@ def blend(forecasts: Sequence[DataFrame], weights: Sequence[float] | None = None
     stacked = parts[0]
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
-    return stacked.groupBy(key).agg(
+    out = stacked.groupBy(key).agg(
         (F.sum("_wv") / F.sum("_w")).alias(value), F.count(F.lit(1)).alias("n_models")
     )
+    if partial:
+        return out
+    lacking = F.raise_error(F.concat(F.lit("not in every input, or more than once: "), F.col(key).cast("string")))
+    whole = F.when(F.col("n_models") == len(forecasts), F.col("n_models")).otherwise(lacking.cast("long"))
+    return out.withColumn("n_models", whole)
+
+
+def forecast_vs_actual(history: DataFrame, preds: DataFrame, value: str = "sales", pred: str = "pred") -> DataFrame:
+    """Mean actual and mean forecast by date in one table, for dates that
+    have either (M18)."""
+    both = history.select("dt", F.col(value).alias("_y"), F.lit(None).cast("double").alias("_p")).unionByName(
+        preds.select("dt", F.lit(None).cast("double").alias("_y"), F.col(pred).alias("_p")))
+    return both.groupBy("dt").agg(F.avg("_y").alias("mean_" + value), F.avg("_p").alias("mean_pred"))
 
 
 def forecast_by_date(preds: DataFrame, pred: str = "pred", by: Sequence[str] = ("dt", "horizon")) -> DataFrame:

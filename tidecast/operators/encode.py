@@ -1,54 +1,83 @@
 """Encoding, imputation and scaling fitted on one frame, applied to others
 (A19, M1-M4).
 
-Fitted state is tiny (a code table per categorical column bounded by
-``max_levels``, or one mean/std per numeric column); it is either broadcast
-after the bound is checked or carried as literals.
+Nothing here starts a job: code tables are plans of their own, and means and
+deviations are scalar subqueries of the plan that applies them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from tidecast.session import ensure_checkpoint_dir
-
-MAX_LEVELS = 4096
-
-
-def fit_codes(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> DataFrame:
-    """(value, code) with codes in sorted value order, 0-based (M1).
-
-    Sorting is by the typed value, so integers order 1, 2, 10 (not the
-    string order a string indexer would use).  Distinct values are
-    deduplicated in parallel first; the final numbering runs over at most
-    ``max_levels`` rows and fails beyond that.
+from pyspark.sql.types import BooleanType, DateType, FractionalType, IntegralType
+
+#: Integers of so many neighbouring values are numbered by one task.
+BUCKET = 1024
+
+
+def _order(df: DataFrame, col: str) -> tuple[Column, Column]:
+    """(order key, coarse bucket) of a column; the bucket never falls as the
+    key rises, so buckets can be numbered apart."""
+    kind, c = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, BooleanType):
+        key = F.struct(c.cast("double").alias("number"), F.lit(None).cast("string").alias("text"))
+        return key, F.struct(F.lit(0.0).alias("number"), F.lit(None).cast("string").alias("text"))
+    if isinstance(kind, DateType):
+        c = F.unix_date(c)
+    if isinstance(kind, (DateType, IntegralType, FractionalType)):
+        number = c.cast("double") if isinstance(kind, FractionalType) else c.cast("decimal(20,0)").cast("double")
+        none = F.lit(None).cast("string").alias("text")
+        return F.struct(number.alias("number"), none), F.struct(F.floor(number / BUCKET).cast("double").alias("number"), none)
+    text, none = c.cast("string"), F.lit(None).cast("double").alias("number")
+    return F.struct(none, text.alias("text")), F.struct(none, F.substring(text, 1, 2).alias("text"))
+
+
+def _all_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(name, value as text, code) for the distinct values of all columns.
+
+    One pass finds the distinct values.  They are ranked within coarse
+    buckets of the order and moved up by the sizes of the buckets before, so
+    no task numbers a whole column, whatever its number of values.
     """
-    # The distinct values are fitted state: computed once (in parallel) and
-    # materialised in the shared checkpoint folder, then counted and
-    # numbered from there, so encoding and decoding never re-derive them.
-    ensure_checkpoint_dir(df.sparkSession)
-    vals = df.select(F.col(col).alias("value")).distinct().checkpoint(eager=True)
-    n = vals.count()
-    if n > max_levels:
-        raise ValueError(f"{col}: more than {max_levels} levels")
-    return vals.select("value", (F.row_number().over(Window.orderBy(F.col("value").asc_nulls_first())) - 1)
-                       .alias("code"))
-
-
-def label_encode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
-                 max_levels: int = MAX_LEVELS) -> tuple[DataFrame, dict[str, DataFrame]]:
+    each = []
+    for c in cols:
+        key, bucket = _order(df, c)
+        missing = F.col(c).isNull()
+        each.append(F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"), (~missing).alias("present"), key.alias("key"), bucket.alias("bucket")))
+    levels = df.select(F.inline(F.array(*each))).distinct()
+    within = F.row_number().over(Window.partitionBy("name", "present", "bucket").orderBy("key")) - 1
+    sizes = levels.groupBy("name", "present", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("name").orderBy("present", "bucket").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    sizes = sizes.select(F.col("name").alias("_name"), F.col("present").alias("_present"), F.col("bucket").alias("_bucket"), start)
+    ranked = levels.withColumn("within", within)
+    same = (F.col("name") == F.col("_name")) & (F.col("present") == F.col("_present"))
+    for part in ("number", "text"):
+        same = same & F.col(f"bucket.{part}").eqNullSafe(F.col(f"_bucket.{part}"))
+    return ranked.join(sizes, same).select("name", "value", (F.col("start") + F.col("within")).cast("int").alias("code"))
+
+
+def code_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
+    """{column: (value, code)}, codes in sorted value order, 0-based, NULL
+    first (M1).  Sorting is by the typed value, so integers order 1, 2, 10
+    (not the string order a string indexer would use)."""
+    codes = _all_codes(df, cols)
+    return {c: codes.where(F.col("name") == c).select(F.col("value").cast(df.schema[c].dataType).alias("value"), "code") for c in cols}
+
+
+def fit_codes(df: DataFrame, col: str) -> DataFrame:
+    """(value, code) of one column (M1)."""
+    return code_tables(df.select(col), [col])[col]
+
+
+def label_encode(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Replace each column by its code; codes are fitted on ``fit_on`` (default
     ``df``, e.g. history + future together)."""
-    src = df if fit_on is None else fit_on
-    maps, out = {}, df
-    for c in cols:
-        m = fit_codes(src, c, max_levels)
-        maps[c] = m
-        b = F.broadcast(m)
-        out = out.join(b, out[c].eqNullSafe(b["value"]), "left").drop(c, "value").withColumnRenamed("code", c)
+    maps, out = code_tables((df if fit_on is None else fit_on).select(*cols), cols), df
+    for c, m in maps.items():
+        out = out.join(m, out[c].eqNullSafe(m["value"]), "left").drop(c, "value").withColumnRenamed("code", c)
     return out.select(*df.columns), maps
 
 
@@ -56,34 +85,34 @@ def label_decode(df: DataFrame, maps: dict[str, DataFrame]) -> DataFrame:
     """Inverse of :func:`label_encode` (M2)."""
     out = df
     for c, m in maps.items():
-        b = F.broadcast(m)
-        out = out.join(b, out[c].eqNullSafe(b["code"]), "left").drop(c, "code").withColumnRenamed("value", c)
+        out = out.join(m, out[c] == m["code"], "left").drop(c, "code").withColumnRenamed("value", c)
     return out.select(*df.columns)
 
 
-def column_means(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
-    row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    return {c: row[c] for c in cols}
+FIT = "_fit"
+
+
+def _with_fitted(frames: Sequence[DataFrame], train: DataFrame, cols: Sequence[str], **of) -> list[DataFrame]:
+    """The frames with one column that holds every statistic of every
+    column: a scalar subquery that each frame refers to once."""
+    fit = train.agg(F.struct(*[f(c).alias(f"{name}_{c}") for c in cols for name, f in of.items()])).scalar()
+    return [df.withColumn(FIT, fit) for df in frames]
 
 
 def impute_mean(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Fill NULLs with the training mean in both frames (A19, M4); a column
     with no training value at all is filled with 0."""
-    means = column_means(train, cols)
-    fill = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0 if m is None else m)) for c, m in means.items()}
-    return train.withColumns(fill), test.withColumns(fill)
+    fill = {c: F.coalesce(F.col(c).cast("double"), F.col(f"{FIT}.m_{c}"), F.lit(0.0)) for c in cols}
+    a, b = (df.withColumns(fill).drop(FIT) for df in _with_fitted((train, test), train, cols, m=F.avg))
+    return a, b
 
 
 def standardize(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(x - mean) / population std fitted on ``train``; a constant column
-    maps to 0 (M3)."""
-    row = train.agg(*[F.avg(c).alias("m_" + c) for c in cols],
-                    *[F.stddev_pop(c).alias("s_" + c) for c in cols]).first()
+    maps to 0, one without a training value stays as it is (M3)."""
     exprs = {}
     for c in cols:
-        m, s = row["m_" + c], row["s_" + c]
-        if m is None:
-            continue
-        scale = s if s else 1.0
-        exprs[c] = (F.col(c).cast("double") - F.lit(m)) / F.lit(scale)
-    return train.withColumns(exprs), test.withColumns(exprs)
+        x, m, s = F.col(c).cast("double"), F.col(f"{FIT}.m_{c}"), F.col(f"{FIT}.s_{c}")
+        exprs[c] = F.when(m.isNull(), x).otherwise((x - m) / F.when(s > 0, s).otherwise(1.0))
+    a, b = (df.withColumns(exprs).drop(FIT) for df in _with_fitted((train, test), train, cols, m=F.avg, s=F.stddev_pop))
+    return a, b

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 
 def holdout_folds(df: DataFrame, n: int = 3, days: int = 28, dt: str = "dt") -> DataFrame:
-    last = df.agg(F.max(dt)).first()[0]  # one scalar
-    cols = {f"valid_{i}": F.col(dt) > F.date_sub(F.lit(last), days * (i + 1)) for i in range(n)}
+    ends = df.withColumn("_last", df.agg(F.max(dt)).scalar())  # a scalar subquery: no job here
+    inside = {i: F.col(dt) > F.date_sub("_last", days * (i + 1)) for i in range(n)}
     fold = F.lit(None).cast("int")
-    for i in range(n):
-        fold = F.when(F.col(dt) > F.date_sub(F.lit(last), days * (i + 1)), F.lit(i)).otherwise(fold)
-    return df.withColumns(cols).withColumn("fold", fold)
+    for i, c in inside.items():
+        fold = F.when(c, F.lit(i)).otherwise(fold)
+    return ends.withColumns({f"valid_{i}": c for i, c in inside.items()} | {"fold": fold}).drop("_last")

@@ -12,36 +12,6 @@ from tidecast.functions.dates import day_number, week_us
 
 KEY = ("store", "dept", "dt")
 
-# Dimension tables are broadcast only after a row-count check proves them small.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it holds at most ``max_rows`` rows, else leave the
-    join strategy to the planner (sort-merge, AQE may still demote it).
-
-    The check is a bounded ``limit(max_rows + 1).count()``: it stops reading
-    as soon as the bound is exceeded.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-# Byte budget for a broadcast side whose size is bounded before execution.
-BROADCAST_MAX_BYTES = 128 * 1024 * 1024
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows_bound: int, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` when an upper bound of its row count, times an
-    estimated row width, fits the byte budget; otherwise leave the join to
-    sort-merge (where AQE can still split skewed partitions)."""
-    width = 16 + 8 * len(df.columns)
-    if max_rows_bound * width <= max_bytes:
-        return F.broadcast(df)
-    return df
-
-
 def union_panel(history: DataFrame, future: DataFrame, end: dt.date | None = None,
                 label: str = "sales") -> DataFrame:
     """History UNION ALL future-with-NULL-label; the horizon cut applies to the
@@ -55,7 +25,7 @@ def enrich(panel: DataFrame, stores: DataFrame, context: DataFrame, norm: bool =
            label: str = "sales") -> DataFrame:
     """BASE_DATA: panel + store dimension + context, NA strings normalised,
     calendar columns added (P1, P2, P4, J1, J2, C1-C3)."""
-    st = bounded_broadcast(stores.select("store", "type", "size"))
+    st = stores.select("store", "type", "size")
     ctx = context.select("store", "dt", "temperature", "fuel_price", *NA_COLUMNS, "is_holiday")
     out = panel.join(st, "store", "left").join(ctx, ["store", "dt"], "left")
     out = normalize_na(out)
@@ -79,6 +49,11 @@ def assert_unique_key(df: DataFrame, keys=KEY) -> None:
         raise ValueError(f"key {tuple(keys)} is not unique")
 
 
+def rows_with_lag(df: DataFrame, lag: str = "lag1_store_dept_sales") -> DataFrame:
+    """Rows whose seasonal lag is present."""
+    return df.where(F.col(lag).isNotNull())
+
+
 def split_label(df: DataFrame, label: str = "sales") -> tuple[DataFrame, DataFrame]:
     """(labelled rows, unlabelled rows)."""
     return df.where(F.col(label).isNotNull()), df.where(F.col(label).isNull())

@@ -38,25 +38,20 @@ def rows_of(df: DataFrame, series: DataFrame, keys: Sequence[str] = SERIES) -> D
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width histogram between min and max, last bin closed (A5).
 
-    The two bounds are one scalar aggregate; the binning itself is a
-    distributed groupBy.
+    The two bounds are one scalar subquery, read by the distributed groupBy;
+    nothing runs before the result does.  No value, no bins.
     """
-    lo, hi = df.agg(F.min(col), F.max(col)).first()
-    if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
-    width = (float(hi) - float(lo)) / bins
     x = F.col(col).cast("double")
-    b = F.lit(0) if width == 0 else F.least(F.floor((x - F.lit(float(lo))) / F.lit(width)), F.lit(bins - 1))
-    return (
-        df.where(F.col(col).isNotNull())
-        .groupBy(b.cast("int").alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            "bin",
-            (F.lit(float(lo)) + F.col("bin") * F.lit(width)).alias("lo"),
-            (F.lit(float(lo)) + (F.col("bin") + 1) * F.lit(width)).alias("hi"),
-            "n",
-        )
+    ends = df.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    rows = df.where(F.col(col).isNotNull()).select(x.alias("x"), ends.alias("ends"))
+    lo, width = F.col("ends.lo"), (F.col("ends.hi") - F.col("ends.lo")) / bins
+    at = F.when(width == 0, F.lit(0)).otherwise(F.least(F.floor(F.try_divide(F.col("x") - lo, width)), F.lit(bins - 1)))
+    counts = rows.select(lo.alias("first"), width.alias("width"), at.cast("int").alias("bin")).groupBy("bin", "first", "width").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(
+        "bin",
+        (F.col("first") + F.col("bin") * F.col("width")).alias("lo"),
+        (F.col("first") + (F.col("bin") + 1) * F.col("width")).alias("hi"),
+        "n",
     )
 
 
@@ -74,14 +69,13 @@ def date_span(df: DataFrame, dt: str = "dt") -> DataFrame:
     return df.agg(F.min(dt).alias("first_dt"), F.max(dt).alias("last_dt"), F.count(dt).alias("n_rows"))
 
 
-def pivot_sum(df: DataFrame, row: str, col: str, value: str, values: Sequence | None = None,
-              fill: float | None = 0.0) -> DataFrame:
-    """SUM(value) by (row, col) turned wide, one column per ``col`` value,
-    missing cells filled (A8, A9).  ``values`` defaults to the sorted
-    distinct values (one small distinct job, as pivot itself would run)."""
-    if values is None:
-        values = [r[0] for r in df.select(col).distinct().orderBy(col).collect()]
-    out = df.groupBy(row).pivot(col, list(values)).agg(F.sum(value))
+def pivot_sum(df: DataFrame, row: str, col: str, value: str, values: Sequence, fill: float | None = 0.0) -> DataFrame:
+    """SUM(value) by (row, col) turned wide, one column per declared value of
+    ``col``, missing cells filled (A8, A9).  A value that is not declared
+    raises an error when the plan runs, so nothing is left out silently."""
+    unknown = F.raise_error(F.concat(F.lit(f"{col} has a value that is not declared: "), F.coalesce(F.col(col).cast("string"), F.lit("null"))))
+    checked = F.when(F.col(col).isin(list(values)), F.col(value)).otherwise(unknown.cast(df.schema[value].dataType))
+    out = df.withColumn(value, checked).groupBy(row).pivot(col, list(values)).agg(F.sum(value))
     if fill is not None:
         out = out.na.fill(fill)
     return out

@@ -139,21 +139,31 @@ def rollup_windows(df: DataFrame, values: Sequence[str], keys: Sequence[str], ba
     return parts.select(*keys, "dt", *[c.alias(n) for n, c in cols.items()])
 
 
-def rollup_row_bound(df: DataFrame, keys: Sequence[str]) -> int:
-    """Upper bound of a rollup table's rows: distinct keys x distinct dates."""
-    n_keys, n_dt = df.agg(F.count_distinct(*keys), F.count_distinct("dt")).first()
-    return int(n_keys) * int(n_dt)
+def shifted_rollup(df: DataFrame, values: Sequence[str], keys: Sequence[str], shifts: Mapping[str, int],
+                   ops: Iterable[str] = OPS, spans: Mapping[str, int] = SPANS) -> DataFrame:
+    """One row per (keys, dt) of ``df`` with, for each of ``shifts`` (name ->
+    days), a struct of the trailing frames of lag 0 at that many days before:
+    the frames run once, over the partials and a row without values at every date asked for."""
+    parts = _partials(df, values, keys).withColumn("_row", F.lit(True))
+    asked = F.explode(F.array(*[F.col(ORDER) - d for d in shifts.values()])).alias(ORDER)
+    both = parts.unionByName(parts.select(*keys, asked).distinct().withColumn("_row", F.lit(False)), allowMissingColumns=True)
+    cols = {}
+    for span_name, span in spans.items():
+        w = _frame(keys, -span, 0)
+        for value in values:
+            cols.update({feature_name(value, op, keys, span_name): _merged(value, op, w) for op in ops})
+    out = both.select(*keys, "dt", ORDER, "_row", *[c.alias(n) for n, c in cols.items()])
+    picks = {name: F.first(F.struct(*cols)).over(_frame(keys, -d, -d)) for name, d in shifts.items()}
+    return out.withColumns(picks).where("_row").select(*keys, "dt", *picks)
 
 
 def lagged_range_rollup(df: DataFrame, values: Sequence[str], keys: Sequence[str], bases: Mapping[str, int],
                         ops: Iterable[str] = OPS, spans: Mapping[str, int] = SPANS) -> DataFrame:
     """Pre-aggregated form of :func:`lagged_range` for coarse keys; equal to
-    the direct window on every row (see tests).  The rollup is broadcast
-    back when its size bound fits, else joined by sort-merge."""
-    from tidecast.operators.joins import broadcast_if_bounded
-
+    the direct window on every row (see tests).  How the rollup is joined
+    back is left to the planner: AQE broadcasts it when it turns out small."""
     feats = rollup_windows(df, values, keys, bases, ops, spans)
-    return df.join(broadcast_if_bounded(feats, rollup_row_bound(df, keys)), [*keys, "dt"], "left")
+    return df.join(feats, [*keys, "dt"], "left")
 
 
 def expanding_lagged_avg(value: str, keys: Sequence[str], base_days: int) -> Column:

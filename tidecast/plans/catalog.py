@@ -61,9 +61,15 @@ for _v in (1, 2, 3, 4):
 register("features_h10", lambda: O.features_sql(4, 10))(_features(4, 10))
 
 
-@register("features_all_horizons", lambda: O.features_all_horizons_sql(3))
-def features_all_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_doubles(build_all_horizons(tables(spark, sf_dir), 3))
+def _all_horizons(version: int) -> Builder:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return round_doubles(build_all_horizons(tables(spark, sf_dir), version))
+
+    return run
+
+
+for _v, _name in ((1, "_v1"), (2, "_v2"), (3, ""), (4, "_v4")):
+    register(f"features_all_horizons{_name}", (lambda v=_v: O.features_all_horizons_sql(v)))(_all_horizons(_v))
 
 
 # Query modules register themselves on import.

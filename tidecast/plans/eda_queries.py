@@ -11,10 +11,10 @@ from tidecast.functions.cols import NA_COLUMNS, normalize_na, round_doubles, ser
 from tidecast.functions.dates import holiday_flags, row_weight, unix_seconds, week_of_month, week_us
 from tidecast.operators import stats
 from tidecast.operators.combine import fit_overlay, fitted_history, hier_level_means, hier_means
-from tidecast.operators.joins import bounded_broadcast, split_label, union_panel, warmup_cut
+from tidecast.operators.joins import split_label, union_panel, warmup_cut
 from tidecast.plans.catalog import register, tables
 from tidecast.plans.features import BASE_COLUMNS, base_data
-from tidecast.plans.oracle import HISTORY_SQL, STORES_SQL, base_data_cte, cents, rounded, with_fixtures
+from tidecast.plans.oracle import base_data_cte, cents, rounded, with_fixtures
 from tidecast.sources import fixtures as fx
 from tidecast.sources.io import read_csv, scratch_path, write_csv
 
@@ -95,7 +95,7 @@ def warmup_cut_q(spark: SparkSession, d: str) -> DataFrame:
 
 
 _SPLIT_SQL = W(_bd(2)) + """SELECT CASE WHEN sales IS NULL THEN 'test' ELSE 'train' END AS split,
-  COUNT(*) AS n_rows, COUNT(DISTINCT store * 1000 + dept) AS n_series, MIN(dt) AS first_dt, MAX(dt) AS last_dt
+  COUNT(*) AS n_rows, COUNT(DISTINCT (store, dept)) AS n_series, MIN(dt) AS first_dt, MAX(dt) AS last_dt
 FROM base_data GROUP BY 1"""
 
 
@@ -105,7 +105,7 @@ def split_label_q(spark: SparkSession, d: str) -> DataFrame:
 
     def summary(df: DataFrame, name: str) -> DataFrame:
         return df.agg(F.lit(name).alias("split"), F.count(F.lit(1)).alias("n_rows"),
-                      F.count_distinct(F.col("store") * 1000 + F.col("dept")).alias("n_series"),
+                      F.count_distinct("store", "dept").alias("n_series"),
                       F.min("dt").alias("first_dt"), F.max("dt").alias("last_dt"))
 
     return summary(train, "train").unionByName(summary(test, "test")).where(F.col("n_rows") > 0)
@@ -130,7 +130,7 @@ _PANEL1 = f"""panel AS (SELECT store, dept, dt, sales FROM history
 def join_stores(spark: SparkSession, d: str) -> DataFrame:
     t = tables(spark, d)
     p = union_panel(t.history, t.future, fx.end_date(1))
-    return R(p.join(bounded_broadcast(t.stores), "store", "left"))
+    return R(p.join(t.stores, "store", "left"))
 
 
 @register("join_context", W(_PANEL1) + f"SELECT store, dept, dt, {cents('sales')} AS sales, "
@@ -149,6 +149,14 @@ def daily_mean(spark: SparkSession, d: str) -> DataFrame:
     return R(stats.group_mean(tables(spark, d).history, ["dt"], ["sales"]))
 
 
+@register("daily_mean_norm", W(_bd(1, norm=True)) + f"SELECT dt, {cents('AVG(norm_sales)')} AS mean_norm_sales FROM base_data "
+          "WHERE sales IS NOT NULL GROUP BY dt")
+def daily_mean_norm(spark: SparkSession, d: str) -> DataFrame:
+    """Size-normalised mean by date (A1 on P4)."""
+    bd = base_data(tables(spark, d), 1, version=4).where(F.col("sales").isNotNull())
+    return R(stats.group_mean(bd, ["dt"], ["norm_sales"]))
+
+
 @register("context_trend", W(_bd(10)) + f"SELECT dt, {cents('AVG(cpi)')} AS mean_cpi, "
           f"{cents('AVG(fuel_price)')} AS mean_fuel_price, {cents('AVG(unemployment)')} AS mean_unemployment "
           f"FROM base_data GROUP BY dt")
@@ -208,30 +216,31 @@ def date_span(spark: SparkSession, d: str) -> DataFrame:
     return a.unionByName(b)
 
 
-def _pivot_sql(src: str, col: str, value: str) -> str:
-    # A dynamic PIVOT enumerates its values at bind time, which needs a
-    # source over the registered views rather than a CTE.
-    return (f"SELECT dt, {cents('COALESCE(COLUMNS(* EXCLUDE (dt)), 0)')} "
-            f"FROM (PIVOT ({src}) ON {col} USING SUM({value}) GROUP BY dt)")
+# The departments and stores that the panel may have.
+DEPTS = tuple(range(1, 26))
+STORES = tuple(range(25))
+
 
+def _pivot_sql(col: str, values, value: str = "sales", src: str = "history") -> str:
+    cells = (cents(f"COALESCE(SUM(CASE WHEN {col} = {v} THEN {value} END), 0)") + f' AS "{v}"' for v in values)
+    return W() + f"SELECT dt, {', '.join(cells)} FROM {src} GROUP BY dt"
 
-@register("pivot_dept", _pivot_sql(f"SELECT dt, dept, sales FROM ({HISTORY_SQL})", "dept", "sales"))
+
+@register("pivot_dept", _pivot_sql("dept", DEPTS))
 def pivot_dept(spark: SparkSession, d: str) -> DataFrame:
-    return R(stats.pivot_sum(tables(spark, d).history, "dt", "dept", "sales"))
+    return R(stats.pivot_sum(tables(spark, d).history, "dt", "dept", "sales", DEPTS))
 
 
-@register("pivot_store", _pivot_sql(f"SELECT dt, store, sales FROM ({HISTORY_SQL})", "store", "sales"))
+@register("pivot_store", _pivot_sql("store", STORES))
 def pivot_store(spark: SparkSession, d: str) -> DataFrame:
-    return R(stats.pivot_sum(tables(spark, d).history, "dt", "store", "sales"))
+    return R(stats.pivot_sum(tables(spark, d).history, "dt", "store", "sales", STORES))
 
 
-@register("pivot_store_norm", _pivot_sql(f"SELECT dt, store, sales / size AS norm_sales FROM ({HISTORY_SQL}) "
-                                         f"LEFT JOIN ({STORES_SQL}) USING (store)", "store", "norm_sales"))
+@register("pivot_store_norm", _pivot_sql("store", STORES, "sales / size", "history LEFT JOIN stores USING (store)"))
 def pivot_store_norm(spark: SparkSession, d: str) -> DataFrame:
     t = tables(spark, d)
-    h = t.history.join(bounded_broadcast(t.stores), "store", "left").withColumn(
-        "norm_sales", F.try_divide(F.col("sales"), F.col("size")))
-    return R(stats.pivot_sum(h, "dt", "store", "norm_sales"))
+    h = t.history.join(t.stores, "store", "left").withColumn("norm_sales", F.try_divide(F.col("sales"), F.col("size")))
+    return R(stats.pivot_sum(h, "dt", "store", "norm_sales", STORES))
 
 
 _SEASON = ("CAST(month(dt) AS INTEGER) AS month, "
@@ -285,6 +294,14 @@ def holiday_calendar(spark: SparkSession, d: str) -> DataFrame:
     return stats.holiday_calendar(bd)
 
 
+@register("holiday_weeks", W(_bd(10)) + "SELECT DISTINCT CAST(weekofyear(dt) AS INTEGER) AS weekofyear, "
+          "COALESCE(is_holiday, false) AS is_holiday FROM base_data")
+def holiday_weeks(spark: SparkSession, d: str) -> DataFrame:
+    """Holiday calendar by week of year over history and future."""
+    bd = base_data(tables(spark, d), 10).withColumn("weekofyear", F.weekofyear("dt"))
+    return stats.holiday_calendar(bd, by="weekofyear")
+
+
 @register("top_series", W() + f"SELECT store, dept, {cents('AVG(sales)')} AS mean_sales FROM history "
           "GROUP BY store, dept ORDER BY AVG(sales) DESC, store, dept LIMIT 50")
 def top_series(spark: SparkSession, d: str) -> DataFrame:

@@ -17,16 +17,17 @@ from tidecast.functions.dates import row_weight
 from tidecast.operators import combine as C
 from tidecast.operators.encode import impute_mean, label_decode, label_encode, standardize
 from tidecast.operators.folds import holdout_folds
-from tidecast.operators.metrics import cv_score, fold_scores, wmae
+from tidecast.operators.joins import rows_with_lag
+from tidecast.operators.metrics import cv_score, fold_scores, mae, wmae
 from tidecast.operators.windows import (
     LEVELS, OPS, SPANS, expanding_lagged_avg, feature_name, lagged_range, lead_lag, rolling_mean,
     seasonal_value,
 )
 from tidecast.plans.catalog import register, tables
 from tidecast.plans.eda_queries import _HIER_JOIN, _SEASON
-from tidecast.plans.features import base_data, build_all_horizons
+from tidecast.plans.features import base_data, build_all_horizons, build_features
 from tidecast.plans.oracle import (
-    _SQL_OP, base_data_cte, cents, features_sql, range_frame, rounded, with_fixtures,
+    _SQL_OP, base_data_cte, cents, features_sql, features_sql_body, range_frame, rounded, with_fixtures,
 )
 from tidecast.sources import fixtures as fx
 from tidecast.sources.io import read_features, read_predictions, read_submission, scratch_path, \
@@ -202,6 +203,23 @@ def forecast_by_date(spark: SparkSession, d: str) -> DataFrame:
     return R(C.forecast_by_date(_preds(spark, d)))
 
 
+@register("forecast_vs_actual", W(*_FC, "u AS (SELECT dt, sales AS y, CAST(NULL AS DOUBLE) AS p FROM history "
+                                  "UNION ALL SELECT dt, CAST(NULL AS DOUBLE), pred FROM hm)")
+          + f"SELECT dt, {cents('AVG(y)')} AS mean_sales, {cents('AVG(p)')} AS mean_pred FROM u GROUP BY dt")
+def forecast_vs_actual(spark: SparkSession, d: str) -> DataFrame:
+    """Actual series and combined forecast by date."""
+    return R(C.forecast_vs_actual(tables(spark, d).history, _hmean(spark, d)))
+
+
+@register("horizon_mean_spine", W(*_FC, "sp AS (SELECT store, dept, dt FROM preds WHERE horizon = 10)")
+          + f"SELECT store, dept, dt, {cents('hm.pred')} AS pred, COALESCE(hm.n_horizons, 0) AS n_horizons "
+            "FROM sp LEFT JOIN hm USING (store, dept, dt)")
+def horizon_mean_spine(spark: SparkSession, d: str) -> DataFrame:
+    """Horizon mean on the keys of the ten-month horizon."""
+    p = _preds(spark, d)
+    return R(C.horizon_mean(p, spine=p.where(F.col("horizon") == 10).select(*KEY)))
+
+
 _SCALED = (f"sc AS (SELECT store, dept, dt, concat_ws('_', store, dept, dt) AS id, CASE "
            f"WHEN dt = DATE '{D1}' THEN (CASE WHEN dt = DATE '{D0}' THEN pred * {dbl(RATIOS[D0])} ELSE pred END)"
            f" * {dbl(RATIOS[D1])} "
@@ -311,6 +329,26 @@ def cv_score_q(spark: SparkSession, d: str) -> DataFrame:
     return R(cv_score(_fold_frame(spark, d), _PRED_COLS))
 
 
+@register("mae", W(*_FOLD_SQL) + f"SELECT {cents('AVG(abs(sales - fitted))')} AS mae, COUNT(*) AS n FROM fit "
+          "WHERE fitted IS NOT NULL")
+def mae_q(spark: SparkSession, d: str) -> DataFrame:
+    return R(mae(_fold_frame(spark, d), "sales", "fitted"))
+
+
+@register("lag_present", lambda: features_lag_sql())
+def lag_present(spark: SparkSession, d: str) -> DataFrame:
+    """Labelled feature rows whose seasonal lag is present."""
+    feats = build_features(tables(spark, d), 2, 1)
+    rows = rows_with_lag(feats.where(F.col("sales").isNotNull()))
+    return R(rows.select(*KEY, "sales", "lag1_store_dept_sales"))
+
+
+def features_lag_sql() -> str:
+    ctes, body = features_sql_body(2, 1)
+    return W(*ctes) + (f"SELECT store, dept, dt, {cents('sales')} AS sales, {cents('lag1_store_dept_sales')} AS lag1_store_dept_sales "
+                       f"FROM ({body}) WHERE sales IS NOT NULL AND lag1_store_dept_sales IS NOT NULL")
+
+
 @register("wmae", W(*_FOLD_SQL) + f"SELECT {cents('SUM(weight * abs(sales - fitted)) / SUM(weight)')} AS wmae, "
           "COUNT(*) AS n FROM fit WHERE fitted IS NOT NULL")
 def wmae_q(spark: SparkSession, d: str) -> DataFrame:

@@ -1,6 +1,10 @@
-"""Registered model queries (rows-only checks: fitted models have no SQL
-equivalent).  Fits are memoised per Spark context and input folder so the
-forecast, importance and persistence queries share one CV run."""
+"""Registered model queries.
+
+Fitted values have no SQL equivalent, so each query has a form that SQL can
+check (keys, counts, flags) and, where it differs, one with the values
+(``_values``, rows only).  Fits are kept per session and panel, so the
+forecast, importance and persistence queries share one CV run.
+"""
 
 from __future__ import annotations
 
@@ -8,72 +12,199 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.cols import round_doubles
-from tidecast.operators.metrics import cv_score
+from tidecast.operators import combine as C
+from tidecast.operators.metrics import cv_score, mae
 from tidecast.plans import models as M
 from tidecast.plans.catalog import register, tables
-from tidecast.plans.features import build_features
-from tidecast.sources.io import save_models, scratch_path, write_importance
+from tidecast.plans.features import build_features, feature_columns
+from tidecast.plans.oracle import base_data_cte, with_fixtures
+from tidecast.sources import fixtures as fx
+from tidecast.sources.io import read_predictions, save_models, scratch_path, write_importance
 
 _CACHE: dict = {}
+#: Settings of the registered boosters; the library's own are models.MAX_ROUNDS and models.PATIENCE.
+QUERY_BOOSTER = dict(max_rounds=60, patience=5)
+ENSEMBLE_BOOSTER = dict(max_rounds=2, patience=1, maxDepth=3)
+ENSEMBLE_VERSIONS = (2, 4)
 
 
-def _cv(spark: SparkSession, d: str, kind: str) -> M.CVResult:
-    key = (id(spark.sparkContext), d, kind)
+def _once(spark: SparkSession, t, kind: str, make):
+    """What ``make`` returns, once for each session, panel and kind."""
+    key = (spark.sparkContext.applicationId, tuple(t.stores.inputFiles()), kind)
     if key not in _CACHE:
-        if kind == "gbt":
-            _CACHE[key] = M.fit_gbt_cv(build_features(tables(spark, d), 4, 1), 4)
-        else:
-            _CACHE[key] = M.fit_ridge_cv(build_features(tables(spark, d), 2, 1), 2)
+        _CACHE[key] = make()
     return _CACHE[key]
 
 
-def _cv_long(res: M.CVResult) -> DataFrame:
-    wide = res.valid.groupBy(*M.KEY, M.LABEL, "weight").pivot("fold", list(range(M.N_FOLDS))).agg(F.first("pred"))
-    return wide.select(*M.KEY, M.LABEL, "weight", *[F.col(str(i)).alias(f"pred_fold{i}") for i in range(M.N_FOLDS)])
+def _cv(spark: SparkSession, d: str, kind: str) -> M.CVResult:
+    t = tables(spark, d)
+    if kind == "gbt":
+        return _once(spark, t, kind, lambda: M.fit_gbt_cv(build_features(t, 4, 1), 4, **QUERY_BOOSTER))
+    return _once(spark, t, kind, lambda: M.fit_ridge_cv(build_features(t, 2, 1), 2))
+
+
+_UNLABELLED = with_fixtures(base_data_cte(fx.end_date(1), False)) + (
+    "SELECT store, dept, dt, {} FROM base_data WHERE sales IS NULL")
+_KEYS_SQL = _UNLABELLED.format("CAST(3 AS BIGINT) AS n_folds, true AS has_pred")
 
 
-@register("gbt_forecast")
+def _keys_of(res: M.CVResult) -> DataFrame:
+    return M.fold_average(res.test).select(*M.KEY, "n_folds", F.col("pred").isNotNull().alias("has_pred"))
+
+
+@register("gbt_forecast", _KEYS_SQL)
 def gbt_forecast(spark: SparkSession, d: str) -> DataFrame:
-    """v4 features, one month ahead: mean of the three fold boosters."""
+    """v4 features, one month ahead: every unlabelled row has three fold forecasts."""
+    return _keys_of(_cv(spark, d, "gbt"))
+
+
+@register("gbt_forecast_values")
+def gbt_forecast_values(spark: SparkSession, d: str) -> DataFrame:
+    """The forecasts: mean of the three fold boosters."""
     return round_doubles(M.fold_average(_cv(spark, d, "gbt").test))
 
 
-@register("gbt_cv_score")
+@register("gbt_cv_score", "SELECT CAST(3 AS BIGINT) AS n_folds, true AS positive")
 def gbt_cv_score(spark: SparkSession, d: str) -> DataFrame:
-    res = _cv(spark, d, "gbt")
-    return cv_score(_cv_long(res), [f"pred_fold{i}" for i in range(M.N_FOLDS)])
+    wide = M.train_predictions(_cv(spark, d, "gbt"))
+    score = cv_score(wide, [f"pred_fold{i}" for i in range(M.N_FOLDS)])
+    return score.select("n_folds", (F.col("cv_wmae") > 0).alias("positive"))
 
 
-@register("importance")
+def _importance(spark: SparkSession, d: str) -> DataFrame:
+    return M.importance(_cv(spark, d, "gbt"), 4)
+
+
+@register("importance", "SELECT feature, true AS has_gain FROM (VALUES " + ", ".join(
+    f"('{c}')" for c in feature_columns(4)) + ") t(feature)")
 def importance(spark: SparkSession, d: str) -> DataFrame:
-    """Gain importance mean / std over folds; the top-50 table is also
-    written as CSV (S8)."""
-    imp = M.importance(_cv(spark, d, "gbt"), 4)
-    write_importance(imp, scratch_path(spark, "importance"))
-    return imp.limit(50)
+    """Gain importance of all features, written as CSV and read back."""
+    path = scratch_path(spark, "importance")
+    write_importance(_importance(spark, d), path)
+    table = spark.read.schema("feature string, mean double, std double").option("header", True).csv(path)
+    return table.select("feature", (F.col("mean").isNotNull() & F.col("std").isNotNull()).alias("has_gain"))
+
+
+@register("importance_values")
+def importance_values(spark: SparkSession, d: str) -> DataFrame:
+    """Mean and std of the gain over folds, largest first."""
+    return _importance(spark, d)
+
 
+@register("importance_top50")
+def importance_top50(spark: SparkSession, d: str) -> DataFrame:
+    """The 50 largest (the limit is the report)."""
+    return _importance(spark, d).limit(50)
 
-@register("model_roundtrip")
+
+@register("model_roundtrip", _UNLABELLED.format("true AS same_pred"))
 def model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Fold boosters saved and loaded back score the unlabelled rows."""
+    """Fold boosters saved and loaded back give the same forecasts."""
     res = _cv(spark, d, "gbt")
     loaded = M.load_models(save_models(res.models, scratch_path(spark, "models")), "gbt")
-    preds = [m.transform(res.test_input).select(*M.KEY, F.lit(fold).alias("fold"), F.col("prediction").alias("pred"))
-             for fold, m in loaded.items()]
-    out = preds[0]
-    for p in preds[1:]:
-        out = out.unionByName(p)
-    return round_doubles(M.fold_average(out))
+    again = M.CVResult(valid=None, test=None, models=loaded)
+    preds = M._union([m.transform(res.test_input).select(*M.KEY, F.lit(fold).alias("fold"), F.col("prediction").alias("pred"))
+                      for fold, m in again.models.items()])
+    both = M.fold_average(res.test).join(M.fold_average(preds).select(*M.KEY, F.col("pred").alias("again")), M.KEY, "full_outer")
+    return both.select(*M.KEY, F.coalesce(F.abs(F.col("pred") - F.col("again")) < 1e-6, F.lit(False)).alias("same_pred"))
 
 
-@register("ridge_forecast")
+@register("ridge_forecast", _KEYS_SQL)
 def ridge_forecast(spark: SparkSession, d: str) -> DataFrame:
-    """v2 features, one month ahead: mean of the three fold ridge models."""
+    """v2 features, one month ahead: every unlabelled row has three fold forecasts."""
+    return _keys_of(_cv(spark, d, "ridge"))
+
+
+@register("ridge_forecast_values")
+def ridge_forecast_values(spark: SparkSession, d: str) -> DataFrame:
+    """The forecasts: mean of the three fold ridge models."""
     return round_doubles(M.fold_average(_cv(spark, d, "ridge").test))
 
 
-@register("ridge_grid")
+@register("ridge_grid", "SELECT CAST(f AS INTEGER) AS fold, CAST(a AS INTEGER) AS alpha_index, true AS has_mae, "
+          "CAST(1 AS BIGINT) AS n_chosen FROM range(3) x(f), range(10) y(a)")
 def ridge_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Every penalty was tried on every fold, and one of each fold was chosen."""
+    rows = ridge_grid_values(spark, d)
+    index = F.round(F.col("alpha") * (len(M.RIDGE_ALPHAS) - 1)).cast("int")
+    chosen = rows.groupBy("fold").agg(F.sum(F.col("chosen").cast("int")).alias("n_chosen"))
+    return rows.select("fold", index.alias("alpha_index"), F.col("mae").isNotNull().alias("has_mae")).join(chosen, "fold")
+
+
+@register("ridge_grid_values")
+def ridge_grid_values(spark: SparkSession, d: str) -> DataFrame:
     """Validation MAE of every penalty on every fold."""
-    res = _cv(spark, d, "ridge")
-    return spark.createDataFrame(res.info, "fold int, alpha double, mae double")
+    return spark.createDataFrame(_cv(spark, d, "ridge").info, "fold int, alpha double, mae double, chosen boolean")
+
+
+# --- the training path over all horizons ------------------------------------------
+
+def _sink(spark: SparkSession, d: str) -> str:
+    """Both versions trained for every horizon, both sides of every fit written."""
+    def make() -> str:
+        path = scratch_path(spark, "horizon-predictions")
+        for v in ENSEMBLE_VERSIONS:
+            M.write_horizon_predictions(M.horizon_fits(t, v, **ENSEMBLE_BOOSTER), f"v{v}", path)
+        return path
+
+    t = tables(spark, d)
+    return _once(spark, t, "ensemble", make)
+
+
+def _combined(spark: SparkSession, d: str, version: int) -> DataFrame:
+    """Mean over horizons on the spine of the last one, scaled dates."""
+    preds = read_predictions(spark, _sink(spark, d), f"v{version}")
+    spine = preds.where(F.col("horizon") == max(fx.HORIZONS)).select(*M.KEY)
+    mean = C.horizon_mean(preds, spine=spine)
+    d0, d1 = fx.POST_WEEKS
+    return C.scale_dates(mean, {d0: 6 / 7, d1: 8 / 7})
+
+
+_SPINE_SQL = with_fixtures() + f"""SELECT concat_ws('_', store, dept, dt) AS id, CAST(3 AS BIGINT) AS n_models, true AS has_pred,
+  CAST(11 - GREATEST(1, CAST(ceil(date_diff('day', DATE '{fx.CUTOFF}', dt) / 28.0) AS INTEGER)) AS BIGINT) AS n_horizons
+FROM future WHERE dt <= DATE '{fx.end_date(10)}'"""
+
+
+def _ensemble(spark: SparkSession, d: str) -> DataFrame:
+    t = tables(spark, d)
+    parts = [_combined(spark, d, v) for v in ENSEMBLE_VERSIONS]
+    named = [p.withColumn("id", C.series_id("store", "dept", "dt")) for p in parts]
+    baseline = C.hier_forecast(t.history, t.future.where(F.col("dt") <= F.lit(fx.end_date(max(fx.HORIZONS)))))
+    out = C.blend([*named, baseline])
+    return out.join(named[0].select("id", "n_horizons"), "id", "left")
+
+
+@register("ensemble_submission", _SPINE_SQL)
+def ensemble_submission(spark: SparkSession, d: str) -> DataFrame:
+    """(v2 + v4 + baseline) / 3 on the spine of ten horizons (M17): every key
+    has all models, and each row the horizons that reach it."""
+    return _ensemble(spark, d).select("id", "n_models", F.col("pred").isNotNull().alias("has_pred"), "n_horizons")
+
+
+@register("ensemble_submission_values")
+def ensemble_submission_values(spark: SparkSession, d: str) -> DataFrame:
+    return round_doubles(_ensemble(spark, d))
+
+
+@register("train_predictions", with_fixtures(base_data_cte(fx.end_date(1), False)) + f"""SELECT 'v' || v AS model, CAST(h AS INTEGER) AS horizon, COUNT(*) AS n_rows,
+  COUNT(*) FILTER (WHERE dt > last - 28) AS n_fold0, COUNT(*) FILTER (WHERE dt > last - 56) AS n_fold1, COUNT(*) AS n_fold2
+FROM (SELECT dt, MAX(dt) OVER () AS last FROM base_data WHERE sales IS NOT NULL), (VALUES (2), (4)) a(v), range(1, 11) b(h)
+WHERE dt > last - 84 GROUP BY ALL""")
+def train_predictions(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the training-side sink by model, horizon and fold."""
+    parts = []
+    for v in ENSEMBLE_VERSIONS:
+        rows = read_predictions(spark, _sink(spark, d), f"v{v}", "train")
+        parts.append(rows.groupBy(F.lit(f"v{v}").alias("model"), F.col("horizon").cast("int")).agg(
+            F.count(F.lit(1)).alias("n_rows"), *[F.count(f"pred_fold{i}").alias(f"n_fold{i}") for i in range(M.N_FOLDS)]))
+    return M._union(parts)
+
+
+@register("ensemble_mae")
+def ensemble_mae(spark: SparkSession, d: str) -> DataFrame:
+    """MAE of each version's last fold on its training side."""
+    parts = []
+    for v in ENSEMBLE_VERSIONS:
+        rows = read_predictions(spark, _sink(spark, d), f"v{v}", "train")
+        parts.append(mae(rows, "sales", "pred_fold2").select(F.lit(f"v{v}").alias("model"), "mae", "n"))
+    return M._union(parts)

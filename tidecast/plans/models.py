@@ -10,18 +10,25 @@ tree ensembles and per-fold scalars live on the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.dates import holiday_flags, row_weight, with_date_parts
-from tidecast.operators.encode import fit_codes, impute_mean, standardize
+from tidecast.operators.encode import code_tables, impute_mean, standardize
 from tidecast.operators.folds import holdout_folds
-from tidecast.plans.features import CATEGORICAL, LAG, feature_columns
+from tidecast.operators.joins import rows_with_lag
+from tidecast.operators.metrics import mae
+from tidecast.plans.features import CATEGORICAL, LAG, build_all_horizons, feature_columns
+from tidecast.sources.io import write_predictions
+from tidecast.sources.panel import PanelTables
 from tidecast.session import ensure_checkpoint_dir
 
 KEY = ["store", "dept", "dt"]
@@ -33,6 +40,8 @@ MISSING = -1.0e12  # sentinel for absent values; trees split it off like a missi
 # Booster settings of the reference configuration.
 GBT_PARAMS = dict(maxDepth=4, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8",
                   minInstancesPerNode=10, maxBins=256, lossType="squared", seed=SEED)
+MAX_ROUNDS, PATIENCE = 100_000, 200
+SIDE_BY_SIDE = 4  # horizons whose fits are submitted together
 RIDGE_ALPHAS = tuple(float(a) for a in np.linspace(0.0, 1.0, 10))
 
 
@@ -48,13 +57,12 @@ def training_frame(features: DataFrame) -> DataFrame:
 
 
 def _checkpoint(df: DataFrame, spread: bool = False) -> DataFrame:
-    """Materialise in the shared checkpoint folder.  ``spread`` first deals
-    the rows round-robin over the cluster's default parallelism: the
-    iterative fits then aggregate over evenly sized partitions that use
-    every core, whatever AQE coalesced the feature plan's output to."""
+    """Materialise in the shared checkpoint folder.  ``spread`` first evens
+    the partitions out (a rebalance, which AQE sizes by bytes), so that the
+    iterative fits aggregate over evenly sized tasks."""
     ensure_checkpoint_dir(df.sparkSession)
     if spread:
-        df = df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+        df = df.hint("rebalance")
     return df.checkpoint(eager=True)
 
 
@@ -71,59 +79,80 @@ def _split_folds(train: DataFrame) -> DataFrame:
     return holdout_folds(train, N_FOLDS)
 
 
-def _with_nominal(df: DataFrame, cats, max_bins: int) -> tuple[DataFrame, list[str]]:
-    """Encode categoricals in sorted-value order and tag them as nominal ML
-    attributes (bounded by ``max_bins`` levels, else they stay ordinal)."""
-    out, used = df, []
-    for c in cats:
-        codes = fit_codes(df, c, max_levels=100_000)
+def _with_nominal(df: DataFrame, cats) -> tuple[DataFrame, int]:
+    """Categoricals encoded in sorted-value order as nominal ML attributes in
+    columns ``code_<name>``, as some of them are keys too; (frame, most levels
+    of a column).  Trees need as many bins as levels."""
+    out, most = df, 0
+    for c, codes in code_tables(df, cats).items():
         n = codes.count()
-        b = F.broadcast(codes)
-        out = out.join(b, out[c].eqNullSafe(b["value"]), "left").drop("value")
-        code = F.col("code").cast("double")
-        if n <= max_bins:
-            meta = {"ml_attr": {"type": "nominal", "num_vals": int(n), "name": c}}
-            out = out.withColumn(c, code.alias(c, metadata=meta)).drop("code")
-            used.append(c)
-        else:
-            out = out.withColumn(c, code).drop("code")
-    return out, used
-
-
-def fit_gbt_cv(features: DataFrame, version: int, max_iter: int = 60, **overrides) -> CVResult:
-    """Weighted squared-loss boosted trees, one model per hold-out fold (M6, M7).
-
-    Each fold fits ``max_iter`` rounds, scores every prefix on its
-    validation rows (absolute error, the early-stopping metric) and refits
-    with the best number of rounds and the same seed, which reproduces the
-    first trees exactly.
-    """
+        most = max(most, n)
+        out = out.join(codes, out[c].eqNullSafe(codes["value"]), "left").drop("value")
+        meta = {"ml_attr": {"type": "nominal", "num_vals": n, "name": c}}
+        out = out.withColumn(f"code_{c}", F.col("code").cast("double").alias(f"code_{c}", metadata=meta)).drop("code")
+    return out, most
+
+
+def _per_fold(spark: SparkSession, fit: Callable[[int], tuple]) -> list[tuple]:
+    """Results of ``fit`` for each fold; folds are independent, so their jobs
+    are submitted side by side."""
+    with ThreadPool(N_FOLDS) as pool:
+        return pool.map(inheritable_thread_target(spark)(fit), range(N_FOLDS))
+
+
+def boost(gbt: GBTRegressor, fit_df: DataFrame, val_df: DataFrame, max_rounds: int, patience: int) -> tuple:
+    """(model, best number of rounds, its validation error): rounds are added
+    until none of the last ``patience`` lowered the absolute error on the
+    validation rows, and the model with the best number is returned.  MLlib
+    can't go on from a fitted ensemble, so a longer one is fitted anew; with
+    the same seed its first trees are the same."""
+    rounds = min(max_rounds, patience + 1)
+    while True:
+        model = gbt.copy({gbt.maxIter: rounds}).fit(fit_df)
+        errors = model.evaluateEachIteration(val_df, "absolute")
+        best = int(np.argmin(errors)) + 1
+        if rounds >= max_rounds or rounds - best >= patience:
+            break
+        rounds = min(max_rounds, max(2 * rounds, best + patience))
+    if best < rounds:
+        model = gbt.copy({gbt.maxIter: best}).fit(fit_df)
+    return model, best, float(errors[best - 1])
+
+
+def fit_gbt_cv(features: DataFrame, version: int, max_rounds: int = MAX_ROUNDS, patience: int = PATIENCE, **overrides) -> CVResult:
+    """Weighted squared-loss boosted trees, one model per hold-out fold, each
+    stopped early on its validation rows (M6, M7).  ``overrides`` replace
+    booster settings, e.g. ``stepSize=0.01`` for the slow variant."""
     params = {**GBT_PARAMS, **overrides}
     cols = feature_columns(version)
     # The feature plan runs once: encoding statistics and fits read this.
     df = _checkpoint(training_frame(features).select(*dict.fromkeys([*KEY, LABEL, "weight", *cols])))
-    df, _ = _with_nominal(df, CATEGORICAL[version], params["maxBins"])
+    df, levels = _with_nominal(df, CATEGORICAL[version])
+    params["maxBins"] = max(params["maxBins"], levels)
     numeric = [c for c in cols if c not in CATEGORICAL[version]]
     df = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in numeric})
-    vec = VectorAssembler(inputCols=cols, outputCol="features")
+    inputs = [f"code_{c}" if c in CATEGORICAL[version] else c for c in cols]
+    vec = VectorAssembler(inputCols=inputs, outputCol="features")
     df = _checkpoint(vec.transform(df).select(*KEY, LABEL, "weight", "features"))
     train = _checkpoint(_split_folds(df.where(F.col(LABEL).isNotNull())), spread=True)
     test = df.where(F.col(LABEL).isNull())
+    gbt = GBTRegressor(labelCol=LABEL, weightCol="weight", **params)
+
+    def fit(n: int) -> tuple:
+        return boost(gbt, train.where(~F.col(f"valid_{n}")), train.where(F.col(f"valid_{n}")), max_rounds, patience)
+
     res = CVResult(valid=None, test=None, test_input=test.select(*KEY, "features"))
-    valids, tests = [], []
-    for n in range(N_FOLDS):
-        fit_df = train.where(~F.col(f"valid_{n}"))
-        val_df = train.where(F.col(f"valid_{n}"))
-        gbt = GBTRegressor(labelCol=LABEL, weightCol="weight", maxIter=max_iter, **params)
-        model = gbt.fit(fit_df)
-        errors = model.evaluateEachIteration(val_df, "absolute")
-        best = int(np.argmin(errors)) + 1
-        if best < max_iter:
-            model = gbt.copy({gbt.maxIter: best}).fit(fit_df)
+    for n, (model, best, error) in enumerate(_per_fold(train.sparkSession, fit)):
         res.models[n] = model
-        res.info.append({"fold": n, "best_iter": best, "valid_mae": float(errors[best - 1])})
-        valids.append(model.transform(val_df).select(*KEY, LABEL, "weight", F.lit(n).alias("fold"),
-                                                     F.col("prediction").alias("pred")))
+        res.info.append({"fold": n, "best_iter": best, "valid_mae": error})
+    return _predict(res, train, test)
+
+
+def _predict(res: CVResult, train: DataFrame, test: DataFrame) -> CVResult:
+    valids, tests = [], []
+    for n, model in res.models.items():
+        valids.append(model.transform(train.where(F.col(f"valid_{n}"))).select(
+            *KEY, LABEL, "weight", F.lit(n).alias("fold"), F.col("prediction").alias("pred")))
         tests.append(model.transform(test).select(*KEY, F.lit(n).alias("fold"), F.col("prediction").alias("pred")))
     res.valid = _union(valids)
     res.test = _union(tests)
@@ -131,8 +160,8 @@ def fit_gbt_cv(features: DataFrame, version: int, max_iter: int = 60, **override
 
 
 def importance(res: CVResult, version: int) -> DataFrame:
-    """Gain importance per feature: mean and population std over folds,
-    largest first (A16, O3)."""
+    """Gain importance of every feature: mean and population std over folds,
+    largest first (A16, O3).  MLlib scales a model's gains to the sum 1."""
     spark = res.test.sparkSession
     names = feature_columns(version)
     rows = [(names[i], fold, float(v)) for fold, m in res.models.items()
@@ -167,35 +196,35 @@ def fit_ridge_cv(features: DataFrame, version: int = 2, alphas=RIDGE_ALPHAS) ->
     keep = list(dict.fromkeys([*KEY, LABEL, "weight", LAG, *cols]))
     # The feature plan runs once: imputation/scaling statistics and fits read this.
     df = _checkpoint(training_frame(features).select(*keep))
-    train = df.where(F.col(LABEL).isNotNull() & F.col(LAG).isNotNull())
+    train = rows_with_lag(df.where(F.col(LABEL).isNotNull()), LAG)
     test = df.where(F.col(LABEL).isNull())
     train, test = impute_mean(train, test, cols)
+    train, test = _checkpoint(train), _checkpoint(test)
     train, test = standardize(train, test, cols)
     vec = VectorAssembler(inputCols=cols, outputCol="features")
     train = _checkpoint(_split_folds(vec.transform(train).select(*KEY, LABEL, "weight", "features")), spread=True)
-    test = vec.transform(test).select(*KEY, "features")
-    res = CVResult(valid=None, test=None, test_input=test)
-    valids, tests = [], []
-    for n in range(N_FOLDS):
-        fit_df = train.where(~F.col(f"valid_{n}"))
-        val_df = train.where(F.col(f"valid_{n}"))
+    test = _checkpoint(vec.transform(test).select(*KEY, "features"))
+
+    def fit(n: int) -> tuple:
+        fit_df, val_df = train.where(~F.col(f"valid_{n}")), train.where(F.col(f"valid_{n}"))
         n_rows, sd = fit_df.agg(F.count(F.lit(1)), F.stddev_pop(LABEL)).first()
-        best, best_mae = None, float("inf")
+        best, info = None, []
         for a in alphas:
             lr = LinearRegression(labelCol=LABEL, regParam=a * (sd or 0.0) / n_rows, elasticNetParam=0.0,
                                   standardization=False, solver="normal", fitIntercept=True)
             m = lr.fit(fit_df)
-            mae = m.transform(val_df).agg(F.avg(F.abs(F.col("prediction") - F.col(LABEL)))).first()[0]
-            res.info.append({"fold": n, "alpha": a, "mae": float(mae)})
-            if mae <= best_mae:
-                best, best_mae = m, mae
-        res.models[n] = best
-        valids.append(best.transform(val_df).select(*KEY, LABEL, "weight", F.lit(n).alias("fold"),
-                                                    F.col("prediction").alias("pred")))
-        tests.append(best.transform(test).select(*KEY, F.lit(n).alias("fold"), F.col("prediction").alias("pred")))
-    res.valid = _union(valids)
-    res.test = _union(tests)
-    return res
+            error = mae(m.transform(val_df), LABEL, "prediction").first()["mae"]
+            info.append({"fold": n, "alpha": a, "mae": float(error), "chosen": False})
+            if best is None or error <= info[best[0]]["mae"]:
+                best = (len(info) - 1, m)
+        info[best[0]]["chosen"] = True
+        return best[1], info
+
+    res = CVResult(valid=None, test=None, test_input=test)
+    for n, (model, info) in enumerate(_per_fold(train.sparkSession, fit)):
+        res.models[n] = model
+        res.info += info
+    return _predict(res, train, test)
 
 
 def fold_average(test_preds: DataFrame) -> DataFrame:
@@ -208,17 +237,39 @@ def load_models(paths: dict[int, str], kind: str = "gbt") -> dict:
     return {fold: cls.load(p) for fold, p in paths.items()}
 
 
-def forecast_horizons(tables, version: int, kind: str = "gbt", horizons=None, **params) -> DataFrame:
-    """Per-horizon CV fits (one feature set and one 3-fold fit per horizon, as
-    the training drivers run them) and the long forecast table
-    (store, dept, dt, horizon, pred) that the combination operators take."""
-    from tidecast.plans.features import build_features
-    from tidecast.sources.fixtures import HORIZONS
+def train_predictions(res: CVResult) -> DataFrame:
+    """Training-side predictions: a row for each labelled key that some fold
+    validates, with a column for each fold (S5)."""
+    wide = res.valid.groupBy(*KEY, LABEL, "weight").pivot("fold", list(range(N_FOLDS))).agg(F.first("pred"))
+    return wide.select(*KEY, LABEL, "weight", *[F.col(str(i)).alias(f"pred_fold{i}") for i in range(N_FOLDS)])
 
-    out = None
-    for h in horizons or HORIZONS:
-        feats = build_features(tables, version, h)
-        res = fit_gbt_cv(feats, version, **params) if kind == "gbt" else fit_ridge_cv(feats, version, **params)
-        part = fold_average(res.test).select(*KEY, F.lit(h).alias("horizon"), "pred")
-        out = part if out is None else out.unionByName(part)
-    return out
+
+def horizon_fits(tables: PanelTables, version: int, kind: str = "gbt", horizons: Iterable[int] | None = None, **params) -> dict[int, CVResult]:
+    """A CV fit for each horizon, on one materialised table of all horizons'
+    features; the fits are independent and submitted a few at a time."""
+    horizons = list(horizons or tables.calendar.horizons)
+    feats = _checkpoint(build_all_horizons(tables, version, horizons))
+    train = fit_gbt_cv if kind == "gbt" else fit_ridge_cv
+
+    def fit(h: int) -> CVResult:
+        return train(feats.where(F.col("horizon") == h).drop("horizon"), version, **params)
+
+    with ThreadPool(SIDE_BY_SIDE) as pool:
+        return dict(zip(horizons, pool.map(inheritable_thread_target(feats.sparkSession)(fit), horizons)))
+
+
+def forecast_horizons(tables: PanelTables, version: int, kind: str = "gbt", horizons: Iterable[int] | None = None, **params) -> DataFrame:
+    """Per-horizon CV fits (one 3-fold fit per horizon, as the training
+    drivers run them) and the long forecast table (store, dept, dt, horizon,
+    pred) that the combination operators take."""
+    fits = horizon_fits(tables, version, kind, horizons, **params)
+    return _union([fold_average(res.test).select(*KEY, F.lit(h).alias("horizon"), "pred") for h, res in fits.items()])
+
+
+def write_horizon_predictions(fits: dict[int, CVResult], model: str, path: str) -> None:
+    """Both sides of every horizon: test forecasts and training predictions
+    per fold, partitioned by (model, horizon, split) (S5)."""
+    tests = _union([fold_average(r.test).select(*KEY, "pred", F.lit(h).alias("horizon")) for h, r in fits.items()])
+    trains = _union([train_predictions(r).withColumn("horizon", F.lit(h)) for h, r in fits.items()])
+    write_predictions(tests.withColumns({"model": F.lit(model), "split": F.lit("test")}), path)
+    write_predictions(trains.withColumns({"model": F.lit(model), "split": F.lit("train")}), path)

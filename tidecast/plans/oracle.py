@@ -2,9 +2,8 @@
 
 Only the raw tables are registered as views on the oracle side, so every
 statement starts with the derived panel tables (FIXTURES.md) as CTEs.  The
-feature SQL keeps the shape of a warehouse feature query - direct RANGE
-windows for every level and LEFT self-joins back on the key - so it checks
-both the pre-aggregated rollups and the in-place window rewrite.
+feature SQL uses direct RANGE windows for every level over the base data, so
+it checks the pre-aggregated rollups and the shifted frames.
 """
 
 from __future__ import annotations
@@ -35,11 +34,11 @@ STORES_SQL = """SELECT s_nationkey AS store,
   FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY s_nationkey"""
 
 FIXTURE_CTES = f"""
-sales_all AS ({SALES_ALL_SQL}),
+sales_all AS MATERIALIZED ({SALES_ALL_SQL}),
 history AS (SELECT * FROM sales_all WHERE dt < DATE '{CUTOFF}'),
 future AS (SELECT store, dept, dt FROM sales_all WHERE dt >= DATE '{CUTOFF}'),
-stores AS ({STORES_SQL}),
-context AS (
+stores AS MATERIALIZED ({STORES_SQL}),
+context AS MATERIALIZED (
   SELECT store, dt, CAST(COUNT(*) AS DOUBLE) AS temperature, MIN(o_totalprice) AS fuel_price,
 {_MARKDOWNS},
   CASE WHEN COUNT(*) < 2 THEN 'NA' ELSE CAST(CAST(MAX(o_totalprice) AS DECIMAL(18,2)) AS VARCHAR) END AS cpi,
@@ -78,7 +77,7 @@ def base_data_cte(end: dt.date | None, norm: bool, name: str = "base_data") -> s
     if end is not None:
         fut += f" WHERE dt <= DATE '{end}'"
     norm_col = "p.sales / s.size AS norm_sales," if norm else ""
-    return f"""{name} AS (
+    return f"""{name} AS MATERIALIZED (
   SELECT p.store, p.dept, p.dt, CAST(month(p.dt) AS INTEGER) AS month,
          CAST(strftime(p.dt, '%U') AS INTEGER) AS week,
          date_diff('day', DATE '1970-01-01', p.dt) * 86400 AS unixtime,
@@ -117,31 +116,24 @@ def window_select(version: int, base: int) -> list[str]:
 
 
 def features_sql_body(version: int, horizon: int, start: dt.date = START, tag: str = "") -> tuple[list[str], str]:
-    """(ctes, select) of one version/horizon feature set, written as the
-    warehouse form: windows in separate CTEs joined back on the key."""
-    from tidecast.plans.features import output_columns, window_columns
-
+    """(ctes, select) of one version/horizon feature set: direct RANGE windows
+    for every level in one pass over the base data, differences on top."""
     base = MONTH_DAYS * horizon
-    b, t, lg = f"base_data{tag}", f"target{tag}", f"lagf{tag}"
+    b, t = f"base_data{tag}", f"target{tag}"
+    wins = window_select(version, base)
+    if version >= 2:
+        wins.append(f"FIRST_VALUE(sales) {range_frame(('store', 'dept', 'month', 'week'), None, base)} AS lag1_store_dept_sales")
     ctes = [
         base_data_cte(end_date(horizon), version >= 4, b),
-        f"{t} AS (SELECT store, dept, dt, " + ",\n  ".join(window_select(version, base)) + f" FROM {b})",
+        f"{t} AS MATERIALIZED (SELECT {b}.*, " + ",\n  ".join(wins) + f" FROM {b})",
     ]
-    joins = f"FROM {b} LEFT JOIN {t} USING (store, dept, dt)"
-    if version >= 2:
-        ctes.append(f"{lg} AS (SELECT store, dept, dt, FIRST_VALUE(sales) "
-                    f"{range_frame(('store', 'dept', 'month', 'week'), None, base)} AS lag1_store_dept_sales "
-                    f"FROM {b})")
-        joins += f" LEFT JOIN {lg} USING (store, dept, dt)"
     diffs = ""
     if version >= 3:
         diffs = ", " + ", ".join(
             f"{feature_name('sales', 'avg', k, s)} - lag1_store_dept_sales AS diff_{feature_name('sales', 'avg', k, s)}"
             for k in LEVELS for s in SPANS
         )
-    wins = [c for c in window_columns(version) if not c.startswith("diff_")]
-    inner = f"SELECT {b}.*, {', '.join(wins)}{diffs} {joins} WHERE dt >= DATE '{start}'"
-    return ctes, inner
+    return ctes, f"SELECT {t}.*{diffs} FROM {t} WHERE dt >= DATE '{start}'"
 
 
 def feature_doubles(version: int) -> list[tuple[str, bool]]:

@@ -11,11 +11,14 @@ cost grows with the input.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidecast.session import ensure_checkpoint_dir
+from tidecast.sources.panel import Calendar, PanelTables
+
 # Fixed calendar of the derived panel (values that must agree with the
 # oracle SQL): history ends before the cut-off, the future holds 39 weeks.
 CUTOFF = dt.date(2001, 2, 5)          # first unlabelled week
@@ -25,6 +28,7 @@ MONTH_DAYS = 28                       # one forecast "month"
 HORIZONS = tuple(range(1, 11))        # forecast horizons in months
 
 START = FIRST_WEEK + dt.timedelta(days=WARMUP_DAYS)
+CALENDAR = Calendar(cutoff=CUTOFF, start=START, month_days=MONTH_DAYS, horizons=HORIZONS)
 
 # The future holiday week (ISO week 36) and the week after it,
 # the pair the date post-processing (scale / redistribute) acts on.
@@ -33,7 +37,7 @@ POST_WEEKS = (dt.date(2001, 9, 3), dt.date(2001, 9, 10))
 
 def end_date(horizon: int) -> dt.date:
     """Last future date visible to the feature set of ``horizon``."""
-    return CUTOFF + dt.timedelta(days=MONTH_DAYS * horizon)
+    return CALENDAR.end_date(horizon)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,34 +48,38 @@ def _week(ts: Column) -> Column:
     return F.to_date(F.date_trunc("week", ts))
 
 
-def sales_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_all(spark: SparkSession, sf_dir: str, before: dt.date | None = None, since: dt.date | None = None) -> DataFrame:
     """Weekly revenue per (store, dept, dt), history and future together.
 
-    Line items are first pre-aggregated per (part, supplier, week): the map
-    side combine collapses hot parts/suppliers before any shuffle, so the
-    joins to the part and supplier dimensions see at most one row per
-    (part, supplier, week) whatever the key skew.  Decimal sums keep the
-    result exact, hence independent of the aggregation order.
+    Line items are joined to the part and supplier dimensions (AQE
+    broadcasts a small one and splits skewed partitions of a shuffled one)
+    and aggregated once; the map-side combine of that aggregation is what
+    reduces the rows.  Decimal sums keep the result exact, hence independent
+    of the aggregation order.  ``before`` and ``since`` must be Mondays: the
+    week's cut-off is then a plain predicate on the ship date, which reaches
+    the scan.
     """
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_discount")
+    for day, keep in ((before, F.col("l_shipdate") < F.lit(before)), (since, F.col("l_shipdate") >= F.lit(since))):
+        if day is not None:
+            if day.weekday():
+                raise ValueError(f"{day} is not a Monday")
+            li = li.where(keep)
     rev = (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).cast("decimal(18,4)")
-    pre = li.groupBy("l_partkey", "l_suppkey", _week(F.col("l_shipdate")).alias("dt")).agg(
-        F.sum(rev).alias("rev")
-    )
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", F.substring("p_brand", 7, 100).cast("int").alias("dept")
     )
     supp = read_table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("store"))
-    joined = pre.join(part, pre.l_partkey == part.p_partkey).join(supp, pre.l_suppkey == supp.s_suppkey)
-    return joined.groupBy("store", "dept", "dt").agg(F.sum("rev").cast("double").alias("sales"))
+    joined = li.join(part, li.l_partkey == part.p_partkey).join(supp, li.l_suppkey == supp.s_suppkey)
+    return joined.groupBy("store", "dept", _week(F.col("l_shipdate")).alias("dt")).agg(F.sum(rev).cast("double").alias("sales"))
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_all(spark, sf_dir).where(F.col("dt") < F.lit(CUTOFF))
+    return sales_all(spark, sf_dir, before=CUTOFF)
 
 
 def future(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_all(spark, sf_dir).where(F.col("dt") >= F.lit(CUTOFF)).select("store", "dept", "dt")
+    return sales_all(spark, sf_dir, since=CUTOFF).select("store", "dept", "dt")
 
 
 def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,62 +104,52 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-varying store context with the 'NA' strings of the raw CSV form.
 
-    Orders are first pre-aggregated per (customer, week) - count, min, max
-    and exact decimal amounts per priority - so a hot customer is combined
-    map-side before the join to the customer dimension.  Every output
-    column decomposes exactly over that grouping; the distinct-customer
-    count becomes a row count because each (customer, week) is one row.
+    Orders are joined to the customer dimension and aggregated once per
+    (store, week).
     """
-    orders = read_table(spark, sf_dir, "orders")
-    price = F.col("o_totalprice")
-    amount = price.cast("decimal(18,2)")
-    pre = orders.groupBy("o_custkey", _week(F.col("o_orderdate")).alias("dt")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(price).alias("mn"),
-        F.max(price).alias("mx"),
-        *[F.sum(F.when(F.col("o_orderpriority").startswith(f"{i}-"), amount)).alias(f"a{i}") for i in range(1, 6)],
-    )
+    orders = read_table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("store"))
-    base = pre.join(cust, pre.o_custkey == cust.c_custkey)
-    n = F.sum("n")
-    n_cust = F.count(F.lit(1))
-    markdowns = [F.coalesce(F.sum(f"a{i}").cast("string"), F.lit("NA")).alias(f"markdown{i}") for i in range(1, 6)]
+    week = _week(F.col("o_orderdate"))
+    base = orders.join(cust, orders.o_custkey == cust.c_custkey).withColumns({"dt": week, "amount": F.col("o_totalprice").cast("decimal(18,2)")})
+    n = F.count(F.lit(1))
+    n_cust = F.count_distinct("o_custkey")
+    sums = [F.sum(F.when(F.col("o_orderpriority").startswith(f"{i}-"), F.col("amount"))) for i in range(1, 6)]
+    markdowns = [F.coalesce(x.cast("string"), F.lit("NA")).alias(f"markdown{i}") for i, x in enumerate(sums, 1)]
     return base.groupBy("store", "dt").agg(
         n.cast("double").alias("temperature"),
-        F.min("mn").alias("fuel_price"),
+        F.min("o_totalprice").alias("fuel_price"),
         *markdowns,
-        F.when(n < 2, F.lit("NA")).otherwise(F.max("mx").cast("decimal(18,2)").cast("string")).alias("cpi"),
+        F.when(n < 2, F.lit("NA")).otherwise(F.max("o_totalprice").cast("decimal(18,2)").cast("string")).alias("cpi"),
         F.when(n_cust < 2, F.lit("NA")).otherwise(n_cust.cast("string")).alias("unemployment"),
         F.max(F.weekofyear("dt")).isin(6, 36, 47, 52).alias("is_holiday"),
     )
 
 
-@dataclass(frozen=True)
-class PanelTables:
-    history: DataFrame
-    future: DataFrame
-    stores: DataFrame
-    context: DataFrame
-
-
 _MATERIALIZED: dict = {}
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    from tidecast.session import ensure_checkpoint_dir
-
-    return ensure_checkpoint_dir(spark).rstrip("/")
+def _listing(spark: SparkSession, sf_dir: str) -> tuple:
+    """Files of the source tables with their lengths and times of change."""
+    out = []
+    for name in ("lineitem", "part", "supplier", "nation", "orders", "customer"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def load_panel_tables(spark: SparkSession, sf_dir: str, materialize: bool = False) -> PanelTables:
     """The four input tables of the feature plans.
 
-    With ``materialize`` the derived tables are written once per session as
-    Parquet under the shared checkpoint folder and read back: every later
-    plan starts from the small weekly panel instead of re-deriving it from
-    the raw line items (one raw scan instead of one per branch), lineage is
-    cut at that point, and the reads get column pruning and pushed-down
-    date filters.
+    With ``materialize`` the derived tables are written once per session and
+    state of the input files as Parquet under the shared checkpoint folder
+    and read back: every later plan starts from the small weekly panel
+    instead of re-deriving it from the raw line items (one raw scan instead
+    of one per branch), lineage is cut at that point, and the reads get
+    column pruning and pushed-down date filters.
     """
     if not materialize:
         return PanelTables(
@@ -159,22 +157,24 @@ def load_panel_tables(spark: SparkSession, sf_dir: str, materialize: bool = Fals
             future=future(spark, sf_dir),
             stores=stores(spark, sf_dir),
             context=context(spark, sf_dir),
+            calendar=CALENDAR,
         )
-    key = (id(spark.sparkContext), sf_dir)
-    paths = _MATERIALIZED.get(key)
-    if paths is None:
-        import uuid
-
-        root = f"{_shared_folder(spark)}/panel-{uuid.uuid4().hex[:12]}"
+    key = (spark.sparkContext.applicationId, sf_dir)
+    files = _listing(spark, sf_dir)
+    known = _MATERIALIZED.get(key)
+    if known is None or known[0] != files:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/panel-{uuid.uuid4().hex[:12]}"
         paths = {}
         for name, fn in (("sales_all", sales_all), ("stores", stores), ("context", context)):
             paths[name] = f"{root}/{name}"
             fn(spark, sf_dir).write.mode("overwrite").parquet(paths[name])
-        _MATERIALIZED[key] = paths
+        known = _MATERIALIZED[key] = (files, paths)
+    paths = known[1]
     sales = spark.read.parquet(paths["sales_all"])
     return PanelTables(
         history=sales.where(F.col("dt") < F.lit(CUTOFF)),
         future=sales.where(F.col("dt") >= F.lit(CUTOFF)).select("store", "dept", "dt"),
         stores=spark.read.parquet(paths["stores"]),
         context=spark.read.parquet(paths["context"]),
+        calendar=CALENDAR,
     )

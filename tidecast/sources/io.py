@@ -39,9 +39,20 @@ def write_csv(df: DataFrame, path: str, null_value: str = "NA") -> None:
     df.write.mode("overwrite").option("header", True).option("nullValue", null_value).csv(path)
 
 
+def clustered(df: DataFrame, by: list[str], spread: list[str], files: int = 8) -> DataFrame:
+    """``df`` dealt so that each combination of ``by`` is written by at most
+    ``files`` tasks (spread over ``spread``, or else over all other columns),
+    not by all of them."""
+    over = [c for c in spread if c in df.columns] or [c for c in df.columns if c not in by]
+    salt = F.pmod(F.xxhash64(*over), F.lit(files))
+    return df.repartition(*by, salt)
+
+
 def write_features(df: DataFrame, path: str) -> None:
-    """Feature sets partitioned by (version, horizon) (S3)."""
-    df.write.mode("overwrite").partitionBy("version", "horizon").parquet(path)
+    """Feature sets partitioned by (version, horizon) (S3).  Each version is a
+    folder of its own, replaced as a whole when its job commits."""
+    df = clustered(df, ["version", "horizon"], ["store", "dept"])
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version", "horizon").parquet(path)
 
 
 def read_features(spark: SparkSession, path: str, version: int, horizon: int) -> DataFrame:
@@ -57,14 +68,16 @@ def read_features(spark: SparkSession, path: str, version: int, horizon: int) ->
 
 
 def write_predictions(df: DataFrame, path: str) -> None:
-    """Long predictions partitioned by (model, horizon, split)."""
-    df.write.mode("overwrite").partitionBy("model", "horizon", "split").parquet(path)
+    """Long predictions partitioned by (model, horizon, split), test rows
+    with the column pred, training rows with one for each fold (S5)."""
+    df = clustered(df, ["model", "horizon", "split"], ["store", "dept"])
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "horizon", "split").parquet(path)
 
 
 def read_predictions(spark: SparkSession, path: str, model: str, split: str = "test") -> DataFrame:
     """All horizons of one model in a single pruned scan."""
     return (
-        spark.read.parquet(path)
+        spark.read.option("mergeSchema", True).parquet(path)
         .where((F.col("model") == model) & (F.col("split") == split))
         .drop("model", "split")
     )
