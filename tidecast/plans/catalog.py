@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidecast.functions.cols import round_doubles
 from tidecast.plans import oracle as O
@@ -61,15 +62,26 @@ for _v in (1, 2, 3, 4):
 register("features_h10", lambda: O.features_sql(4, 10))(_features(4, 10))
 
 
+@register("features_all_horizons", lambda: O.features_all_horizons_sql(3))
+def features_all_horizons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_doubles(build_all_horizons(tables(spark, sf_dir), 3))
+
+
 def _all_horizons(version: int) -> Builder:
+    """All rows and columns of a version's ten feature sets, summed by series
+    and horizon: rounded values add up exactly as decimals, so a sum differs
+    if any value does, and ten full tables needn't be compared row by row."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_doubles(build_all_horizons(tables(spark, sf_dir), version))
+        df = round_doubles(build_all_horizons(tables(spark, sf_dir), version))
+        doubles = [c for c, is_double in O.feature_doubles(version) if is_double]
+        sums = [F.sum(F.col(c).cast("decimal(38,2)")).cast("double").alias(c) for c in doubles]
+        return df.groupBy("store", "dept", "horizon").agg(F.count(F.lit(1)).alias("n_rows"), *sums)
 
     return run
 
 
-for _v, _name in ((1, "_v1"), (2, "_v2"), (3, ""), (4, "_v4")):
-    register(f"features_all_horizons{_name}", (lambda v=_v: O.features_all_horizons_sql(v)))(_all_horizons(_v))
+for _v in (1, 2, 4):
+    register(f"features_all_horizons_v{_v}", (lambda v=_v: O.horizon_sums_sql(v)))(_all_horizons(_v))
 
 
 # Query modules register themselves on import.

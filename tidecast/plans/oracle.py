@@ -156,3 +156,10 @@ def features_all_horizons_sql(version: int, horizons=HORIZONS) -> str:
         ctes.append(f"feat_h{h} AS ({inner})")
         arms.append(f"SELECT {rounded(feature_doubles(version))}, {h} AS horizon FROM feat_h{h}")
     return with_fixtures(*ctes) + "\nUNION ALL\n".join(arms)
+
+
+def horizon_sums_sql(version: int) -> str:
+    """:func:`features_all_horizons_sql` summed by series and horizon."""
+    sums = ", ".join(f"CAST(SUM(CAST({c} AS DECIMAL(38,2))) AS DOUBLE) AS {c}" for c, is_double in feature_doubles(version) if is_double)
+    return (f"SELECT store, dept, horizon, COUNT(*) AS n_rows, {sums} FROM ({features_all_horizons_sql(version)}) "
+            "GROUP BY store, dept, horizon")
