@@ -13,25 +13,30 @@ def fold(text):
     return D.folded(raw, np.array([0, len(raw)]))[0].tobytes().strip(b"\0")
 
 
-def least_edits(segment, text):
-    """Least edits of the whole segment against any region of the text."""
-    cost = np.zeros(len(text) + 1, np.int64)
-    t = np.frombuffer(text, np.uint8)
-    k = np.arange(len(text) + 1)
-    for c in segment:
-        new = np.r_[cost[0] + 1, np.minimum(cost[1:] + 1, cost[:-1] + (t != c))]
-        cost = np.minimum.accumulate(new - k) + k
-    return int(cost.min())
+def least_edits(segments, text):
+    """Least edits of each whole segment (all of one length) against any region of the text."""
+    s, t = np.stack([np.frombuffer(x, np.uint8) for x in segments]), np.frombuffer(text, np.uint8)
+    cost, k = np.zeros((len(s), len(t) + 1), np.int32), np.arange(len(t) + 1, dtype=np.int32)
+    for i in range(s.shape[1]):
+        new = cost + 1
+        new[:, 1:] = np.minimum(new[:, 1:], cost[:, :-1] + (t != s[:, i: i + 1]))
+        cost = np.minimum.accumulate(new - k, axis=1) + k
+    return cost.min(1)
 
 
 def brute(docs, items):
-    out = {}
+    by = {}
     for i, t in items:
-        for s in D.segments(fold(t).strip()):
-            for d, x in docs:
-                if (e := least_edits(s, fold(x))) <= D.budget(len(s)):
-                    n, best = out.get((d, i), (0, e))
-                    out[d, i] = (n + 1, min(best, e))
+        for x in D.segments(fold(t).strip()):
+            by.setdefault(len(x), []).append((i, x))
+    out = {}
+    for d, x in docs:
+        text = fold(x)
+        for n, own in by.items():
+            for (i, _), e in zip(own, least_edits([x for _, x in own], text).tolist()):
+                if e <= D.budget(n):
+                    found, best = out.get((d, i), (0, e))
+                    out[d, i] = (found + 1, min(best, e))
     return out
 
 
