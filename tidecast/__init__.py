@@ -9,7 +9,6 @@ operators/  DataFrame -> DataFrame building blocks (joins, windows, stats,
             forecast combination, metrics, folds, encoding)
 plans/      composed plans: feature sets per version/horizon, model CV,
             the registered query catalogue and its DuckDB oracles
-streaming/  intentionally thin: the modelled workload is batch only
 """
 
 __all__ = ["session"]
