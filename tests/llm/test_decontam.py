@@ -70,6 +70,30 @@ def test_random_edits(spark):
     assert run(spark, docs, items) == want
 
 
+def test_passage_opens_a_document(spark):
+    r = random.Random(11)
+    item = "it was a bright cold day in april and the clocks were striking thirteen while he slipped quickly through"
+    docs, want = [], set()
+    for i, word in enumerate(("it ", "was ", "a ", "bright ", "cold ", "day ", "in ", "april ", "and ", "the ")):
+        docs += [(2 * i, words(r, 20)), (2 * i + 1, item.replace(word, "", 1) + " " + words(r, 20))]
+        want.add((2 * i + 1, 1))
+    assert brute(docs, [(1, item)]).keys() == want
+    a = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    rows = D.contaminated(a, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {(x.doc_id, x.item_id): (x.n_segments, x.edits) for x in rows} == brute(docs, [(1, item)])
+    texts = {d: fold(t) for d, t in docs}
+    for x in rows:
+        part = texts[x.doc_id][x.first_byte: x.last_byte]
+        assert part[-13:] == b"ickly through" and len(part) >= len(item) - 8 and x.first_byte in range(8)
+
+
+def test_passage_cut_between_documents(spark):
+    item = "it was a bright cold day in april and the clocks were striking thirteen while he slipped quickly through"
+    docs = [(1, "so " + item[:52]), (2, item[53:] + " so")]
+    a = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    assert D.contaminated(a, spark.createDataFrame([(1, item)], "item_id long, text string")).collect() == []
+
+
 def test_case_and_punctuation(spark):
     item = "The quick, brown fox jumps over the lazy dog; and then it sleeps for the rest of the day."
     docs = [(1, "x " + re.sub(r"\W+", " -- ", item).upper() + " y"), (2, item[:40]), (3, "nothing here"), (None, item), (1, item), (4, item), (4, item)]

@@ -42,6 +42,8 @@ CLASSES = (16, 32, 64, SEGMENT + STRIDE)
 FILTER_BITS = 21
 #: Candidate regions aligned in one numpy step.
 ALIGNED = 4096
+#: Edits that a region pays for reaching into another text; beyond any budget.
+WALL = 1000
 
 _FOLD = np.full(256, 32, np.uint8)
 _FOLD[48:58] = np.arange(48, 58)
@@ -143,9 +145,10 @@ class Index:
         ok = count >= self.bound[seg]
         return seg[ok], (band * (self.edits[seg] + 1))[ok] - SEGMENT - STRIDE
 
-    def align(self, data: np.ndarray, seg: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def align(self, data: np.ndarray, seg: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Least edits of the whole segment against any region on the band's
-        diagonals, give or take the edits, and the region's end."""
+        diagonals, give or take the edits, and the region's start and end.  A
+        region never holds the byte 0 that follows each text."""
         edits = int(self.edits[seg].max())
         width = 4 * (edits + 1)
         low = diagonal - edits - 1
@@ -153,18 +156,23 @@ class Index:
         lead = width + SEGMENT + STRIDE
         pad[lead: lead + len(data)] = data
         k = np.arange(width)
-        cost = np.zeros((len(seg), width), np.int32)
-        best, end = np.full(len(seg), 10**6), np.zeros(len(seg), np.int64)
+        # edits times width, plus the columns from the region's start to the last: of equal edits the latest start wins
+        cost = np.repeat((width - 1 - k).astype(np.int32)[None], len(seg), 0)
+        best, start, end = np.full(len(seg), 10**6), np.zeros(len(seg), np.int64), np.zeros(len(seg), np.int64)
         for i in range(int(self.length[seg].max())):
             symbol = pad[lead + low[:, None] + i + k]
-            new = cost + (symbol != self.text[seg, i][:, None])
-            new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + 1)
-            cost = np.minimum.accumulate(new - k, axis=1) + k
+            wall = np.where(symbol == 0, np.int32(WALL * width), np.int32(0))
+            new = cost + (symbol != self.text[seg, i][:, None]) * np.int32(width) + wall
+            new[:, :-1] = np.minimum(new[:, :-1], cost[:, 1:] + width)
+            into = np.cumsum(wall + np.int32(width), axis=1, dtype=np.int32)
+            cost = np.minimum.accumulate(new - into, axis=1) + into
             done = self.length[seg] == i + 1
             if done.any():
-                at = cost[done].argmin(1)
-                best[done], end[done] = cost[done, at], (low[done] + i + 1 + at)
-        return best, end
+                at = (cost[done] // width).argmin(1)
+                value = cost[done, at]
+                best[done], end[done] = value // width, low[done] + i + 1 + at
+                start[done] = low[done] + width - 1 - value % width
+        return best, start, end
 
     def hits(self, data: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(segment, edits, start, end) of regions in the folded texts."""
@@ -172,9 +180,9 @@ class Index:
         out = []
         for at in range(0, len(seg), ALIGNED):
             s, d = seg[at: at + ALIGNED], diagonal[at: at + ALIGNED]
-            edits, end = self.align(data, s, d)
+            edits, start, end = self.align(data, s, d)
             ok = edits <= self.edits[s]
-            out += zip(s[ok].tolist(), edits[ok].tolist(), (end - self.length[s])[ok].tolist(), end[ok].tolist())
+            out += zip(s[ok].tolist(), edits[ok].tolist(), start[ok].tolist(), end[ok].tolist())
         return out
 
 
@@ -198,9 +206,9 @@ def _search(items, indexes):
             found: dict[tuple[int, int], list] = {}
             for c, index in enumerate(indexes.value):
                 for seg, edits, start, end in index.hits(text):
-                    doc = int(np.searchsorted(begin, max(start, 0), "right")) - 1
+                    doc = int(np.searchsorted(begin, start, "right")) - 1
                     key = (doc, int(index.item[seg]))
-                    place = (max(start, 0) - int(begin[doc]), end - int(begin[doc]))
+                    place = (start - int(begin[doc]), end - int(begin[doc]))
                     one = found.setdefault(key, [set(), edits, *place])
                     one[0].add((c, seg))
                     one[1:] = [min(one[1], edits), min(one[2], place[0]), max(one[3], place[1])]
