@@ -245,3 +245,15 @@ def test_urls_whole_table(spark):
     judged = {r.verdict for r in rows if not r.rule}
     lowest = min((r.score for r in rows if not r.rule and r.verdict == "allow"), default=9)
     assert judged <= {"allow", "block"} and all(r.score < lowest for r in rows if not r.rule and r.verdict == "block")
+
+
+def test_url_counts_are_exact(spark):
+    r = random.Random(3)
+    urls = [(f"http://{'a.com/en' if i % 3 else 'h.net/es'}/" + "".join(r.choices("abcdefghijklmnopqrstuvwxyzé0123456789%/", k=40))) for i in range(6000)]
+    urls += [f"http://n.org/de/{r.random()}" for _ in range(50)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = U.filter_urls(df, URL_RULES).collect()
+    model = Counts([(urls[x.page_id], int(rule(x.host, x.path)[1] == "allow")) for x in rows if x.rule])
+    assert len({key for kind in model.pair for key in kind}) > 1 << 17 and len({x.verdict for x in rows if x.rule}) == 2
+    for x in rows[::20] + rows[-50:]:
+        assert x.score == pytest.approx(model.ratio(urls[x.page_id]), abs=1e-8)
