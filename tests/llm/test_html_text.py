@@ -38,6 +38,19 @@ def test_broken_pages():
     assert main_text("<div>" * 20_000 + PARA) == PARA
 
 
+def test_icons_and_controls():
+    for icon in ('<svg class="i"/>', "<svg/>", "<svg viewBox='0 0 1 1' />", '<math display="block"/>', '<svg><path d="M0 0"/><g><path></g><title>Icon</title><text>label</text></svg>', "<svg><svg/><title/></svg>",
+                 "<svg><style>a{}</style><foreignObject><p>inner</p><br></foreignObject> </svg>", "<math><mi>x</mi><mo>&lt;</mo></math>"):
+        assert main_text(f"<body>{icon}<article><p>{PARA}</p>{icon}<p>in{icon}side {PARA}</p></article></body>") == f"{PARA} inside {PARA}", icon
+        assert main_text(f"<body><a href=x>{icon}Home</a><article><p>{PARA}</p></article>{icon}</body>") == PARA, icon
+    # unclosed: ended by the parent's end, or by a start tag
+    for open_tag in ("<svg class=i/>", "<svg><path d='M0 0'>", "<math><mi>x", "<select><option>one<option>two", "<object data=x>"):
+        assert main_text(f"<body><div>{open_tag}</div><article><p>{PARA}</p></article></body>") == PARA, open_tag
+        assert main_text(f"<article>{open_tag}<p>{PARA}</p><p>{PARA}</p></article>") == f"{PARA} {PARA}", open_tag
+    assert main_text(f"<article><p>{PARA}</p><select><option>one<option>two</select><object data=x><p>{PARA} none</p></object><p>{PARA}</p></article>") == f"{PARA} {PARA}"
+    assert main_text(f"<article><p><a href=x><svg><path></a> {PARA}</p><p>{PARA}</p></article>") == f"{PARA} {PARA}"
+
+
 def test_cases(spark):
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (None, "u", f"<article><p>{PARA}</p></article>", "x"), (3, "u", f"<p>{PARA}</p>" * 5_000, "x"), (3, "u", "a", "x"), (3, "u", "a", "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")

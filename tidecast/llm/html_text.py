@@ -16,6 +16,10 @@ holds the page's article or, on a page without one, most of its text.  On a
 page with a single outermost article or main element, that element stands
 for the body.
 
+Svg and math elements are dropped as elements (a self-closed one is only its
+tag), so is a select, and an object that has an end; an unclosed one ends
+where its parent or a start tag that it can't hold ends it.
+
 Cases: null or empty html gives an empty text; unclosed, crossed or stray
 tags follow the usual implied ends; html cut off within a tag loses that
 tag; a page without elements is one block; null ids, null urls and repeated
@@ -37,7 +41,7 @@ from tidecast.llm.common import text_of
 
 # Names of HTML elements, roles, and words of classes and ids.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp svg math object select".split())
+RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -47,13 +51,22 @@ CLOSES_P = frozenset(
     "header hgroup hr main menu nav ol p pre section table ul".split()
 )
 RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table figure figcaption".split())
+FOREIGN = frozenset(("svg", "math"))
+#: Within these the content of an svg or math element is HTML again; in the labels only inline elements.
+INTEGRATION = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+LABELS = INTEGRATION - {"foreignobject", "annotation-xml"}
+#: Start tags that end an open svg or math element, and an open select.
+BREAKOUT = CLOSES_P | frozenset(
+    "b big body br code dd dt em embed head i img li meta nobr ruby s small span strong strike sub sup tt u var".split()
+)
+ENDS_SELECT = (CLOSES_P - {"div", "hr"}) | frozenset(("input", "select", "textarea"))
 IMPLIED = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
     "thead": ("tr", "td", "th", "tbody", "tfoot"), "tbody": ("tr", "td", "th", "thead", "tfoot"), "tfoot": ("tr", "td", "th", "tbody"),
     "option": ("option",), "body": ("head",),
 }
 FENCES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "p": ("td", "th", "table", "div", "section", "article", "body")}
-DROPPED = frozenset("head nav footer aside form button dialog menu".split())
+DROPPED = frozenset("head nav footer aside form button dialog menu svg math select".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 WORDS = frozenset(
     "ad ads advert advertisement adverts advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices "
@@ -68,6 +81,7 @@ TOKEN = re.compile(
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden)\b""")
+SELF_CLOSED = re.compile(r"""(?<!=)(?:\A|["'\s]|[\s"'][^\s"'=]+)/\Z""")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -104,10 +118,25 @@ class Page:
         stack: list[tuple[str, int]] = [("#page", 0)]  # open elements; inline ones carry their block
         links = at = 0
         raw = None
+        foreign: list[tuple[int, str]] = []  # places and names of open svg and math elements and of integration points in them
+        selects: list[int] = []  # places of open selects
+
+        def cut(depth: int) -> int:
+            """Close the elements from ``depth`` on; links closed by it."""
+            lost = sum(x == "a" for x, _ in stack[depth:])
+            del stack[depth:]
+            return lost
+
+        def settle() -> None:
+            while foreign and foreign[-1][0] >= len(stack):
+                foreign.pop()
+            while selects and selects[-1] >= len(stack):
+                selects.pop()
+
         for m in TOKEN.finditer(source):
             if m.start() < at:
                 continue
-            if m.start() > at:
+            if m.start() > at and not foreign:
                 self.pieces.append((stack[-1][1], source[at: m.start()], links > 0))
             at = m.end()
             name = (m[2] or m[6] or "").lower()
@@ -118,14 +147,33 @@ class Page:
             block = stack[-1][1]
             if m[1] or m[5]:
                 depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-                if name in INLINE and any(x not in INLINE for x, _ in stack[depth + 1:]):
+                if name in INLINE and any(x not in INLINE for x, _ in stack[depth + 1: next((i for i, x in foreign if x in FOREIGN and i > depth), None)]):
                     depth = 0  # an inline end does not close the blocks within
+                inside = foreign and (not depth or depth >= foreign[0][0])
                 if depth:
-                    links -= sum(x == "a" for x, _ in stack[depth:])
-                    del stack[depth:]
-                if name not in INLINE:
+                    if name == "object":
+                        self.noise[stack[depth][1]] = True  # one without an end holds the text after it
+                    links -= cut(depth)
+                    settle()
+                if name not in INLINE and not inside:
                     self.pieces.append((block, " ", False))
                 continue
+            attributes = m[3] or m[7] or ""
+            while foreign and name in (BREAKOUT if foreign[-1][1] in FOREIGN else CLOSES_P if foreign[-1][1] in LABELS else ()):
+                links -= cut(foreign[-1][0])
+                settle()
+            if selects and not foreign and name in ENDS_SELECT:
+                links -= cut(selects[-1])
+                settle()
+            within = bool(foreign) and foreign[-1][1] in FOREIGN
+            if (within or name in FOREIGN) and SELF_CLOSED.search(attributes):
+                continue
+            if within or foreign and name not in RAW and name not in VOID:
+                if name in FOREIGN or within and name in INTEGRATION:
+                    foreign.append((len(stack), name))
+                links += name == "a"
+                stack.append((name, stack[-1][1]))  # all of it is dropped with the outermost one
+                continue
             if name in RAW:
                 raw = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(source, at)
                 at = raw.end() if raw else len(source)
@@ -134,19 +182,22 @@ class Page:
                 links -= self._close(stack, ("p",), FENCES["p"])
             if name in IMPLIED:
                 links -= self._close(stack, IMPLIED[name], FENCES.get(name, ()))
+            settle()
             block = stack[-1][1]
             if name in VOID:
+                if foreign:
+                    continue
                 self.tags[block] += 1
                 self.pieces.append((block, " ", False))
                 continue
-            if name in INLINE and not any(_noise(name, m[3] or m[7] or "")):
+            if name in INLINE and not any(_noise(name, attributes)):
                 self.tags[block] += 1
                 if name == "a":
                     self.link_tags[block] += 1
                     links += 1
                 stack.append((name, block))
                 continue
-            noise, hinted = _noise(name, m[3] or m[7] or "")
+            noise, hinted = _noise(name, attributes)
             if name == "header" and not any(x in ("article", "main") for x, _ in stack):
                 noise = True
             self.name.append(name)
@@ -155,13 +206,17 @@ class Page:
             self.hinted.append(hinted and name not in ("html", "body", "main"))
             self.tags.append(1)
             self.link_tags.append(0)
-            if name not in INLINE:
+            if name in FOREIGN:
+                foreign.append((len(stack), name))
+            elif name not in INLINE:
                 self.pieces.append((block, " ", False))
             elif name == "a":
                 links += 1
+            if name == "select":
+                selects.append(len(stack))
             stack.append((name, len(self.name) - 1))
         else:
-            if at < len(source):
+            if at < len(source) and not foreign:
                 self.pieces.append((stack[-1][1], source[at:], links > 0))
 
     @staticmethod
