@@ -90,3 +90,33 @@ def test_whole_table(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     for r in op2_secret_scan(spark, SF_SMALL).collect():
         assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) == expected(texts[r.doc_id])
+
+
+KEY = "q7Zr2Xw9Lk4Vb8Tn1Yc6Md3Hs5"
+
+
+def found_by(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.secret_scan(df).collect()}
+    return [[t[int(s): int(e)] for k, s, e in (x.split(":") for x in got[i].split(",") if x) if k.startswith("entropy")] for i, t in enumerate(texts)]
+
+
+def test_only_the_placeholder_is_suppressed(spark):
+    other = "Wd5Jg8Pz3Ux7Qe2Ni6Rk9Bf4"
+    head = "QwErTyUiOpAsDfGhJkLzXcVbNm" * 30
+    got = found_by(spark, [f"/api/users/{KEY}", f"é {KEY}/example/{other} x", f"{KEY}+xxxx+{other}", f"{KEY}/deadbeefdeadbeefdeadbeefdeadbeef/{other}", head + KEY, "abcdefghij" * 30 + "/" + KEY, "/usr/share/example2/documents/samples3/"])
+    for spans, keys in zip(got, ([KEY], [KEY, other], [KEY, other], [KEY, other], [head + KEY], [KEY], [])):
+        assert len(spans) == len(keys) and all(k in s and "example" not in s and "xxxx" not in s and "dead" not in s for k, s in zip(keys, spans)), spans
+
+
+def test_long_random_keys_are_found(spark):
+    import random
+
+    r = random.Random(2)
+    keys = ["".join(r.choices(secrets.ENTROPY[0][2], k=1600)) for _ in range(10)]
+    for spans, key in zip(found_by(spark, keys), keys):
+        assert sum(map(len, spans)) > 1300, (spans, key)
+
+
+def test_long_runs_without_digits_take_linear_time(spark):
+    assert found_by(spark, ["ab" * 1_000_000, "ab" * 1_000_000 + "1"]) == [[], []]

@@ -4,13 +4,13 @@ Base kinds are patterns.  ``regexp_extract_all`` gives the matches of a
 pattern and ``split`` what lies between them, so running lengths give spans
 in code points without a user function.
 
-The entropy kinds look at candidate strings that no base span overlaps: runs
-of a character class that are at least a window long.  A window slides over
-the candidate; one character enters and one leaves, so the class's counters
+The entropy kinds look at candidate strings: runs of a character class that
+are at least a window long.  Matches of the allow list, plain words between
+slashes and base spans are cut out of a candidate, and what is left of it is
+searched piece by piece.  A window slides over the piece; one character enters and one leaves, so the class's counters
 and the sum of ``n * log2(n)`` change in two places, and the Shannon entropy
 is ``log2(w) - sum / w``.  Windows whose entropy reaches the class's
-threshold make up the span, from the first to the last such window.  Candidates
-on the allow list are suppressed.
+threshold make up the piece's span, from the first to the last such window.
 
 Cases: a null text counts as empty and has no span; null ids and repeated
 rows are returned as they are; texts of any length are read whole; an empty
@@ -37,11 +37,13 @@ DIRECT = {"access": r"(AKIA[A-Z0-9]{16,})", "hex": r"([0-9a-f]{24,})"}
 WINDOW = 20
 #: (kind, candidates, alphabet, least entropy in bits of a window).
 ENTROPY = (
-    ("entropy64", r"((?=[A-Za-z+/_=-]{0,400}[0-9])[A-Za-z0-9+/_=-]{20,})", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.9),
+    ("entropy64", r"((?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,})", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.9),
     ("entropyhex", r"((?<![A-Za-z0-9])[0-9A-F]{20,}(?![A-Za-z0-9]))", "0123456789ABCDEF", 3.2),
 )
-#: Candidates with one of these are placeholders, links, or media given inline.
-ALLOW = r"(?i)example|sample|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh|^https?|^www|/[a-z]{3,}/"
+#: Parts of candidates that are placeholders or the start of links.
+ALLOW = r"(?i)example|sample|placeholder|changeme|dummy|xxxx|0123456789|abcdefgh|^https?|^www"
+#: The same, and plain words between slashes.
+CUT = rf"((?i:{ALLOW.removeprefix('(?i)')})|/[A-Za-z][a-z]{{2,}}(?=/))"
 
 
 def _matches(text: Column, pattern: str, group: int, least: int) -> Column:
@@ -64,6 +66,31 @@ def _matches(text: Column, pattern: str, group: int, least: int) -> Column:
     return folded["out"]
 
 
+def _pieces(c: Column, base: Column) -> Column:
+    """array<struct<start, found>> of what is left of a candidate without the
+    parts on the allow list and in base spans, where a window fits in."""
+    inner = F.transform(_matches(c["found"], CUT, 1, 1), lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))
+    outer = F.transform(
+        F.filter(base, lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])),
+        lambda b: F.struct((b["start"] - c["start"]).alias("start"), (b["end"] - c["start"]).alias("end")),
+    )
+    length = F.length(c["found"])
+    ends = F.concat(F.array_sort(F.concat(inner, outer)), F.array(F.struct(length.alias("start"), length.alias("end"))))
+    empty = F.array().cast("array<struct<start:int,found:string>>")
+    return F.aggregate(
+        ends,
+        F.struct(F.lit(0).alias("at"), empty.alias("out")),
+        lambda acc, b: F.struct(
+            F.greatest(acc["at"], b["end"]).alias("at"),
+            F.when(
+                b["start"] - acc["at"] >= WINDOW,
+                F.concat(acc["out"], F.array(F.struct((c["start"] + acc["at"]).alias("start"), F.substr(c["found"], acc["at"] + 1, b["start"] - acc["at"]).alias("found")))),
+            ).otherwise(acc["out"]).alias("out"),
+        ),
+        lambda acc: acc["out"],
+    )
+
+
 def _windows(found: Column, alphabet: str, least: float) -> Column:
     """struct<first, last>: starts of the first and last window of ``found``
     whose entropy reaches ``least``; -1 if none does."""
@@ -116,10 +143,7 @@ def secret_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     base = F.concat(*[spans(F.col(k), k, i) for i, (k, *_) in enumerate(KINDS)])
     out = out.withColumn("base", F.array_sort(base))
     for rank, (kind, pattern, alphabet, least) in enumerate(ENTROPY, len(KINDS)):
-        free = F.filter(
-            _matches(F.col("text"), pattern, 1, WINDOW),
-            lambda c: ~c["found"].rlike(ALLOW) & ~F.exists(F.col("base"), lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])),
-        )
+        free = F.flatten(F.transform(_matches(F.col("text"), pattern, 1, WINDOW), lambda c: _pieces(c, F.col("base"))))
         out = out.withColumn(f"free_{kind}", free)
         hot = F.transform(F.col(f"free_{kind}"), lambda c: F.struct(c["start"].alias("start"), _windows(c["found"], alphabet, least).alias("w")))
         out = out.withColumn(kind, hot)
