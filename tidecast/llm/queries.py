@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidecast.llm import decontam, exact_dedup, html_text, mixing, secrets, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from tidecast.llm import decontam, exact_dedup, fill_middle, html_text, mixing, secrets, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from tidecast.llm.common import table
 
 
@@ -61,6 +62,15 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), unit="line", seed=7, rate=100, spm=50)
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored().cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
