@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import decontam, exact_dedup, fill_middle, html_text, mixing, secrets, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from tidecast.llm import decontam, exact_dedup, fill_middle, hard_negatives, html_text, mixing, secrets, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from tidecast.llm.common import table
 
 
@@ -71,6 +71,11 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 100 == 0, label=label)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
