@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidecast.llm import decontam, exact_dedup, fill_middle, hard_negatives, html_text, mixing, secrets, simhash, suffix_dedup, token_counts, toxicity, url_filter
+from tidecast.llm import decontam, exact_dedup, fill_middle, hard_negatives, html_text, mixing, pitman_yor, secrets, simhash, suffix_dedup, token_counts, toxicity, url_filter
 from tidecast.llm.common import table
 
 
@@ -76,6 +76,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), anchor=F.col("vec_id") % 100 == 0, label=label)
 
 
+def op13_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return pitman_yor.score(table(spark, sf_dir, "documents"), held)
+
+
 def queries() -> dict:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
