@@ -21,7 +21,7 @@ NAMES = [
     "xmas_redistribute", "rolling2", "fold_mean", "cv_score", "label_encode", "standardize",
     "horizon_long", "submission_parse", "features_all_horizons_v2", "pivot_store_norm", "impute_mean", "mae", "lag_present",
     "forecast_vs_actual", "horizon_mean_spine", "daily_mean_norm", "holiday_weeks", "split_label", "holdout_folds",
-    "length_histogram", "label_decode", "scan_history", "feature_store_roundtrip",
+    "length_histogram", "label_decode", "scan_history", "feature_store_roundtrip", "gbt_root_splits", "ridge_gram",
 ]
 
 

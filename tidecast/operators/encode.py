@@ -1,8 +1,9 @@
 """Encoding, imputation and scaling fitted on one frame, applied to others
 (A19, M1-M4).
 
-Nothing here starts a job: code tables are plans of their own, and means and
-deviations are scalar subqueries of the plan that applies them.
+Code tables are numbered once, written to the shared folder and read by
+every encode and decode; means and deviations are scalar subqueries of the
+plan that applies them.
 """
 
 from __future__ import annotations
@@ -13,58 +14,61 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, FractionalType, IntegralType
 
-#: Integers of so many neighbouring values are numbered by one task.
-BUCKET = 1024
+from tidecast.sources.io import scratch_path
 
+#: Bits of monotonically_increasing_id that number the rows of a partition.
+ROW_BITS = 33
 
-def _order(df: DataFrame, col: str) -> tuple[Column, Column]:
-    """(order key, coarse bucket) of a column; the bucket never falls as the
-    key rises, so buckets can be numbered apart."""
+
+def _sort_key(df: DataFrame, col: str) -> tuple[Column, Column]:
+    """(number, text) that order the values of a column; one of them is NULL."""
     kind, c = df.schema[col].dataType, F.col(col)
-    if isinstance(kind, BooleanType):
-        key = F.struct(c.cast("double").alias("number"), F.lit(None).cast("string").alias("text"))
-        return key, F.struct(F.lit(0.0).alias("number"), F.lit(None).cast("string").alias("text"))
     if isinstance(kind, DateType):
-        c = F.unix_date(c)
-    if isinstance(kind, (DateType, IntegralType, FractionalType)):
-        number = c.cast("double") if isinstance(kind, FractionalType) else c.cast("decimal(20,0)").cast("double")
-        none = F.lit(None).cast("string").alias("text")
-        return F.struct(number.alias("number"), none), F.struct(F.floor(number / BUCKET).cast("double").alias("number"), none)
-    text, none = c.cast("string"), F.lit(None).cast("double").alias("number")
-    return F.struct(none, text.alias("text")), F.struct(none, F.substring(text, 1, 2).alias("text"))
-
-
-def _all_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(name, value as text, code) for the distinct values of all columns.
-
-    One pass finds the distinct values.  They are ranked within coarse
-    buckets of the order and moved up by the sizes of the buckets before, so
-    no task numbers a whole column, whatever its number of values.
+        c, kind = F.unix_date(c), IntegralType()
+    if isinstance(kind, FractionalType):
+        return c.cast("double"), F.lit(None).cast("string")
+    if isinstance(kind, (BooleanType, IntegralType)):
+        return c.cast("decimal(20,0)").cast("double"), F.lit(None).cast("string")
+    return F.lit(None).cast("double"), c.cast("string")
+
+
+def write_codes(df: DataFrame, cols: Sequence[str]) -> str:
+    """Path of a table (name, value as text, code) of the distinct values of
+    all columns, one folder for each name.
+
+    One pass finds the distinct values.  They are sorted over range partitions
+    and written with their partition and their place in it; a value's code is
+    its place among its column's, moved up by what the partitions before
+    hold.  No task numbers a whole column, and the only list of all
+    partitions has one line for each column and partition.
     """
-    each = []
+    spark, each = df.sparkSession, []
     for c in cols:
-        key, bucket = _order(df, c)
-        missing = F.col(c).isNull()
-        each.append(F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"), (~missing).alias("present"), key.alias("key"), bucket.alias("bucket")))
-    levels = df.select(F.inline(F.array(*each))).distinct()
-    within = F.row_number().over(Window.partitionBy("name", "present", "bucket").orderBy("key")) - 1
-    sizes = levels.groupBy("name", "present", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("name").orderBy("present", "bucket").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
-    sizes = sizes.select(F.col("name").alias("_name"), F.col("present").alias("_present"), F.col("bucket").alias("_bucket"), start)
-    ranked = levels.withColumn("within", within)
-    same = (F.col("name") == F.col("_name")) & (F.col("present") == F.col("_present"))
-    for part in ("number", "text"):
-        same = same & F.col(f"bucket.{part}").eqNullSafe(F.col(f"_bucket.{part}"))
-    return ranked.join(sizes, same).select("name", "value", (F.col("start") + F.col("within")).cast("int").alias("code"))
+        number, text = _sort_key(df, c)
+        each.append(F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value"), F.col(c).isNotNull().alias("present"), number.alias("number"), text.alias("text")))
+    order = ["name", "present", "number", "text", "value"]
+    levels = df.select(F.inline(F.array(*each))).distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id()
+    placed = levels.select("name", "value", place.alias("place"))
+    path = scratch_path(spark, "levels")
+    placed.write.parquet(path)
+    placed = spark.read.schema(placed.schema).parquet(path)
+    part = F.shiftright("place", ROW_BITS)
+    sizes = placed.groupBy("name", part.alias("part")).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(F.col("name").alias("_name"), F.col("part").alias("_part"), "first", F.coalesce(before, F.lit(0)).alias("before"))
+    coded = placed.join(sizes, (F.col("name") == F.col("_name")) & (part == F.col("_part")))
+    out = scratch_path(spark, "codes")
+    coded.select("name", "value", (F.col("before") + F.col("place") - F.col("first")).cast("int").alias("code")).write.partitionBy("name").parquet(out)
+    return out
 
 
 def code_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
     """{column: (value, code)}, codes in sorted value order, 0-based, NULL
     first (M1).  Sorting is by the typed value, so integers order 1, 2, 10
     (not the string order a string indexer would use)."""
-    codes = _all_codes(df, cols)
-    return {c: codes.where(F.col("name") == c).select(F.col("value").cast(df.schema[c].dataType).alias("value"), "code") for c in cols}
+    path, read = write_codes(df, cols), df.sparkSession.read.schema("value string, code int, name string")
+    return {c: read.parquet(path).where(F.col("name") == c).select(F.col("value").cast(df.schema[c].dataType).alias("value"), "code") for c in cols}
 
 
 def fit_codes(df: DataFrame, col: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.cols import NA_COLUMNS, normalize_na
@@ -49,6 +49,17 @@ def assert_unique_key(df: DataFrame, keys=KEY) -> None:
         raise ValueError(f"key {tuple(keys)} is not unique")
 
 
+def guard_unique_key(df: DataFrame, series=("store", "dept"), day: str = "day_num", dt: str = "dt") -> DataFrame:
+    """``df`` whose date raises an error where a (series, date) occurs twice:
+    the check of :func:`assert_unique_key` inside the plan that needs it (J3).
+    Its window is partitioned and ordered like the series-level frames, so it
+    adds neither a shuffle, a sort nor a job."""
+    peers = F.count(F.lit(1)).over(Window.partitionBy(*series).orderBy(day).rangeBetween(0, 0))
+    named = F.concat_ws(", ", *[F.col(c).cast("string") for c in (*series, dt)])
+    fail = F.raise_error(F.concat(F.lit("the key (store, dept, dt) is not unique: "), named)).cast("date")
+    return df.withColumn(dt, F.when(peers == 1, F.col(dt)).otherwise(fail))
+
+
 def rows_with_lag(df: DataFrame, lag: str = "lag1_store_dept_sales") -> DataFrame:
     """Rows whose seasonal lag is present."""
     return df.where(F.col(lag).isNotNull())

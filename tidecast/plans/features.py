@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidecast.functions.cols import NA_COLUMNS
-from tidecast.operators.joins import assert_unique_key, enrich, union_panel
+from tidecast.operators.joins import enrich, guard_unique_key, union_panel
 from tidecast.operators.windows import (
     LEVELS,
     OPS,
@@ -149,7 +149,7 @@ def _with_windows(df: DataFrame, src: DataFrame, version: int, bases: dict[str,
     cols = {}
     for suffix, base in bases.items():
         cols.update(_series_columns(version, base, suffix))
-    out = df.withColumns(cols)
+    out = guard_unique_key(df.withColumns(cols))
     for keys in LEVELS:
         if keys == SERIES:
             continue
@@ -165,18 +165,15 @@ def _with_diffs(df: DataFrame) -> DataFrame:
     )
 
 
-def build_features(tables: PanelTables, version: int, horizon: int, start: dt.date | None = None,
-                   check_key: bool = False) -> DataFrame:
+def build_features(tables: PanelTables, version: int, horizon: int, start: dt.date | None = None) -> DataFrame:
     """Feature set of ``version`` for forecasting ``horizon`` months ahead, over
     the calendar of ``tables``; rows from ``start`` on (default: the calendar's).
 
     Windows are computed in place instead of being joined back on the key,
-    which is equal only while (store, dept, dt) is unique; ``check_key``
-    verifies that first (one aggregation job).
+    which is equal only while (store, dept, dt) is unique; the plan fails on
+    a key that is not.
     """
     df = base_data(tables, horizon, version)
-    if check_key:
-        assert_unique_key(df)
     out = _with_windows(df, rollup_source(tables, horizon, version), version,
                         {"": tables.calendar.month_days * horizon})
     if version >= 3:
@@ -213,7 +210,7 @@ def _shifted(tables: PanelTables, version: int, horizons: list[int]) -> DataFram
         here = Window.partitionBy(*SERIES).orderBy(ORDER).rangeBetween(-md * h, -md * h)
         cols[f"_series_h{h}"] = F.first(frame).over(here)
         cols.update({k: c for k, c in _series_columns(version, md * h, f"__h{h}").items() if k.split("__h")[0] not in trailing})
-    out = both.withColumns(cols).where("_row").drop("_row", *trailing)
+    out = guard_unique_key(both.withColumns(cols).where("_row")).drop("_row", *trailing)
     src = rollup_source(tables, max(horizons), version)
     for keys in LEVELS:
         if keys != SERIES:
@@ -269,8 +266,7 @@ def write_feature_store(tables: PanelTables, path: str, versions: Iterable[int]
                         horizons: Iterable[int] | None = None) -> None:
     """Every version x horizon feature set under one dataset partitioned by
     (version, horizon), one job per version (S3, M12); replaces the versions
-    that it writes.  The key is checked once for all of them."""
+    that it writes."""
     horizons = list(horizons or tables.calendar.horizons)
-    assert_unique_key(union_panel(tables.history, tables.future))
     for v in versions:
         write_features(build_all_horizons(tables, v, horizons).withColumn("version", F.lit(v)), path)

@@ -387,12 +387,16 @@ def label_decode_q(spark: SparkSession, d: str) -> DataFrame:
 _NUM = ("temperature", "fuel_price", "cpi", "unemployment", "markdown1")
 
 
-@register("standardize", W(_bd(1), "tr AS (SELECT * FROM base_data WHERE sales IS NOT NULL)",
-                           "st AS (SELECT " + ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in _NUM)
-                           + " FROM tr)")
+def _statistic(name: str) -> str:
+    """One of the statistics in the one-row table st, as a scalar subquery."""
+    return f"(SELECT {name} FROM st)"
+
+
+@register("standardize", W(_bd(1), "st AS MATERIALIZED (SELECT " + ", ".join(f"AVG({c}) AS m_{c}, STDDEV_POP({c}) AS s_{c}" for c in _NUM)
+                           + " FROM base_data WHERE sales IS NOT NULL)")
     + "SELECT store, dept, dt, " + ", ".join(
-        cents(f"({c} - m_{c}) / (CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1 ELSE s_{c} END)") + f" AS {c}"
-        for c in _NUM) + " FROM base_data, st WHERE sales IS NULL")
+        cents(f"({c} - {_statistic(f'm_{c}')}) / COALESCE(NULLIF({_statistic(f's_{c}')}, 0), 1)") + f" AS {c}"
+        for c in _NUM) + " FROM base_data WHERE sales IS NULL")
 def standardize_q(spark: SparkSession, d: str) -> DataFrame:
     """Scaling fitted on labelled rows, applied to the unlabelled ones (M3)."""
     bd = base_data(tables(spark, d), 1).select(*KEY, "sales", *_NUM)
@@ -404,10 +408,10 @@ def standardize_q(spark: SparkSession, d: str) -> DataFrame:
 _MD = ("markdown1", "markdown2", "markdown3", "markdown4", "markdown5", "cpi", "unemployment")
 
 
-@register("impute_mean", W(_bd(1), "tr AS (SELECT * FROM base_data WHERE sales IS NOT NULL)",
-                           "mn AS (SELECT " + ", ".join(f"AVG({c}) AS m_{c}" for c in _MD) + " FROM tr)")
-    + "SELECT store, dept, dt, " + ", ".join(f"{cents(f'COALESCE({c}, m_{c})')} AS {c}" for c in _MD)
-    + " FROM base_data, mn WHERE sales IS NULL")
+@register("impute_mean", W(_bd(1), "st AS MATERIALIZED (SELECT " + ", ".join(f"AVG({c}) AS m_{c}" for c in _MD)
+                           + " FROM base_data WHERE sales IS NOT NULL)")
+    + "SELECT store, dept, dt, " + ", ".join(f"{cents(f'COALESCE({c}, {_statistic(f'm_{c}')})')} AS {c}" for c in _MD)
+    + " FROM base_data WHERE sales IS NULL")
 def impute_mean_q(spark: SparkSession, d: str) -> DataFrame:
     """Training means fill the NULLs of the unlabelled rows."""
     bd = base_data(tables(spark, d), 1).select(*KEY, "sales", *_MD)

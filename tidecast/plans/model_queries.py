@@ -2,29 +2,33 @@
 
 Fitted values have no SQL equivalent, so each query has a form that SQL can
 check (keys, counts, flags) and, where it differs, one with the values
-(``_values``, rows only).  Fits are kept per session and panel, so the
+(``_values``, rows only).  What the fits rest on is checked by value: the best
+split of a first tree's root (``gbt_root_splits``) and the sums of products of
+the ridge (``ridge_gram``).  Fits are kept per session and panel, so the
 forecast, importance and persistence queries share one CV run.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.cols import round_doubles
+from tidecast.operators import boosting as B
 from tidecast.operators import combine as C
+from tidecast.operators import ridge as RG
+from tidecast.operators.folds import holdout_folds
 from tidecast.operators.metrics import cv_score, mae
 from tidecast.plans import models as M
 from tidecast.plans.catalog import register, tables
-from tidecast.plans.features import build_features, feature_columns
-from tidecast.plans.oracle import base_data_cte, with_fixtures
+from tidecast.plans.features import base_data, build_features, feature_columns
+from tidecast.plans.oracle import base_data_cte, cents, features_sql_body, with_fixtures
 from tidecast.sources import fixtures as fx
-from tidecast.sources.io import read_predictions, save_models, scratch_path, write_importance
+from tidecast.sources.io import read_predictions, scratch_path, write_importance
 
 _CACHE: dict = {}
-#: Settings of the registered boosters; the library's own are models.MAX_ROUNDS and models.PATIENCE.
-QUERY_BOOSTER = dict(max_rounds=60, patience=5)
-ENSEMBLE_BOOSTER = dict(max_rounds=2, patience=1, maxDepth=3)
 ENSEMBLE_VERSIONS = (2, 4)
 
 
@@ -36,10 +40,16 @@ def _once(spark: SparkSession, t, kind: str, make):
     return _CACHE[key]
 
 
-def _cv(spark: SparkSession, d: str, kind: str) -> M.CVResult:
+def _boosted(spark: SparkSession, d: str) -> M.Boosted:
+    """v4 features, one month ahead, with the library's settings."""
     t = tables(spark, d)
+    return _once(spark, t, "gbt", lambda: M.fit_boosted(build_features(t, 4, 1).withColumn("horizon", F.lit(1)), 4))
+
+
+def _cv(spark: SparkSession, d: str, kind: str) -> M.CVResult:
     if kind == "gbt":
-        return _once(spark, t, kind, lambda: M.fit_gbt_cv(build_features(t, 4, 1), 4, **QUERY_BOOSTER))
+        return _boosted(spark, d).cv()
+    t = tables(spark, d)
     return _once(spark, t, kind, lambda: M.fit_ridge_cv(build_features(t, 2, 1), 2))
 
 
@@ -66,13 +76,13 @@ def gbt_forecast_values(spark: SparkSession, d: str) -> DataFrame:
 
 @register("gbt_cv_score", "SELECT CAST(3 AS BIGINT) AS n_folds, true AS positive")
 def gbt_cv_score(spark: SparkSession, d: str) -> DataFrame:
-    wide = M.train_predictions(_cv(spark, d, "gbt"))
+    wide = M.train_predictions(_boosted(spark, d).valid_rows())
     score = cv_score(wide, [f"pred_fold{i}" for i in range(M.N_FOLDS)])
     return score.select("n_folds", (F.col("cv_wmae") > 0).alias("positive"))
 
 
 def _importance(spark: SparkSession, d: str) -> DataFrame:
-    return M.importance(_cv(spark, d, "gbt"), 4)
+    return M.importance(_boosted(spark, d))
 
 
 @register("importance", "SELECT feature, true AS has_gain FROM (VALUES " + ", ".join(
@@ -99,16 +109,62 @@ def importance_top50(spark: SparkSession, d: str) -> DataFrame:
 
 @register("model_roundtrip", _UNLABELLED.format("true AS same_pred"))
 def model_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Fold boosters saved and loaded back give the same forecasts."""
-    res = _cv(spark, d, "gbt")
-    loaded = M.load_models(save_models(res.models, scratch_path(spark, "models")), "gbt")
-    again = M.CVResult(valid=None, test=None, models=loaded)
-    preds = M._union([m.transform(res.test_input).select(*M.KEY, F.lit(fold).alias("fold"), F.col("prediction").alias("pred"))
-                      for fold, m in again.models.items()])
-    both = M.fold_average(res.test).join(M.fold_average(preds).select(*M.KEY, F.col("pred").alias("again")), M.KEY, "full_outer")
+    """Boosters saved and loaded back give the same forecasts."""
+    fits = _boosted(spark, d)
+    again = fits.test_rows(M.load_nodes(spark, M.save_nodes(fits.nodes, scratch_path(spark, "models"))))
+    both = M.fold_average(fits.test_rows()).join(M.fold_average(again).select(*M.KEY, F.col("pred").alias("again")), M.KEY, "full_outer")
     return both.select(*M.KEY, F.coalesce(F.abs(F.col("pred") - F.col("again")) < 1e-6, F.lit(False)).alias("same_pred"))
 
 
+@register("gbt_rounds")
+def gbt_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Best round, its validation error and the rounds tried, by fold."""
+    return spark.createDataFrame(_boosted(spark, d).info(), "fit int, fold int, best_iter int, valid_mae double, rounds int")
+
+
+_ROOT_COLUMNS = ("month", "weekofyear", "week", "superbowl", "thanksgiving", "christmas", "size", "unemployment")
+_ROOT_BOOSTER = replace(M.BOOSTER, row_share=1.0, column_share=1.0, max_rounds=1)
+
+
+def _root_sql() -> str:
+    """The best cut of every column at the root of a first tree, by brute force."""
+    score = "power(greatest(abs({g}) - 0.1, 0), 2) / ({h} + 0.1)"
+    values = {
+        "month": "month(dt)", "weekofyear": "week(dt)", "week": "least(day(dt) // 7, 3)", "size": "size", "unemployment": "unemployment",
+        **{name: f"CAST(coalesce(is_holiday, false) AND month(dt) = {m} AS INTEGER)" for name, m in (("superbowl", 2), ("thanksgiving", 11), ("christmas", 12))},
+    }
+    arms = " UNION ALL ".join(f"SELECT dt, sales, weight, '{c}' AS feature, CAST({values[c]} AS DOUBLE) AS value FROM rows_" for c in _ROOT_COLUMNS)
+    return with_fixtures(
+        base_data_cte(fx.end_date(1), True),
+        f"rows_ AS MATERIALIZED (SELECT *, CASE WHEN is_holiday THEN 5 ELSE 1 END AS weight, MAX(dt) OVER () AS last FROM base_data WHERE sales IS NOT NULL AND dt >= DATE '{fx.START}')",
+        f"long AS ({arms})",
+        "sums AS (SELECT fold, feature, value, SUM(-2.0 * weight * sales) AS g, SUM(2.0 * weight) AS h, COUNT(*) AS n FROM long, range(3) f(fold) "
+        "WHERE dt <= (SELECT MAX(last) FROM rows_) - CAST(28 * (fold + 1) AS INTEGER) GROUP BY ALL)",
+        "cum AS (SELECT fold, feature, value, SUM(g) OVER w AS g, SUM(h) OVER w AS h, SUM(n) OVER w AS n FROM sums WHERE value IS NOT NULL "
+        "WINDOW w AS (PARTITION BY fold, feature ORDER BY value))",
+        "total AS (SELECT fold, feature, SUM(g) AS tg, SUM(h) AS th, SUM(n) AS tn, COALESCE(SUM(g) FILTER (value IS NULL), 0) AS mg, "
+        "COALESCE(SUM(h) FILTER (value IS NULL), 0) AS mh, COALESCE(SUM(n) FILTER (value IS NULL), 0) AS mn FROM sums GROUP BY fold, feature)",
+        "cuts AS (SELECT fold, feature, value, side, g + CASE WHEN side THEN mg ELSE 0 END AS lg, h + CASE WHEN side THEN mh ELSE 0 END AS lh, "
+        "n + CASE WHEN side THEN mn ELSE 0 END AS ln, tg, th, tn FROM cum JOIN total USING (fold, feature), (VALUES (true), (false)) s(side))",
+        f"gains AS (SELECT *, {score.format(g='lg', h='lh')} + {score.format(g='(tg - lg)', h='(th - lh)')} - {score.format(g='tg', h='th')} AS gain, {score.format(g='tg', h='th')} AS base "
+        "FROM cuts WHERE ln >= 10 AND tn - ln >= 10)",
+        "best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY fold, feature ORDER BY round(gain / base, 10) DESC, side DESC, value) AS place FROM gains WHERE gain > 0)",
+    ) + ("SELECT CAST(fold AS INTEGER) AS fold, feature, value AS cut, side AS missing_left, CAST(ln AS BIGINT) AS n_left, "
+         f"{cents('gain / base * 1e6')} AS gain_ppm FROM best WHERE place = 1")
+
+
+@register("gbt_root_splits", _root_sql)
+def gbt_root_splits(spark: SparkSession, d: str) -> DataFrame:
+    """Best split of each column at the root of a first tree, by fold: cut, side
+    of missing values, rows on the left, gain in millionths of the root's (M6)."""
+    df = M.training_frame(base_data(tables(spark, d), 1, 4)).where((F.col("dt") >= F.lit(fx.START)) & F.col("sales").isNotNull())
+    cols = df.select("sales", "weight", *M.KEY, *[F.col(c).cast("double").alias(c) for c in _ROOT_COLUMNS], F.lit(0).alias("fit"))
+    train = holdout_folds(cols, M.N_FOLDS)
+    bins = B.quantile_bins(train, _ROOT_COLUMNS)
+    splits = B.root_splits(B.write_chunks(train, bins, M.KEY, "sales", "weight", M.FOLDS), M.N_FOLDS, bins, _ROOT_BOOSTER)
+    return round_doubles(splits.select("fold", "feature", "cut", "missing_left", "n_left", (F.col("gain") / F.col("base") * 1e6).alias("gain_ppm")), exclude=("cut",))
+
+
 @register("ridge_forecast", _KEYS_SQL)
 def ridge_forecast(spark: SparkSession, d: str) -> DataFrame:
     """v2 features, one month ahead: every unlabelled row has three fold forecasts."""
@@ -137,6 +193,58 @@ def ridge_grid_values(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(_cv(spark, d, "ridge").info, "fold int, alpha double, mae double, chosen boolean")
 
 
+def _gram_sql() -> str:
+    """Sums of products of the imputed, standardised columns by ring of dates."""
+    cols = M.ridge_columns(2)
+    ctes, inner = features_sql_body(2, 1)
+    value = {
+        "month": "month(dt)", "weekofyear": "week(dt)", "week": "least(day(dt) // 7, 3)",
+        **{name: f"CAST(coalesce(is_holiday, false) AND month(dt) = {m} AS INTEGER)" for name, m in (("thanksgiving", 11), ("christmas", 12))},
+    }
+    raw = ", ".join(f"CAST({value.get(c, c)} AS DOUBLE) AS x{i}" for i, c in enumerate(cols))
+    stats = ", ".join(f"AVG(x{i}) AS m{i}" for i in range(len(cols)))
+    filled = ", ".join(f"COALESCE(x{i}, (SELECT m{i} FROM means), 0) AS x{i}" for i in range(len(cols)))
+    spread = ", ".join(f"AVG(x{i}) AS m{i}, STDDEV_POP(x{i}) AS s{i}" for i in range(len(cols)))
+    scaled = ", ".join(f"(x{i} - (SELECT m{i} FROM spread)) / COALESCE(NULLIF((SELECT s{i} FROM spread), 0), 1) AS x{i}" for i in range(len(cols)))
+    width = len(cols)
+    pairs = [("1", -2, -2), ("y", -2, -1), ("y * y", -1, -1)]
+    pairs += [(f"x{i}", -2, i) for i in range(width)] + [(f"y * x{i}", -1, i) for i in range(width)]
+    pairs += [(f"x{i} * x{j}", i, j) for i in range(width) for j in range(i, width)]
+    sums = ", ".join(f"SUM({e}) AS t{k}" for k, (e, _, _) in enumerate(pairs))
+    listed = ", ".join(f"{{'i': {i}, 'j': {j}, 'total': t{k}}}" for k, (_, i, j) in enumerate(pairs))
+    return with_fixtures(
+        *ctes, f"feat AS ({inner})",
+        f"raw AS MATERIALIZED (SELECT dt, sales AS y, {raw} FROM feat WHERE sales IS NOT NULL AND lag1_store_dept_sales IS NOT NULL)",
+        f"means AS MATERIALIZED (SELECT {stats} FROM raw)",
+        f"filled AS MATERIALIZED (SELECT dt, y, {filled} FROM raw)",
+        f"spread AS MATERIALIZED (SELECT {spread} FROM filled)",
+        f"scaled AS MATERIALIZED (SELECT CASE WHEN dt > last - 28 THEN 0 WHEN dt > last - 56 THEN 1 WHEN dt > last - 84 THEN 2 ELSE {RG.ALWAYS} END AS ring, y, {scaled} "
+        "FROM (SELECT *, MAX(dt) OVER () AS last FROM filled))",
+        f"sums AS (SELECT ring, {sums} FROM scaled GROUP BY ring)",
+        f"long AS (SELECT ring, unnest([{listed}]) AS x FROM sums)",
+        "sizes AS (SELECT ring, COUNT(*) AS n FROM scaled GROUP BY ring)",
+    ) + f"SELECT CAST(ring AS INTEGER) AS ring, x.i AS i, x.j AS j, {cents('x.total / n')} AS mean FROM long JOIN sizes USING (ring)"
+
+
+@register("ridge_gram", _gram_sql)
+def ridge_gram(spark: SparkSession, d: str) -> DataFrame:
+    """Mean products by ring of dates: with the rows of the rings, all that the
+    ridge of every fold and penalty needs (M9)."""
+    t = tables(spark, d)
+    train, _, cols = M.ridge_frames(build_features(t, 2, 1), 2)
+    rows = RG.gram_rows(train, cols, M.LABEL, M.N_FOLDS)
+    sizes = rows.where("i = -2 and j = -2").select("ring", F.col("total").alias("n"))
+    return round_doubles(rows.join(sizes, "ring").select("ring", "i", "j", (F.col("total") / F.col("n")).alias("mean")))
+
+
+@register("ridge_horizons", with_fixtures() + f"""SELECT store, dept, dt, CAST(h AS INTEGER) AS horizon, true AS has_pred
+FROM future, range(1, 11) x(h) WHERE dt <= DATE '{fx.CUTOFF}' + CAST(h * 28 AS INTEGER)""")
+def ridge_horizons(spark: SparkSession, d: str) -> DataFrame:
+    """v2 ridge for every horizon: each unlabelled row that a horizon sees has a forecast."""
+    t = tables(spark, d)
+    return _once(spark, t, "ridge_horizons", lambda: M.ridge_horizons(t, 2)).select(*M.KEY, "horizon", F.col("pred").isNotNull().alias("has_pred"))
+
+
 # --- the training path over all horizons ------------------------------------------
 
 def _sink(spark: SparkSession, d: str) -> str:
@@ -144,7 +252,7 @@ def _sink(spark: SparkSession, d: str) -> str:
     def make() -> str:
         path = scratch_path(spark, "horizon-predictions")
         for v in ENSEMBLE_VERSIONS:
-            M.write_horizon_predictions(M.horizon_fits(t, v, **ENSEMBLE_BOOSTER), f"v{v}", path)
+            M.write_horizon_predictions(M.fit_horizons(t, v), f"v{v}", path)
         return path
 
     t = tables(spark, d)

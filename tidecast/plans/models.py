@@ -1,47 +1,38 @@
-"""Forecast models with time hold-out CV through ``pyspark.ml``
-(M6, M7, M9-M11, A16, S8, S9).
-
-Training frames come from the feature plans; the prepared frame is
-checkpointed to the shared checkpoint folder before the iterative fits, so a
-lost executor recomputes from the checkpoint rather than from the raw
-scans.  Model fitting is distributed by MLlib; only fitted coefficients,
-tree ensembles and per-fold scalars live on the driver.
+"""Forecast models with time hold-out CV.
+
+Training frames come from the feature plans, written once to the shared
+checkpoint folder, so a lost executor rereads them rather than the raw scans.
+Boosted trees are :mod:`tidecast.operators.boosting`: all horizons and folds of
+a feature version are fitted together.  Ridge fits come from sums of products
+that one pass collects (:mod:`tidecast.operators.ridge`).  The driver holds fitted
+coefficients, trees and one line for each fold.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterable
+from dataclasses import dataclass, field, replace
 
 import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidecast.functions.dates import holiday_flags, row_weight, with_date_parts
+from tidecast.operators import boosting as B
+from tidecast.operators import ridge as RG
 from tidecast.operators.encode import code_tables, impute_mean, standardize
 from tidecast.operators.folds import holdout_folds
 from tidecast.operators.joins import rows_with_lag
-from tidecast.operators.metrics import mae
 from tidecast.plans.features import CATEGORICAL, LAG, build_all_horizons, feature_columns
-from tidecast.sources.io import write_predictions
-from tidecast.sources.panel import PanelTables
 from tidecast.session import ensure_checkpoint_dir
+from tidecast.sources.io import scratch_path, write_predictions
+from tidecast.sources.panel import PanelTables
 
 KEY = ["store", "dept", "dt"]
 LABEL = "sales"
 N_FOLDS = 3
-SEED = 777
-MISSING = -1.0e12  # sentinel for absent values; trees split it off like a missing branch
-
-# Booster settings of the reference configuration.
-GBT_PARAMS = dict(maxDepth=4, stepSize=0.1, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                  minInstancesPerNode=10, maxBins=256, lossType="squared", seed=SEED)
-MAX_ROUNDS, PATIENCE = 100_000, 200
-SIDE_BY_SIDE = 4  # horizons whose fits are submitted together
+FOLDS = [f"valid_{i}" for i in range(N_FOLDS)]
+BOOSTER = B.Settings()
 RIDGE_ALPHAS = tuple(float(a) for a in np.linspace(0.0, 1.0, 10))
 
 
@@ -56,13 +47,9 @@ def training_frame(features: DataFrame) -> DataFrame:
     return df.withColumn("weight", row_weight())
 
 
-def _checkpoint(df: DataFrame, spread: bool = False) -> DataFrame:
-    """Materialise in the shared checkpoint folder.  ``spread`` first evens
-    the partitions out (a rebalance, which AQE sizes by bytes), so that the
-    iterative fits aggregate over evenly sized tasks."""
+def _checkpoint(df: DataFrame) -> DataFrame:
+    """Materialise in the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)
-    if spread:
-        df = df.hint("rebalance")
     return df.checkpoint(eager=True)
 
 
@@ -72,103 +59,78 @@ class CVResult:
     test: DataFrame             # store, dept, dt, fold, pred (every unlabelled row, per fold)
     models: dict = field(default_factory=dict)
     info: list = field(default_factory=list)
-    test_input: DataFrame | None = None  # assembled unlabelled rows (store, dept, dt, features)
 
 
-def _split_folds(train: DataFrame) -> DataFrame:
-    return holdout_folds(train, N_FOLDS)
+@dataclass
+class Boosted:
+    """Boosters of one feature version: a fit for each horizon, three folds each."""
+
+    version: int
+    bins: B.Bins
+    nodes: DataFrame          # boosting.NODES; fit is the horizon
+    train: DataFrame          # chunks of labelled rows
+    test: DataFrame           # chunks of unlabelled rows
+
+    def _long(self, chunks: DataFrame, labelled: bool, nodes: DataFrame | None = None) -> DataFrame:
+        wide = B.predict(chunks, self.nodes if nodes is None else nodes, self.bins, N_FOLDS, KEY)
+        each = F.inline(F.array(*[F.struct(F.lit(i).alias("fold"), F.col(f"valid_{i}").alias("_valid"), F.col(f"pred_{i}").alias("pred")) for i in range(N_FOLDS)]))
+        if not labelled:
+            return wide.select(F.col("fit").alias("horizon"), *KEY, each).drop("_valid")
+        rows = wide.select(F.col("fit").alias("horizon"), *KEY, F.col("label").alias(LABEL), "weight", each)
+        return rows.where("_valid").drop("_valid")
+
+    def valid_rows(self) -> DataFrame:
+        """horizon, store, dept, dt, sales, weight, fold, pred of the rows that a fold validates."""
+        return self._long(self.train, True)
+
+    def test_rows(self, nodes: DataFrame | None = None) -> DataFrame:
+        """horizon, store, dept, dt, fold, pred of every unlabelled row."""
+        return self._long(self.test, False, nodes)
+
+    def info(self) -> list[dict]:
+        """Best round, its validation error and the rounds tried, by horizon and fold."""
+        last = self.nodes.where("node = 0").groupBy("fit", "fold").agg(F.max(F.struct("tree", "error", "rounds")).alias("x"))
+        rows = last.select("fit", "fold", (F.col("x.tree") + 1).alias("best_iter"), F.col("x.error").alias("valid_mae"), F.col("x.rounds").alias("rounds"))
+        return [r.asDict() for r in rows.orderBy("fit", "fold").collect()]
+
+    def cv(self) -> CVResult:
+        """The folds of a single horizon, as the ridge path returns them."""
+        info = [{k: v for k, v in i.items() if k != "fit"} for i in self.info()]
+        models = {i: self.nodes.where(F.col("fold") == i) for i in range(N_FOLDS)}
+        return CVResult(valid=self.valid_rows().drop("horizon"), test=self.test_rows().drop("horizon"), models=models, info=info)
+
+
+def fit_boosted(features: DataFrame, version: int, **overrides) -> Boosted:
+    """Boosters for every value of the column ``horizon`` of ``features`` and
+    every hold-out fold (M6, M7).  ``overrides`` replace booster settings,
+    e.g. ``learning_rate=0.01`` for the slow variant."""
+    settings = replace(BOOSTER, **overrides)
+    cols, cats = feature_columns(version), CATEGORICAL[version]
+    frame = training_frame(features).withColumnRenamed("horizon", "fit")
+    # The feature plan runs once: codes, bins and chunks read this.
+    df = _checkpoint(frame.select("fit", *dict.fromkeys([*KEY, LABEL, "weight", *cols])))
+    for c, codes in code_tables(df, cats).items():
+        df = df.join(codes.withColumnRenamed("code", f"code_{c}"), df[c].eqNullSafe(codes["value"]), "left").drop("value")
+    numeric = [c for c in cols if c not in cats]
+    df = df.withColumns({c: F.col(c).cast("double") for c in numeric})
+    train = holdout_folds(df.where(F.col(LABEL).isNotNull()), N_FOLDS)
+    bins = B.quantile_bins(train, numeric, [f"code_{c}" for c in cats])
+    chunks = B.write_chunks(train, bins, KEY, LABEL, "weight", FOLDS)
+    test = B.write_chunks(df.where(F.col(LABEL).isNull()), bins, KEY, None, None)
+    return Boosted(version, bins, B.fit_boosters(chunks, N_FOLDS, bins, settings), chunks, test)
 
 
-def _with_nominal(df: DataFrame, cats) -> tuple[DataFrame, int]:
-    """Categoricals encoded in sorted-value order as nominal ML attributes in
-    columns ``code_<name>``, as some of them are keys too; (frame, most levels
-    of a column).  Trees need as many bins as levels."""
-    out, most = df, 0
-    for c, codes in code_tables(df, cats).items():
-        n = codes.count()
-        most = max(most, n)
-        out = out.join(codes, out[c].eqNullSafe(codes["value"]), "left").drop("value")
-        meta = {"ml_attr": {"type": "nominal", "num_vals": n, "name": c}}
-        out = out.withColumn(f"code_{c}", F.col("code").cast("double").alias(f"code_{c}", metadata=meta)).drop("code")
-    return out, most
-
-
-def _per_fold(spark: SparkSession, fit: Callable[[int], tuple]) -> list[tuple]:
-    """Results of ``fit`` for each fold; folds are independent, so their jobs
-    are submitted side by side."""
-    with ThreadPool(N_FOLDS) as pool:
-        return pool.map(inheritable_thread_target(spark)(fit), range(N_FOLDS))
-
-
-def boost(gbt: GBTRegressor, fit_df: DataFrame, val_df: DataFrame, max_rounds: int, patience: int) -> tuple:
-    """(model, best number of rounds, its validation error): rounds are added
-    until none of the last ``patience`` lowered the absolute error on the
-    validation rows, and the model with the best number is returned.  MLlib
-    can't go on from a fitted ensemble, so a longer one is fitted anew; with
-    the same seed its first trees are the same."""
-    rounds = min(max_rounds, patience + 1)
-    while True:
-        model = gbt.copy({gbt.maxIter: rounds}).fit(fit_df)
-        errors = model.evaluateEachIteration(val_df, "absolute")
-        best = int(np.argmin(errors)) + 1
-        if rounds >= max_rounds or rounds - best >= patience:
-            break
-        rounds = min(max_rounds, max(2 * rounds, best + patience))
-    if best < rounds:
-        model = gbt.copy({gbt.maxIter: best}).fit(fit_df)
-    return model, best, float(errors[best - 1])
-
-
-def fit_gbt_cv(features: DataFrame, version: int, max_rounds: int = MAX_ROUNDS, patience: int = PATIENCE, **overrides) -> CVResult:
-    """Weighted squared-loss boosted trees, one model per hold-out fold, each
-    stopped early on its validation rows (M6, M7).  ``overrides`` replace
-    booster settings, e.g. ``stepSize=0.01`` for the slow variant."""
-    params = {**GBT_PARAMS, **overrides}
-    cols = feature_columns(version)
-    # The feature plan runs once: encoding statistics and fits read this.
-    df = _checkpoint(training_frame(features).select(*dict.fromkeys([*KEY, LABEL, "weight", *cols])))
-    df, levels = _with_nominal(df, CATEGORICAL[version])
-    params["maxBins"] = max(params["maxBins"], levels)
-    numeric = [c for c in cols if c not in CATEGORICAL[version]]
-    df = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(MISSING)) for c in numeric})
-    inputs = [f"code_{c}" if c in CATEGORICAL[version] else c for c in cols]
-    vec = VectorAssembler(inputCols=inputs, outputCol="features")
-    df = _checkpoint(vec.transform(df).select(*KEY, LABEL, "weight", "features"))
-    train = _checkpoint(_split_folds(df.where(F.col(LABEL).isNotNull())), spread=True)
-    test = df.where(F.col(LABEL).isNull())
-    gbt = GBTRegressor(labelCol=LABEL, weightCol="weight", **params)
-
-    def fit(n: int) -> tuple:
-        return boost(gbt, train.where(~F.col(f"valid_{n}")), train.where(F.col(f"valid_{n}")), max_rounds, patience)
-
-    res = CVResult(valid=None, test=None, test_input=test.select(*KEY, "features"))
-    for n, (model, best, error) in enumerate(_per_fold(train.sparkSession, fit)):
-        res.models[n] = model
-        res.info.append({"fold": n, "best_iter": best, "valid_mae": error})
-    return _predict(res, train, test)
-
-
-def _predict(res: CVResult, train: DataFrame, test: DataFrame) -> CVResult:
-    valids, tests = [], []
-    for n, model in res.models.items():
-        valids.append(model.transform(train.where(F.col(f"valid_{n}"))).select(
-            *KEY, LABEL, "weight", F.lit(n).alias("fold"), F.col("prediction").alias("pred")))
-        tests.append(model.transform(test).select(*KEY, F.lit(n).alias("fold"), F.col("prediction").alias("pred")))
-    res.valid = _union(valids)
-    res.test = _union(tests)
-    return res
+def fit_gbt_cv(features: DataFrame, version: int, **overrides) -> CVResult:
+    """Weighted squared-loss boosted trees of one horizon, one model per
+    hold-out fold, each stopped early on its validation rows (M6, M7)."""
+    return fit_boosted(features.withColumn("horizon", F.lit(0)), version, **overrides).cv()
 
 
-def importance(res: CVResult, version: int) -> DataFrame:
-    """Gain importance of every feature: mean and population std over folds,
-    largest first (A16, O3).  MLlib scales a model's gains to the sum 1."""
-    spark = res.test.sparkSession
-    names = feature_columns(version)
-    rows = [(names[i], fold, float(v)) for fold, m in res.models.items()
-            for i, v in enumerate(m.featureImportances.toArray())]
-    imp = spark.createDataFrame(rows, "feature string, fold int, gain double")
-    out = imp.groupBy("feature").agg(F.avg("gain").alias("mean"), F.stddev_pop("gain").alias("std"))
-    return out.orderBy(F.col("mean").desc(), "feature")
+def importance(fits: Boosted) -> DataFrame:
+    """Raw gain of every feature summed over a fold's trees: mean and
+    population std over folds, largest first (M10, A16, O3)."""
+    imp = B.gains(fits.nodes, fits.bins.columns, N_FOLDS)
+    return imp.select(F.regexp_replace("feature", "^code_", "").alias("feature"), "mean", "std").orderBy(F.col("mean").desc(), "feature")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -182,16 +144,10 @@ def ridge_columns(version: int) -> list[str]:
     return [c for c in feature_columns(version) if c not in CATEGORICAL[version] and c != "superbowl"]
 
 
-def fit_ridge_cv(features: DataFrame, version: int = 2, alphas=RIDGE_ALPHAS) -> CVResult:
-    """Ridge per fold with the penalty picked on validation MAE, ties to the
-    larger penalty (M9, M11).
-
-    Categoricals are dropped, training rows without the seasonal lag are
-    dropped, every feature is mean-imputed and standardised with training
-    statistics.  MLlib's objective is 1/(2n)|y - Xw|^2 + lambda/2 |w|^2 on a
-    label scaled by its standard deviation, so the penalty of
-    |y - Xw|^2 + alpha |w|^2 is lambda = alpha * std_pop(y) / n.
-    """
+def ridge_frames(features: DataFrame, version: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(labelled rows with folds, unlabelled rows, feature columns): rows
+    without the seasonal lag are dropped from the labelled ones, every feature
+    is mean-imputed and standardised with the labelled rows' statistics."""
     cols = ridge_columns(version)
     keep = list(dict.fromkeys([*KEY, LABEL, "weight", LAG, *cols]))
     # The feature plan runs once: imputation/scaling statistics and fits read this.
@@ -199,32 +155,28 @@ def fit_ridge_cv(features: DataFrame, version: int = 2, alphas=RIDGE_ALPHAS) ->
     train = rows_with_lag(df.where(F.col(LABEL).isNotNull()), LAG)
     test = df.where(F.col(LABEL).isNull())
     train, test = impute_mean(train, test, cols)
-    train, test = _checkpoint(train), _checkpoint(test)
     train, test = standardize(train, test, cols)
-    vec = VectorAssembler(inputCols=cols, outputCol="features")
-    train = _checkpoint(_split_folds(vec.transform(train).select(*KEY, LABEL, "weight", "features")), spread=True)
-    test = _checkpoint(vec.transform(test).select(*KEY, "features"))
-
-    def fit(n: int) -> tuple:
-        fit_df, val_df = train.where(~F.col(f"valid_{n}")), train.where(F.col(f"valid_{n}"))
-        n_rows, sd = fit_df.agg(F.count(F.lit(1)), F.stddev_pop(LABEL)).first()
-        best, info = None, []
-        for a in alphas:
-            lr = LinearRegression(labelCol=LABEL, regParam=a * (sd or 0.0) / n_rows, elasticNetParam=0.0,
-                                  standardization=False, solver="normal", fitIntercept=True)
-            m = lr.fit(fit_df)
-            error = mae(m.transform(val_df), LABEL, "prediction").first()["mae"]
-            info.append({"fold": n, "alpha": a, "mae": float(error), "chosen": False})
-            if best is None or error <= info[best[0]]["mae"]:
-                best = (len(info) - 1, m)
-        info[best[0]]["chosen"] = True
-        return best[1], info
-
-    res = CVResult(valid=None, test=None, test_input=test)
-    for n, (model, info) in enumerate(_per_fold(train.sparkSession, fit)):
-        res.models[n] = model
-        res.info += info
-    return _predict(res, train, test)
+    return holdout_folds(train, N_FOLDS), test, cols
+
+
+def fit_ridge_cv(features: DataFrame, version: int = 2, alphas=RIDGE_ALPHAS) -> CVResult:
+    """Ridge per fold with the penalty picked on validation MAE, ties to the
+    larger penalty (M9, M11): one pass collects the sums of products of each
+    fold's ring of dates, one more the errors of all folds and penalties."""
+    train, test, cols = ridge_frames(features, version)
+    train = _checkpoint(train)
+    sums = RG.gram(train, cols, LABEL, N_FOLDS)
+    grid = {n: RG.solve(sums, n, alphas) for n in range(N_FOLDS)}
+    errors = RG.grid_errors(train, cols, LABEL, FOLDS, grid)
+    res = CVResult(valid=None, test=None)
+    for n in range(N_FOLDS):
+        chosen = min(range(len(alphas)), key=lambda i: (errors[n][i], -i))
+        res.models[n] = grid[n][chosen]
+        res.info += [{"fold": n, "alpha": float(a), "mae": errors[n][i], "chosen": i == chosen} for i, a in enumerate(alphas)]
+    valid = train.select(*KEY, LABEL, "weight", F.inline(F.array(*[F.struct(F.lit(n).alias("fold"), F.col(f"valid_{n}").alias("_in"), m.value(cols).alias("pred")) for n, m in res.models.items()])))
+    res.valid = valid.where("_in").drop("_in")
+    res.test = test.select(*KEY, F.inline(F.array(*[F.struct(F.lit(n).alias("fold"), m.value(cols).alias("pred")) for n, m in res.models.items()])))
+    return res
 
 
 def fold_average(test_preds: DataFrame) -> DataFrame:
@@ -232,44 +184,53 @@ def fold_average(test_preds: DataFrame) -> DataFrame:
     return test_preds.groupBy(*KEY).agg(F.avg("pred").alias("pred"), F.count("pred").alias("n_folds"))
 
 
-def load_models(paths: dict[int, str], kind: str = "gbt") -> dict:
-    cls = GBTRegressionModel if kind == "gbt" else LinearRegressionModel
-    return {fold: cls.load(p) for fold, p in paths.items()}
+def save_nodes(nodes: DataFrame, path: str) -> str:
+    """Persist fitted boosters, one folder per fold."""
+    nodes.write.mode("overwrite").partitionBy("fold").parquet(path)
+    return path
 
 
-def train_predictions(res: CVResult) -> DataFrame:
+def load_nodes(spark: SparkSession, path: str) -> DataFrame:
+    names = [x.split()[0] for x in B.NODES.split(", ")]
+    return spark.read.schema(B.NODES).parquet(path).select(*names)
+
+
+def train_predictions(valid: DataFrame, by: Iterable[str] = ()) -> DataFrame:
     """Training-side predictions: a row for each labelled key that some fold
     validates, with a column for each fold (S5)."""
-    wide = res.valid.groupBy(*KEY, LABEL, "weight").pivot("fold", list(range(N_FOLDS))).agg(F.first("pred"))
-    return wide.select(*KEY, LABEL, "weight", *[F.col(str(i)).alias(f"pred_fold{i}") for i in range(N_FOLDS)])
+    wide = valid.groupBy(*by, *KEY, LABEL, "weight").pivot("fold", list(range(N_FOLDS))).agg(F.first("pred"))
+    return wide.select(*by, *KEY, LABEL, "weight", *[F.col(str(i)).alias(f"pred_fold{i}") for i in range(N_FOLDS)])
 
 
-def horizon_fits(tables: PanelTables, version: int, kind: str = "gbt", horizons: Iterable[int] | None = None, **params) -> dict[int, CVResult]:
-    """A CV fit for each horizon, on one materialised table of all horizons'
-    features; the fits are independent and submitted a few at a time."""
+def fit_horizons(tables: PanelTables, version: int, horizons: Iterable[int] | None = None, **overrides) -> Boosted:
+    """Boosters of all horizons, from one table of their features."""
     horizons = list(horizons or tables.calendar.horizons)
-    feats = _checkpoint(build_all_horizons(tables, version, horizons))
-    train = fit_gbt_cv if kind == "gbt" else fit_ridge_cv
+    return fit_boosted(build_all_horizons(tables, version, horizons), version, **overrides)
 
-    def fit(h: int) -> CVResult:
-        return train(feats.where(F.col("horizon") == h).drop("horizon"), version, **params)
 
-    with ThreadPool(SIDE_BY_SIDE) as pool:
-        return dict(zip(horizons, pool.map(inheritable_thread_target(feats.sparkSession)(fit), horizons)))
+def ridge_horizons(tables: PanelTables, version: int, horizons: Iterable[int] | None = None) -> DataFrame:
+    """The ridge path over horizons: store, dept, dt, horizon, pred."""
+    horizons = list(horizons or tables.calendar.horizons)
+    path = scratch_path(tables.history.sparkSession, "ridge-features")
+    build_all_horizons(tables, version, horizons).write.partitionBy("horizon").parquet(path)
+    feats = tables.history.sparkSession.read.parquet(path)
+    fits = {h: fit_ridge_cv(feats.where(F.col("horizon") == h).drop("horizon"), version) for h in horizons}
+    return _union([fold_average(res.test).select(*KEY, F.lit(h).alias("horizon"), "pred") for h, res in fits.items()])
 
 
-def forecast_horizons(tables: PanelTables, version: int, kind: str = "gbt", horizons: Iterable[int] | None = None, **params) -> DataFrame:
-    """Per-horizon CV fits (one 3-fold fit per horizon, as the training
-    drivers run them) and the long forecast table (store, dept, dt, horizon,
-    pred) that the combination operators take."""
-    fits = horizon_fits(tables, version, kind, horizons, **params)
-    return _union([fold_average(res.test).select(*KEY, F.lit(h).alias("horizon"), "pred") for h, res in fits.items()])
+def forecast_horizons(tables: PanelTables, version: int, kind: str = "gbt", horizons: Iterable[int] | None = None, **overrides) -> DataFrame:
+    """Per-horizon CV fits and the long forecast table (store, dept, dt,
+    horizon, pred) that the combination operators take."""
+    if kind == "ridge":
+        return ridge_horizons(tables, version, horizons)
+    rows = fit_horizons(tables, version, horizons, **overrides).test_rows()
+    return rows.groupBy("horizon", *KEY).agg(F.avg("pred").alias("pred")).select(*KEY, "horizon", "pred")
 
 
-def write_horizon_predictions(fits: dict[int, CVResult], model: str, path: str) -> None:
+def write_horizon_predictions(fits: Boosted, model: str, path: str) -> None:
     """Both sides of every horizon: test forecasts and training predictions
     per fold, partitioned by (model, horizon, split) (S5)."""
-    tests = _union([fold_average(r.test).select(*KEY, "pred", F.lit(h).alias("horizon")) for h, r in fits.items()])
-    trains = _union([train_predictions(r).withColumn("horizon", F.lit(h)) for h, r in fits.items()])
+    tests = fits.test_rows().groupBy("horizon", *KEY).agg(F.avg("pred").alias("pred"))
+    trains = train_predictions(fits.valid_rows(), ["horizon"])
     write_predictions(tests.withColumns({"model": F.lit(model), "split": F.lit("test")}), path)
     write_predictions(trains.withColumns({"model": F.lit(model), "split": F.lit("train")}), path)
