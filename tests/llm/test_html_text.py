@@ -1,5 +1,8 @@
 import html
+import math
+import random
 import re
+import time
 
 from conftest import SF_SMALL
 from tidecast.llm.html_text import extract_text, main_text
@@ -68,3 +71,118 @@ def test_whole_table(spark):
         inner = re.search(r"(?s)<article>(.*?)</article>", pages[r.page_id])[1]
         want = html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", inner)))
         assert r.text == " ".join(want.split()) and r.n_chars == len(r.text)
+
+
+def test_raw_text_is_never_read_as_markup():
+    """Whatever a script, style or text area holds, the article after it comes out whole, and nothing else."""
+    side = "<div class='sidebar'>buy this</div>"
+    article = f"<article><p>{PARA}</p><p>It's {PARA}</p></article>"
+    for name in ("script", "style", "textarea", "noscript", "template", "iframe", "title", "xmp"):
+        for inner in ("<!--", "<!-- open", "document.write('<!-- ad');", "if(a<b){} // don't", "a<b don't", "x = '", 'y = "', "<a href='", "<![CDATA[", "</p>", "<article><p>inside</p>", "</", f"</{name}x>", "<"):
+            for end in (f"</{name}>", f"</{name.upper()} >", f"</{name} x='1'>"):
+                raw = f"<{name}>{inner}{end}"
+                assert main_text(f"<body>{raw}{side}{article}</body>") == f"{PARA} It's {PARA}", raw
+                assert main_text(f"<body>{side}<article>{raw}<p>{PARA}</p>{raw}<p>It's {PARA}</p></article>{raw}</body>") == f"{PARA} It's {PARA}", raw
+
+
+def test_quotes_protect_only_attribute_values():
+    assert main_text(f"<article><p>a<b then it's fine {PARA}</p><p>It's more text {PARA}</p></article>").endswith(f"It's more text {PARA}")
+    assert main_text(f"<article><p title='a > b' data-x = \"c > 'd'\">{PARA}</p><p title=don't>{PARA}</p><p alt=\"never closed>{PARA}</p></article>") == f"{PARA} {PARA} {PARA}"
+    assert main_text(f"<article {'=' * 30_000}><p>{PARA}</p></article>") == PARA
+
+
+def test_headers_within_the_article_are_its_own():
+    for head in ("<div class='post-header'><h1>Title here</h1></div>", "<header><h1>Title here</h1></header>", "<div id=articleHeader><h1>Title here</h1></div>"):
+        page = f"<body><div class='site-header'><p>{PARA}</p></div><header>Site</header><article>{head}<p>{PARA}</p></article></body>"
+        assert main_text(page) == f"Title here {PARA}", head
+    assert main_text(f"<article><p>{PARA}</p><div class='share-header'>Share</div><p>{PARA}</p></article>") == f"{PARA} {PARA}"
+
+
+def test_deep_pages_take_linear_time():
+    for page in ("<div>" * 20_000 + "</b>" * 20_000, "<b>" + "<div>" * 20_000 + "</b>" * 20_000, "<p>" + "<i>" * 20_000 + "<div>" * 20_000, "<ul><li>" + "<div>" * 20_000 + "<li>" * 20_000):
+        start = time.process_time()
+        assert main_text(page + PARA) == PARA
+        assert time.process_time() - start < 3
+
+
+# --- composite text density against a recursion over the tree itself ------------------
+
+class Node:
+    def __init__(self, name, items):
+        self.name, self.items = name, []  # text, ("a", text) or Node
+        for x in items:  # text beside text is one piece
+            if isinstance(x, str) and self.items and isinstance(self.items[-1], str):
+                self.items[-1] += x
+            else:
+                self.items.append(x)
+        self.children = [x for x in items if isinstance(x, Node)]
+
+    def all(self):
+        return [self, *[n for c in self.children for n in c.all()]]
+
+    def html(self):
+        inner = "".join(x if isinstance(x, str) else x.html() if isinstance(x, Node) else f"<a href=x>{x[1]}</a>" for x in self.items)
+        return f"<{self.name}>{inner}</{self.name}>"
+
+    def count(self):
+        """Characters, those in links, tags, link tags."""
+        texts = [(len(" ".join(x.split())), 0) if isinstance(x, str) else (len(" ".join(x[1].split())),) * 2 for x in self.items if not isinstance(x, Node)]
+        links = sum(isinstance(x, tuple) for x in self.items)
+        own = (sum(c for c, _ in texts), sum(l for _, l in texts), 1 + links, links)
+        return tuple(map(sum, zip(own, *[c.count() for c in self.children])))
+
+
+def by_recursion(body):
+    whole = body.count()
+    share = whole[1] / max(whole[0], 1)
+
+    def density(n):
+        c, lc, t, lt = n.count()
+        if not c:
+            return 0.0
+        return c / t * math.log1p(c / max(lc, 1) * t / max(lt, 1)) / math.log1p(math.log(c / max(c - lc, 1) * lc + share * c + math.e))
+
+    def total(n):
+        return sum(map(density, n.children)) if n.children else density(n)
+
+    def path(n, to):
+        if n is to:
+            return [n]
+        return next(([n, *p] for c in n.children if (p := path(c, to))), None)
+
+    def core(n):
+        return max(n.all(), key=total)
+
+    least = min(map(density, path(body, core(body))))
+    marked = {id(core(n)) for n in body.all() if density(n) >= least > 0}
+    for n in body.all():
+        if n is not body and any(id(c) in marked for c in n.children):
+            marked |= {id(c) for c in n.children if c.name == "p" and 2 * c.count()[1] <= c.count()[0]}
+
+    def text(n, kept):
+        kept = kept or id(n) in marked
+        parts = [text(x, kept) if isinstance(x, Node) else (x if isinstance(x, str) else x[1]) if kept else "" for x in n.items]
+        return " " + "".join(parts) + " "
+
+    return " ".join(text(body, False).split())
+
+
+def random_tree(rng, depth):
+    words = lambda a, b: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(rng.randint(a, b)))
+    if depth == 0 or rng.random() < 0.3:
+        items = []
+        for _ in range(rng.randint(1, 4)):
+            items.append(("a", words(1, 4)) if rng.random() < 0.35 else words(1, 40) + " ")
+        return Node(rng.choice(["p", "div"]), items)
+    return Node(rng.choice(["div", "section"]), [random_tree(rng, depth - 1) for _ in range(rng.randint(1, 5))])
+
+
+def test_density_matches_recursion():
+    rng = random.Random(11)
+    several = 0
+    for _ in range(400):
+        body = Node("body", [random_tree(rng, rng.randint(1, 4)) for _ in range(rng.randint(1, 4))])
+        want = by_recursion(body)
+        assert main_text(body.html()) == want, body.html()
+        several += want != " ".join(re.sub(r"<[^>]*>", " ", body.html()).split())
+    assert several > 50  # parts are left out often enough for the test to mean something

@@ -12,7 +12,8 @@ paragraphs, headings, lists and quotes beside a marked element follow it.
 
 Elements that are no article text by their name, role, or a word of their
 class or id are taken out before; a class or id does not count where the element
-holds the page's article or, on a page without one, most of its text.  On a
+holds the page's article or, on a page without one, most of its text, and within
+an article or main element the words for headers don't.  On a
 page with a single outermost article or main element, that element stands
 for the body.
 
@@ -20,6 +21,9 @@ Svg and math elements are dropped as elements (a self-closed one is only its
 tag), so is a select, and an object that has an end; an unclosed one ends
 where its parent or a start tag that it can't hold ends it.
 
+The content of scripts, styles, text areas and the like is skipped as raw text up
+to their end tag (without one, to the end of the page), whatever it holds.
+
 Cases: null or empty html gives an empty text; unclosed, crossed or stray
 tags follow the usual implied ends; html cut off within a tag loses that
 tag; a page without elements is one block; null ids, null urls and repeated
@@ -31,6 +35,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -75,9 +80,12 @@ WORDS = frozenset(
     "recommended pagination pager toolbar login search form copyright skip hidden".split()
 )
 CORE = frozenset(("article", "main"))
+#: Words that don't count within the page's article, where they name the head of the text.
+OWN_WORDS = frozenset(("header", "masthead"))
 
+#: Comments, declarations and tags; in a tag a quote protects ``>`` only after ``=``.
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(>|\Z)""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>])*+)(>|\Z)""",
     re.DOTALL,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|\b(hidden)\b""")
@@ -85,7 +93,7 @@ SELF_CLOSED = re.compile(r"""(?<!=)(?:\A|["'\s]|[\s"'][^\s"'=]+)/\Z""")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _noise(name: str, attributes: str) -> tuple[bool, bool]:
+def _noise(name: str, attributes: str, in_core: bool = False) -> tuple[bool, bool]:
     """(noise by name or role, noise by a word of class or id)."""
     if name in DROPPED:
         return True, False
@@ -100,11 +108,62 @@ def _noise(name: str, attributes: str) -> tuple[bool, bool]:
             return True, False
         if key == "aria-hidden" and value.lower() == "true":
             return True, False
-        if key in ("class", "id") and any(w.lower() in WORDS for w in WORD.findall(value)):
+        if key in ("class", "id") and any(w.lower() in WORDS and not (in_core and w.lower() in OWN_WORDS) for w in WORD.findall(value)):
             hinted = True
     return False, hinted
 
 
+class Open:
+    """The open elements.  Each name's places are at hand, so that no tag walks
+    the whole stack; inline elements carry the block they stand in."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int]] = [("#page", 0)]
+        self.places: dict[str, list[int]] = {}
+        self.blocks = [0]  # places of elements that are not inline
+
+    def __len__(self) -> int:
+        return len(self.stack)
+
+    @property
+    def block(self) -> int:
+        return self.stack[-1][1]
+
+    def element(self, place: int) -> int:
+        return self.stack[place][1]
+
+    def last(self, name: str) -> int:
+        """Place of the innermost open element of the name; 0 without one."""
+        own = self.places.get(name)
+        return own[-1] if own else 0
+
+    def block_between(self, after: int, before: int) -> bool:
+        i = bisect_left(self.blocks, before) - 1
+        return i >= 0 and self.blocks[i] > after
+
+    def push(self, name: str, block: int) -> None:
+        self.places.setdefault(name, []).append(len(self.stack))
+        if name not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append((name, block))
+
+    def cut(self, place: int) -> int:
+        """Close the elements from ``place`` on; links closed by it."""
+        links = 0
+        while len(self.stack) > place:
+            name, _ = self.stack.pop()
+            self.places[name].pop()
+            if name not in INLINE:
+                self.blocks.pop()
+            links += name == "a"
+        return links
+
+    def close(self, names: tuple[str, ...], fences: tuple[str, ...]) -> int:
+        """Close the innermost open element of ``names`` within the fences; links closed by it."""
+        place = max(map(self.last, names))
+        return self.cut(place) if place > max(map(self.last, fences), default=0) else 0
+
+
 class Page:
     """Flat table of a page's block elements; row 0 is the page itself."""
 
@@ -115,55 +174,47 @@ class Page:
         self._read(source)
 
     def _read(self, source: str) -> None:
-        stack: list[tuple[str, int]] = [("#page", 0)]  # open elements; inline ones carry their block
+        stack = Open()
         links = at = 0
-        raw = None
         foreign: list[tuple[int, str]] = []  # places and names of open svg and math elements and of integration points in them
         selects: list[int] = []  # places of open selects
 
-        def cut(depth: int) -> int:
-            """Close the elements from ``depth`` on; links closed by it."""
-            lost = sum(x == "a" for x, _ in stack[depth:])
-            del stack[depth:]
-            return lost
-
         def settle() -> None:
             while foreign and foreign[-1][0] >= len(stack):
                 foreign.pop()
             while selects and selects[-1] >= len(stack):
                 selects.pop()
 
-        for m in TOKEN.finditer(source):
-            if m.start() < at:
-                continue
+        while m := TOKEN.search(source, at):  # from the end of what was read: nothing begins inside raw text
             if m.start() > at and not foreign:
-                self.pieces.append((stack[-1][1], source[at: m.start()], links > 0))
+                self.pieces.append((stack.block, source[at: m.start()], links > 0))
             at = m.end()
-            name = (m[2] or m[6] or "").lower()
+            name = (m[2] or "").lower()
             if not name:
                 continue
-            if (m[4] if m[2] else m[8]) != ">":
+            if m[4] != ">":
+                at = len(source)
                 break  # cut off within a tag
-            block = stack[-1][1]
-            if m[1] or m[5]:
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-                if name in INLINE and any(x not in INLINE for x, _ in stack[depth + 1: next((i for i, x in foreign if x in FOREIGN and i > depth), None)]):
+            block = stack.block
+            if m[1]:
+                depth = stack.last(name)
+                if depth and name in INLINE and stack.block_between(depth, next((i for i, x in foreign if x in FOREIGN and i > depth), len(stack))):
                     depth = 0  # an inline end does not close the blocks within
                 inside = foreign and (not depth or depth >= foreign[0][0])
                 if depth:
                     if name == "object":
-                        self.noise[stack[depth][1]] = True  # one without an end holds the text after it
-                    links -= cut(depth)
+                        self.noise[stack.element(depth)] = True  # one without an end holds the text after it
+                    links -= stack.cut(depth)
                     settle()
                 if name not in INLINE and not inside:
                     self.pieces.append((block, " ", False))
                 continue
-            attributes = m[3] or m[7] or ""
+            attributes = m[3]
             while foreign and name in (BREAKOUT if foreign[-1][1] in FOREIGN else CLOSES_P if foreign[-1][1] in LABELS else ()):
-                links -= cut(foreign[-1][0])
+                links -= stack.cut(foreign[-1][0])
                 settle()
             if selects and not foreign and name in ENDS_SELECT:
-                links -= cut(selects[-1])
+                links -= stack.cut(selects[-1])
                 settle()
             within = bool(foreign) and foreign[-1][1] in FOREIGN
             if (within or name in FOREIGN) and SELF_CLOSED.search(attributes):
@@ -172,33 +223,34 @@ class Page:
                 if name in FOREIGN or within and name in INTEGRATION:
                     foreign.append((len(stack), name))
                 links += name == "a"
-                stack.append((name, stack[-1][1]))  # all of it is dropped with the outermost one
+                stack.push(name, stack.block)  # all of it is dropped with the outermost one
                 continue
             if name in RAW:
-                raw = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(source, at)
+                raw = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.IGNORECASE).search(source, at)
                 at = raw.end() if raw else len(source)
                 continue
             if name in CLOSES_P:
-                links -= self._close(stack, ("p",), FENCES["p"])
+                links -= stack.close(("p",), FENCES["p"])
             if name in IMPLIED:
-                links -= self._close(stack, IMPLIED[name], FENCES.get(name, ()))
+                links -= stack.close(IMPLIED[name], FENCES.get(name, ()))
             settle()
-            block = stack[-1][1]
+            block = stack.block
             if name in VOID:
                 if foreign:
                     continue
                 self.tags[block] += 1
                 self.pieces.append((block, " ", False))
                 continue
-            if name in INLINE and not any(_noise(name, attributes)):
+            in_core = any(stack.last(x) for x in CORE)
+            noise, hinted = _noise(name, attributes, in_core)
+            if name in INLINE and not (noise or hinted):
                 self.tags[block] += 1
                 if name == "a":
                     self.link_tags[block] += 1
                     links += 1
-                stack.append((name, block))
+                stack.push(name, block)
                 continue
-            noise, hinted = _noise(name, attributes)
-            if name == "header" and not any(x in ("article", "main") for x, _ in stack):
+            if name == "header" and not in_core:
                 noise = True
             self.name.append(name)
             self.parent.append(block)
@@ -214,22 +266,9 @@ class Page:
                 links += 1
             if name == "select":
                 selects.append(len(stack))
-            stack.append((name, len(self.name) - 1))
-        else:
-            if at < len(source) and not foreign:
-                self.pieces.append((stack[-1][1], source[at:], links > 0))
-
-    @staticmethod
-    def _close(stack: list[tuple[str, int]], names: tuple[str, ...], fences: tuple[str, ...]) -> int:
-        """Close the innermost open element of ``names`` within the fences; links closed by it."""
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                lost = sum(x == "a" for x, _ in stack[i:])
-                del stack[i:]
-                return lost
-            if stack[i][0] in fences:
-                break
-        return 0
+            stack.push(name, len(self.name) - 1)
+        if at < len(source) and not foreign:
+            self.pieces.append((stack.block, source[at:], links > 0))
 
     def _upwards(self, own: list[float]) -> list[float]:
         total = list(own)
