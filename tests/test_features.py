@@ -1,5 +1,6 @@
 import datetime as dt
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,3 +125,22 @@ def test_other_calendar_and_many_departments(spark):
         _same(_rows(both.where(F.col("horizon") == horizon), cols), _rows(build_features(t, 4, horizon), cols))
     codes = {r["value"]: r["code"] for r in fit_codes(h.select("dept").unionByName(f.select("dept")), "dept").collect()}
     assert codes == {v: i for i, v in enumerate(sorted({x[1] for x in hist} | {x[1] for x in fut}))}
+
+
+@pytest.mark.parametrize("build", [lambda t: build_features(t, 3, 1), lambda t: build_all_horizons(t, 2, (1, 2)), lambda t: build_all_horizons(t, 2, (1, 2), method="shift")])
+def test_a_repeated_key_fails_within_the_plan(spark, build):
+    tables = load_panel_tables(spark, SF_SMALL, materialize=True)
+    twice = replace(tables, history=tables.history.unionByName(tables.history.orderBy("dt", "store", "dept").limit(1)))
+    with pytest.raises(Exception, match="not unique"):
+        build(twice).write.format("noop").mode("overwrite").save()
+
+
+def test_the_key_check_adds_no_shuffle(spark):
+    from tidecast.operators.joins import guard_unique_key
+    from tidecast.plans.features import base_data
+    from tidecast.operators.windows import lagged_range
+
+    tables = load_panel_tables(spark, SF_SMALL, materialize=True)
+    plain = lagged_range(base_data(tables, 1), "sales", ("store", "dept"), 28)
+    shuffles = [x._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for x in (plain, guard_unique_key(plain))]
+    assert shuffles[0] == shuffles[1]

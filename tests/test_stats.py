@@ -50,3 +50,28 @@ def test_pivot_raises_on_undeclared_values(spark):
     df = spark.createDataFrame([(1, 1, 2.0), (1, 9, 3.0)], "dt int, dept int, sales double")
     with pytest.raises(Exception, match="not declared: 9"):
         stats.pivot_sum(df, "dt", "dept", "sales", [1, 2]).collect()
+
+
+def test_sketches_merge_to_unions_within_their_error(spark):
+    df = spark.range(200_000).selectExpr("cast(id % 50 as int) as g", "cast(id * 7919 % 120000 as int) as v")
+    stored = stats.distinct_sketches(df, ["g"], {"v": ["v"]}, lg=12)
+    exact = df.select("v").distinct().count()
+    n = stats.merged_counts(stored, ["v"]).first()["n_v"]
+    assert abs(n - exact) / exact < 4 / 4096**0.5
+    a, b = df.where("v < 80000"), df.where("v >= 50000")
+    got = stats.sketch_overlap(*[stats.distinct_sketches(x, ["g"], {"v": ["v"]}) for x in (a, b)], "v").first()
+    want = stats.overlap(a, b, ["v"]).first()
+    for k in ("only_left", "only_right", "both"):
+        assert abs(got[k] - want[k]) / exact < 6 / 4096**0.5
+    few = stats.sketch_overlap(*[stats.distinct_sketches(x, ["g"], {"v": ["v"]}) for x in (a.where("v < 60"), a.where("v between 50 and 99"))], "v").first()
+    assert tuple(few) == (50, 40, 10)
+
+
+def test_sparse_sums_need_no_declared_values(spark):
+    rows = [(1, d, float(d)) for d in range(5000)] + [(2, 7, 1.0), (2, 7, 2.0), (2, None, 5.0), (3, None, 1.0)]
+    df = spark.createDataFrame(rows, "row int, col int, x double")
+    sparse = stats.sparse_sum(df, "row", "col", "x")
+    got = {r.row: r.sums for r in sparse.collect()}
+    assert got == {1: {d: float(d) for d in range(5000)}, 2: {7: 3.0}}
+    wide = {r.row: (r["7"], r["9999"]) for r in stats.dense(sparse, "row", [7, 9999]).collect()}
+    assert wide == {1: (7.0, 0.0), 2: (3.0, 0.0)}

@@ -64,6 +64,30 @@ def distinct_counts(df: DataFrame, cols: Sequence[str | tuple[str, ...]]) -> Dat
     return df.agg(*out)
 
 
+def distinct_sketches(df: DataFrame, by: Sequence[str], values: dict[str, Sequence[str]], lg: int = 12) -> DataFrame:
+    """Theta sketches of each named column tuple by ``by``: a small table to
+    store with the panel.  Sketches of any groups merge to that of their union
+    (A6, U3); counts are exact up to 2^lg values and within about 2 / sqrt(2^lg)
+    beyond."""
+    return df.groupBy(*by).agg(*[F.theta_sketch_agg(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in cols]), lg).alias(name) for name, cols in values.items()])
+
+
+def merged_counts(sketches: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Estimated distinct counts of the union of the groups' sketches."""
+    return sketches.groupBy(*by).agg(*[F.theta_sketch_estimate(F.theta_union_agg(n)).alias(f"n_{n}") for n in names])
+
+
+def sketch_overlap(a: DataFrame, b: DataFrame, name: str) -> DataFrame:
+    """:func:`overlap` from stored sketches: each side merged, then their
+    differences and intersection; neither table's keys are shuffled again."""
+    both = a.agg(F.theta_union_agg(name).alias("_a")).withColumn("_b", b.agg(F.theta_union_agg(name)).scalar())
+    return both.select(
+        F.theta_sketch_estimate(F.theta_difference("_a", "_b")).alias("only_left"),
+        F.theta_sketch_estimate(F.theta_difference("_b", "_a")).alias("only_right"),
+        F.theta_sketch_estimate(F.theta_intersection("_a", "_b")).alias("both"),
+    )
+
+
 def date_span(df: DataFrame, dt: str = "dt") -> DataFrame:
     """First and last date."""
     return df.agg(F.min(dt).alias("first_dt"), F.max(dt).alias("last_dt"), F.count(dt).alias("n_rows"))
@@ -81,6 +105,21 @@ def pivot_sum(df: DataFrame, row: str, col: str, value: str, values: Sequence, f
     return out
 
 
+def sparse_sum(df: DataFrame, row: str, col: str, value: str) -> DataFrame:
+    """SUM(value) by (row, col) as a map column ``sums`` for each row (A8, A9):
+    the values of ``col`` need not be known, and a row holds only those that it has,
+    whatever their number in all.  Rows without a ``col`` have no entry.
+    :func:`dense` makes columns of chosen values."""
+    cells = df.where(F.col(col).isNotNull()).groupBy(row, col).agg(F.sum(value).alias("_sum"))
+    return cells.groupBy(row).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(col, "_sum")))).alias("sums"))
+
+
+def dense(sparse: DataFrame, row: str, values: Sequence, fill: float | None = 0.0) -> DataFrame:
+    """Columns of :func:`sparse_sum` for chosen values, others left out."""
+    out = sparse.select(row, *[F.try_element_at("sums", F.lit(v)).alias(str(v)) for v in values])
+    return out if fill is None else out.na.fill(fill)
+
+
 def yoy_week_mean(df: DataFrame, value: str = "sales", dt: str = "dt") -> DataFrame:
     """Mean by (year, ISO week of year), all years in one aggregation (A3)."""
     return df.groupBy(F.year(dt).alias("year"), F.weekofyear(dt).alias("weekofyear")).agg(

@@ -327,16 +327,49 @@ def overlap_store(spark: SparkSession, d: str) -> DataFrame:
     return stats.overlap(t.history, t.future, ["store"])
 
 
-@register("overlap_series", W() + """SELECT
+_OVERLAP_SQL = W() + """SELECT
   COUNT(*) FILTER (WHERE a AND b IS NULL) AS only_left, COUNT(*) FILTER (WHERE b AND a IS NULL) AS only_right,
   COUNT(*) FILTER (WHERE a AND b) AS both
 FROM (SELECT DISTINCT store, dept, true AS a FROM history)
-FULL OUTER JOIN (SELECT DISTINCT store, dept, true AS b FROM future) USING (store, dept)""")
+FULL OUTER JOIN (SELECT DISTINCT store, dept, true AS b FROM future) USING (store, dept)"""
+
+
+@register("overlap_series", _OVERLAP_SQL)
 def overlap_series(spark: SparkSession, d: str) -> DataFrame:
     t = tables(spark, d)
     return stats.overlap(t.history, t.future, ["store", "dept"])
 
 
+_SKETCHED = {"store": ["store"], "dept": ["dept"], "series": ["store", "dept"]}
+
+
+@register("distinct_sketch", W() + """SELECT year(dt) AS year, CAST(COUNT(DISTINCT store) AS BIGINT) AS n_store, CAST(COUNT(DISTINCT dept) AS BIGINT) AS n_dept,
+  CAST(COUNT(DISTINCT store * 1000 + dept) AS BIGINT) AS n_series FROM history GROUP BY 1""")
+def distinct_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct counts by year, merged from sketches by (store, dept, week)."""
+    h = tables(spark, d).history
+    stored = stats.distinct_sketches(h, ["store", "dept", "dt"], _SKETCHED)
+    return stats.merged_counts(stored.withColumn("year", F.year("dt")), list(_SKETCHED), ["year"])
+
+
+@register("overlap_sketch", _OVERLAP_SQL)
+def overlap_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Overlap of the series of history and future from sketches by week."""
+    t = tables(spark, d)
+    a, b = (stats.distinct_sketches(x, ["dt"], {"series": ["store", "dept"]}) for x in (t.history, t.future))
+    return stats.sketch_overlap(a, b, "series")
+
+
+@register("pivot_sparse", W() + f"""SELECT dt, CAST(COUNT(*) AS INTEGER) AS n_depts, {cents('SUM(s)')} AS total, MIN(dept) AS first_dept, MAX(dept) AS last_dept,
+  {cents('MAX(s)')} AS largest FROM (SELECT dt, dept, SUM(sales) AS s FROM history GROUP BY dt, dept) GROUP BY dt""")
+def pivot_sparse(spark: SparkSession, d: str) -> DataFrame:
+    """Weekly sums by department without declaring departments: figures of each week's map."""
+    rows = stats.sparse_sum(tables(spark, d).history, "dt", "dept", "sales")
+    keys, sums = F.map_keys("sums"), F.map_values("sums")
+    return R(rows.select("dt", F.size("sums").alias("n_depts"), F.aggregate(sums, F.lit(0.0), lambda a, x: a + x).alias("total"),
+                         F.array_min(keys).alias("first_dept"), F.array_max(keys).alias("last_dept"), F.array_max(sums).alias("largest")))
+
+
 # --- scalar calendar functions ------------------------------------------------------
 
 _DAYS = "days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS dt FROM lineitem)"

@@ -219,12 +219,12 @@ def _shifted(tables: PanelTables, version: int, horizons: list[int]) -> DataFram
 
 
 def build_all_horizons(tables: PanelTables, version: int, horizons: Iterable[int] | None = None,
-                       start: dt.date | None = None, method: str = "shift") -> DataFrame:
+                       start: dt.date | None = None, method: str = "onepass") -> DataFrame:
     """Long feature table with a ``horizon`` column (default: the calendar's).
 
-    ``shift`` computes the trailing frames once and looks every horizon's
-    up; ``onepass`` evaluates every horizon's frames after one shuffle of
-    the widest panel; ``direct`` unions the per-horizon plans (one shuffle per
+    ``onepass`` evaluates every horizon's frames after one shuffle of the
+    widest panel; ``shift`` computes the trailing frames once and looks every
+    horizon's up, at the price of a row for each date and horizon; ``direct`` unions the per-horizon plans (one shuffle per
     horizon), kept as the plain form to compare against.
     """
     cal = tables.calendar

@@ -30,7 +30,7 @@ from tidecast.plans.oracle import (
     _SQL_OP, base_data_cte, cents, features_sql, features_sql_body, range_frame, rounded, with_fixtures,
 )
 from tidecast.sources import fixtures as fx
-from tidecast.sources.io import read_features, read_predictions, read_submission, scratch_path, \
+from tidecast.sources.io import read_features, read_predictions, read_submission, scratch_path, write_bucketed, \
     write_features, write_predictions, write_submission
 
 R = round_doubles
@@ -72,6 +72,16 @@ for _keys in LEVELS:
     register(f"target_{'_'.join(_keys)}", _level_sql("sales", _keys))(_level_query("sales", _keys))
 
 
+@register("bucketed_windows", _level_sql("sales", ("store", "dept")))
+def bucketed_windows(spark: SparkSession, d: str) -> DataFrame:
+    """The series-level windows over the panel stored in buckets of its series:
+    the stored table is read without a shuffle (S3, S4, W1)."""
+    bd = base_data(tables(spark, d), 1).select(*KEY, "day_num", "sales")
+    stored = write_bucketed(bd, "panel_by_series", ["store", "dept"], int(spark.conf.get("spark.sql.shuffle.partitions")), ["dt"])
+    out = lagged_range(stored, "sales", ("store", "dept"), 28)
+    return R(out.select(*KEY, *[feature_name("sales", op, ("store", "dept"), s) for s in SPANS for op in OPS]))
+
+
 @register("target_norm", W(_bd(1, norm=True), "w AS (SELECT store, dept, dt, " + ", ".join(
     f"{_SQL_OP[op]}(norm_sales) {range_frame(k, span + 28, 28)} AS {feature_name('norm_sales', op, k, s)}"
     for k in LEVELS for s, span in SPANS.items() for op in OPS) + " FROM base_data)")
