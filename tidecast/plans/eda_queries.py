@@ -340,10 +340,10 @@ def overlap_series(spark: SparkSession, d: str) -> DataFrame:
     return stats.overlap(t.history, t.future, ["store", "dept"])
 
 
-_SKETCHED = {"store": ["store"], "dept": ["dept"], "series": ["store", "dept"]}
+_SKETCHED = {"stores": ["store"], "depts": ["dept"], "series": ["store", "dept"]}
 
 
-@register("distinct_sketch", W() + """SELECT year(dt) AS year, CAST(COUNT(DISTINCT store) AS BIGINT) AS n_store, CAST(COUNT(DISTINCT dept) AS BIGINT) AS n_dept,
+@register("distinct_sketch", W() + """SELECT CAST(year(dt) AS INTEGER) AS year, CAST(COUNT(DISTINCT store) AS BIGINT) AS n_stores, CAST(COUNT(DISTINCT dept) AS BIGINT) AS n_depts,
   CAST(COUNT(DISTINCT store * 1000 + dept) AS BIGINT) AS n_series FROM history GROUP BY 1""")
 def distinct_sketch(spark: SparkSession, d: str) -> DataFrame:
     """Distinct counts by year, merged from sketches by (store, dept, week)."""
