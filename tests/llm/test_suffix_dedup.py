@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from conftest import SF_SMALL
@@ -98,6 +99,39 @@ def test_cases(spark):
     assert run(spark, []) == []
 
 
+@pytest.mark.parametrize("one_text", [False, True])
+def test_hot_phrase(spark, one_text):
+    """More places of one phrase than the default bound, in as many documents or in one."""
+    r = random.Random(7)
+    phrase, n = "all rights to this phrase are held", S.HOT + 4000
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    around = [("".join(r.choices(letters, k=25)), "".join(r.choices(letters, k=25))) for _ in range(n)]
+    around[n // 2:: 50] = around[: n // 2: 50]  # some stand twice
+    texts = [a + phrase + b for a, b in around]
+    docs = [(1, "".join(texts)), *[(i + 2, t) for i, t in enumerate(texts[::40])]] if one_text else list(enumerate(texts))
+    want = brute(docs)
+    assert sum(w[2] > 0 for w in want) > 200
+    assert run(spark, docs) == want
+
+
+def test_hot_anchors_are_told_to_their_chunks():
+    def rows(chunk, kind, hashes, refs):
+        return (0, chunk, kind, *S._split(np.array(hashes, np.uint64)), np.array(refs, np.uint16).tobytes())
+
+    sent = [
+        rows(0, S.SOLO, [5, 6, 7], [0, 1, 2]), rows(1, S.SOLO, [5, 6, 8], [3, 4, 5]), rows(2, S.SEVERAL, [6, 9], [40, 60]),
+        rows(1, S.OFTEN, [5, 8], [48, 90]),
+    ]
+    out = pa.Table.from_batches(S._shared_anchors(50)(S._table(sent, S.ANCHOR_ROWS).to_batches())).to_pylist()
+    got = {(x["chunk"], x["kind"], int(h)) for x in out for h in S._joined(x["high"], x["low"])}
+    back = {(0, S.SOLO, 5), (0, S.SOLO, 6), (1, S.SOLO, 5), (1, S.SOLO, 6)}
+    # 5 occurs 1 + 49 times, 6 occurs 42 times, 8 in one document only
+    assert got == back | {(2, S.OFTEN, 9)}
+    out = pa.Table.from_batches(S._shared_anchors(45)(S._table(sent, S.ANCHOR_ROWS).to_batches())).to_pylist()
+    got = {(x["chunk"], x["kind"], int(h)) for x in out for h in S._joined(x["high"], x["low"])}
+    assert got == back | {(2, S.OFTEN, 9), (0, S.OFTEN, 5), (1, S.OFTEN, 5)}
+
+
 def test_whole_table(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op1_suffix_dedup(spark, SF_SMALL).collect())

@@ -21,10 +21,12 @@ one machine, so equal strings are first brought together:
 4. Chunks gather the spans of their documents and take them out.
 
 A document whose whole text stands in one with a smaller doc_id repeats as
-a whole and takes no part in 1 to 3.  An anchor in more than ``hot``
-documents could fill a task with segments that all differ around it, so each
-string around it goes to a place of its own instead; there are few such anchors by
-counting, at most ``HOT_ANCHORS``.
+a whole and takes no part in 1 to 3.  An anchor that occurs more than ``hot``
+times could fill a task with segments that all differ around it, so each
+string around it goes to a place of its own instead.  The bound does not depend on
+the input, and each chunk learns of the hot anchors that it holds in the same way as of
+the shared ones.  Occurrences are counted by document, and in full within a document
+that has over ``FEW`` of them.
 
 Cases: null texts count as empty; a row with a null doc_id keeps its text
 and takes none from others; rows that share a doc_id are one document, take
@@ -52,7 +54,8 @@ CHUNK_BYTES = 2 << 20
 PLACE_BYTES = 32 << 20
 #: Segments sorted together.
 SORTED = 20_000
-HOT_DOCS, HOT_ANCHORS = 50_000, 4096
+#: Occurrences from which an anchor is hot; those in one document that count as one.
+HOT, FEW = 20_000, 3
 MIX = np.uint64(0x9E3779B97F4A7C15)
 LOW48 = np.uint64((1 << 48) - 1)
 
@@ -211,7 +214,7 @@ def _joined(high: bytes, low: bytes) -> np.ndarray:
     return (np.frombuffer(high, np.uint32).astype(np.uint64) << np.uint64(16)) | np.frombuffer(low, np.uint16)
 
 
-SOLO, SEVERAL, KNOWN, HOT = 0, 1, 2, 3
+SOLO, SEVERAL, KNOWN, OFTEN = 0, 1, 2, 3
 ANCHOR_ROWS = "place int, chunk int, kind int, high binary, low binary, ref binary"
 
 
@@ -226,6 +229,7 @@ def _send_anchors(places: int):
             h, doc = (h & LOW48)[~idle[doc]], doc[~idle[doc]]
             order = np.lexsort((doc, h))
             h, doc = h[order], doc[order]
+            times = np.diff(np.r_[np.flatnonzero(np.r_[True, h[1:] != h[:-1]]), len(h)]) if len(h) else np.zeros(0, np.int64)
             fresh = np.r_[True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])] if len(h) else np.zeros(0, bool)
             h, doc = h[fresh], doc[fresh]
             head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.zeros(0, np.int64)
@@ -233,7 +237,8 @@ def _send_anchors(places: int):
             many = np.repeat(count > 1, count)
             if many.any():
                 out.append((chunk % places, chunk, KNOWN, *_split(h[many]), doc[many].astype(np.uint32).tobytes()))
-            for kind, hs, ref in ((SOLO, h[~many], doc[~many]), (SEVERAL, h[head[count > 1]], count[count > 1])):
+            often = (count == 1) & (times > FEW)
+            for kind, hs, ref in ((SOLO, h[~many], doc[~many]), (SEVERAL, h[head[count > 1]], times[count > 1]), (OFTEN, h[head[often]], times[often] - 1)):
                 place = (hs % np.uint64(places)).astype(np.int64)
                 order = np.argsort(place, kind="stable")
                 hs, ref, place = hs[order], ref[order].astype(np.uint32), place[order]
@@ -263,10 +268,11 @@ FOUND_ROWS = "chunk int, kind int, high binary, low binary, ref binary"
 
 
 def _shared_anchors(hot: int):
-    """All anchors of a place: those of more than one document, for each chunk."""
+    """All anchors of a place: those of more than one document, and of these
+    the hot ones, for each chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h, chunk, ref, several = [], [], [], []
+        h, chunk, ref, kinds = [], [], [], []
         for b in batches:
             known = b.filter(pc.equal(b.column(2), KNOWN))
             if known.num_rows:
@@ -276,23 +282,24 @@ def _shared_anchors(hot: int):
                     h.append(_joined(high, low))
                     ref.append(_refs(r, len(h[-1])))
                     chunk.append(np.full(len(h[-1]), c))
-                    several.append(np.full(len(h[-1]), kind == SEVERAL))
+                    kinds.append(np.full(len(h[-1]), kind))
         if not h:
             return
-        h, chunk, ref, several = map(np.concatenate, (h, chunk, ref, several))
+        h, chunk, ref, kinds = map(np.concatenate, (h, chunk, ref, kinds))
         order = np.argsort(h, kind="stable")
-        h, chunk, ref, several = h[order], chunk[order], ref[order], several[order]
+        h, chunk, ref, kinds = h[order], chunk[order], ref[order], kinds[order]
         head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        entries = np.diff(np.r_[head, len(h)])
-        docs = np.add.reduceat(np.where(several, ref, 1), head)
-        back = np.repeat(entries > 1, entries) & ~several
-        h, chunk, ref, often = h[back], chunk[back], ref[back], h[head[docs > hot]]
-        order = np.argsort(chunk, kind="stable")
-        h, chunk, ref = h[order], chunk[order], ref[order].astype(np.uint32)
-        keys, starts = np.unique(chunk, return_index=True)
-        rows = [(c, SOLO, *_split(h[a:b]), ref[a:b].tobytes()) for c, a, b in zip(keys.tolist(), starts, np.r_[starts[1:], len(chunk)])]
-        if len(often):
-            rows.append((-1, HOT, *_split(often), b""))
+        size = np.diff(np.r_[head, len(h)])
+        chunks = np.repeat(np.add.reduceat((kinds != OFTEN).astype(np.int64), head), size)
+        times = np.repeat(np.add.reduceat(np.where(kinds == SOLO, 1, ref), head), size)
+        shared = (chunks > 1) | (kinds == SEVERAL)
+        rows = []
+        for kind, own in ((SOLO, (kinds == SOLO) & shared), (OFTEN, (kinds != OFTEN) & shared & (times > hot))):
+            own = np.flatnonzero(own)
+            own = own[np.argsort(chunk[own], kind="stable")]
+            keys, starts = np.unique(chunk[own], return_index=True)
+            for c, x in zip(keys.tolist(), np.split(own, starts[1:])):
+                rows.append((c, kind, *_split(h[x]), ref[x].astype(np.uint32).tobytes() if kind == SOLO else b""))
         if rows:
             yield _table(rows, FOUND_ROWS).to_batches()[0]
 
@@ -302,8 +309,9 @@ def _shared_anchors(hot: int):
 SEGMENT_ROWS = "place int, chunk int, anchor binary, doc binary, ref binary, start binary, stop binary, shift binary, size binary, body binary"
 
 
-def _send_segments(places: int, hot: np.ndarray):
+def _send_segments(places: int):
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        hot, found = (found.filter(op(found["kind"], OFTEN)) for op in (pc.equal, pc.not_equal))
         if not docs.num_rows or not found.num_rows:
             return _table([], SEGMENT_ROWS)
         chunk = docs["chunk"][0].as_py()
@@ -315,7 +323,8 @@ def _send_segments(places: int, hot: np.ndarray):
         doc, h, at, lo, hi = doc[wanted], h[wanted], at[wanted], lo[wanted], hi[wanted]
         hashes = Hashes(data, 0x2545F4914F6CDD1D)
         shift = lo - at + LENGTH - GRAM
-        single = np.isin(h & LOW48, hot)
+        hot = [_joined(a, b) for a, b in zip(hot["high"].to_pylist(), hot["low"].to_pylist())]
+        single = np.isin(h & LOW48, np.concatenate(hot)) if hot else np.zeros(len(h), bool)
         if single.any():  # a place for each string around a frequent anchor
             n = (hi - lo + 1)[single]
             each = np.repeat(lo[single], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -449,12 +458,8 @@ def suffix_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
     together = texts.groupBy("chunk")
 
     sent = together.cogroup(copies.groupBy("chunk")).applyInArrow(_send_anchors(places), ANCHOR_ROWS)
-    bound = max(HOT_DOCS, total // (LENGTH - GRAM) * 2 // HOT_ANCHORS) if hot is None else hot
-    found = written(sent.repartitionById(places, F.col("place")).mapInArrow(_shared_anchors(bound), FOUND_ROWS))
-    often = [_joined(r.high, r.low) for r in found.where(F.col("kind") == HOT).collect()]
-    often = np.concatenate(often) if often else np.zeros(0, np.uint64)
-    found = found.where(F.col("kind") != HOT)
-    segments = together.cogroup(found.groupBy("chunk")).applyInArrow(_send_segments(places, often), SEGMENT_ROWS)
+    found = sent.repartitionById(places, F.col("place")).mapInArrow(_shared_anchors(HOT if hot is None else hot), FOUND_ROWS)
+    segments = together.cogroup(found.groupBy("chunk")).applyInArrow(_send_segments(places), SEGMENT_ROWS)
     spans = segments.repartitionById(places, F.col("place")).mapInArrow(_spans, SPAN_ROWS)
     none = F.lit(None)
     marks = spans.select("*", none.cast("long").alias("doc_id"), none.cast("long").alias("tag")).unionByName(
