@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -114,6 +115,17 @@ def got_groups(rows):
     return sorted((-1 if r.doc_id is None else r.doc_id, r.fingerprint, -1 if r.component_id is None else r.component_id) for r in rows)
 
 
+def test_filters_merge_in_pairs():
+    """Any number of filters of a range gives the counts of all fingerprints."""
+    r = np.random.default_rng(3)
+    for n in (1, 2, 3, 7, 200):
+        parts = [r.integers(0, 3000, 50).astype(np.uint64) << np.uint64(40) for _ in range(n)]
+        packed = [X.QuotientFilter.build(p, np.ones(50, np.int64), 4).pack() for p in parts]
+        got = X._merged(4)((pa.scalar(0),), pa.table({"filter": pa.array(packed, pa.binary())})).to_pydict()
+        values, counts = np.unique(np.concatenate(parts), return_counts=True)
+        assert dict(zip(got["fp"], got["n"])) == {int(v): int(c) for v, c in zip(values, counts) if c > 1}
+
+
 def test_simhash_cases(spark):
     r = random.Random(3)
     base = [r.choice("abcdefgh") + str(r.randrange(50)) for _ in range(400)]

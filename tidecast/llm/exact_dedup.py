@@ -3,8 +3,8 @@
 Each partition folds the 64-bit fingerprints of its texts into counting
 quotient filters: a fingerprint is split into a quotient (the slot) and a
 remainder, remainders of a slot are kept sorted, and each has a counter.
-Filters of the same fingerprint range merge losslessly by merging their
-sorted remainders and adding the counters.  Fingerprints whose merged count
+Filters of the same fingerprint range merge losslessly, two of about equal
+size at a time, by merging their sorted remainders and adding the counters.  Fingerprints whose merged count
 exceeds one go on to byte verification, which groups the whole normalised
 texts; all other documents are unique without a look at their bytes.
 
@@ -17,6 +17,7 @@ doc_id are one document and are kept or dropped together, each counting in
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -115,10 +116,14 @@ def _partition_filters(range_bits: int):
 
 def _merged(range_bits: int):
     def run(key, rows):
-        total = None
+        held: list[tuple[int, QuotientFilter]] = []  # filters and how many went into each, fewer to the right
         for raw in rows["filter"]:
-            one = QuotientFilter.unpack(raw.as_py())
-            total = one if total is None else total.merge(one)
+            n, one = 1, QuotientFilter.unpack(raw.as_py())
+            while held and held[-1][0] <= n:
+                more, other = held.pop()
+                n, one = n + more, other.merge(one)
+            held.append((n, one))
+        total = reduce(lambda a, b: b.merge(a), [one for _, one in reversed(held)])
         many = total.counts > 1
         fps = total.fingerprints(int(key[0].as_py()), range_bits)[many]
         return pa.table({"fp": pa.array(fps.view(np.int64), pa.int64()), "n": pa.array(total.counts[many], pa.int64())})
