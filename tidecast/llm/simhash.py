@@ -13,8 +13,8 @@ shard, following only edges within the radius.  A shard leaves no more than
 a spanning forest of its links, and components are joined by alternating
 star contraction over Spark tables.  All fingerprints of a 100 TB corpus are
 no bounded broadcast, so trees are built where the shuffle puts their shard;
-a shard over ``SHARD_ROWS`` is split into several trees, each sent all the
-queries of the shard.
+a shard over ``SHARD_ROWS`` is split into several trees and as many lots of
+queries, and a group is one tree with one lot, so no group grows with the shard.
 
 Cases: a null or blank text has the fingerprint 0 and links like any other;
 fewer words than a shingle give one shingle of the whole sequence; rows with
@@ -215,10 +215,13 @@ def near_links(nodes: DataFrame, radius: int) -> DataFrame:
     if hot.count():
         big = dealt.join(hot, ["mask", "shard"])
         dealt = dealt.join(hot, ["mask", "shard"], "left_anti")
-        own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
-        split = big.withColumn("own", own).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        split = split.select("mask", "shard", "part", (F.col("part") == F.col("own")).alias("tree"), F.lit(True).alias("query"), "fp", "node")
-    dealt = dealt.select("mask", "shard", F.lit(0).alias("part"), F.lit(True).alias("tree"), F.lit(True).alias("query"), "fp", "node")
+        # part (i, j), i <= j: the fingerprints of i are the tree, those of j the queries
+        own = F.pmod(F.xxhash64("fp"), F.col("parts"))
+        split = big.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)))
+        part = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
+        tree, query = F.col("own") <= F.col("other"), F.col("own") >= F.col("other")
+        split = split.select("mask", "shard", part.alias("part"), tree.alias("tree"), query.alias("query"), "fp", "node")
+    dealt = dealt.select("mask", "shard", F.lit(0).cast("long").alias("part"), F.lit(True).alias("tree"), F.lit(True).alias("query"), "fp", "node")
     if hot.count():
         dealt = dealt.unionByName(split)
     keys = ["mask", "shard", "part"]
