@@ -53,6 +53,13 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Dealt over all cores where a materialised frame has fewer partitions:
+    sketches of many columns cost far more than the bytes that AQE goes by."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass
 class CVResult:
     valid: DataFrame            # store, dept, dt, fold, sales, weight, pred (validation rows)
@@ -108,7 +115,7 @@ def fit_boosted(features: DataFrame, version: int, **overrides) -> Boosted:
     cols, cats = feature_columns(version), CATEGORICAL[version]
     frame = training_frame(features).withColumnRenamed("horizon", "fit")
     # The feature plan runs once: codes, bins and chunks read this.
-    df = _checkpoint(frame.select("fit", *dict.fromkeys([*KEY, LABEL, "weight", *cols])))
+    df = _spread(_checkpoint(frame.select("fit", *dict.fromkeys([*KEY, LABEL, "weight", *cols]))))
     for c, codes in code_tables(df, cats).items():
         df = df.join(codes.withColumnRenamed("code", f"code_{c}"), df[c].eqNullSafe(codes["value"]), "left").drop("value")
     numeric = [c for c in cols if c not in cats]
