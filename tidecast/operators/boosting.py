@@ -96,16 +96,18 @@ class Bins:
 
 
 def quantile_bins(df: DataFrame, numeric: Sequence[str], codes: Sequence[str] = (), bins: int = MISSING, accuracy: int = 20_000) -> Bins:
-    """Bin edges of all columns in one aggregation; where a sketch counts few
-    distinct values, these are the edges (a second one).  ``codes`` are 0-based
-    category codes; one with more levels than bins is binned like a number."""
+    """Bin edges of all columns in one aggregation.  Columns whose quantiles
+    repeat may have few distinct values; where a sketch counts these as few, they
+    are the edges.  ``codes`` are 0-based category codes; one with more levels
+    than bins is binned like a number."""
     value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in [*numeric, *codes]}
     shares = [i / bins for i in range(1, bins)]
     tops = [F.max(value[c]).alias(f"_top_{c}") for c in codes]
-    sizes = [F.approx_count_distinct(value[c], 0.02).alias(f"_n_{c}") for c in numeric]
-    row = df.agg(*[F.percentile_approx(value[c], shares, accuracy).alias(c) for c in [*numeric, *codes]], *tops, *sizes).first()
-    few = [c for c in numeric if 0 < row[f"_n_{c}"] < 1.2 * bins]
-    row = row.asDict()
+    row = df.agg(*[F.percentile_approx(value[c], shares, accuracy).alias(c) for c in [*numeric, *codes]], *tops).first().asDict()
+    # without a repeated quantile, all of up to bins - 1 distinct values are quantiles
+    tied = [c for c in numeric if row[c] is not None and len(set(row[c])) < len(shares)]
+    sizes = df.agg(*[F.approx_count_distinct(value[c], 0.02).alias(c) for c in tied]).first() if tied else {}
+    few = [c for c in tied if sizes[c] < 1.2 * bins]
     if few:
         exact = df.agg(*[F.collect_set(value[c]).alias(c) for c in few]).first()
         row |= {c: exact[c] for c in few if len(exact[c]) < bins}
