@@ -187,3 +187,25 @@ def test_gains_list_every_column(spark):
     chunks, bins = chunked(df)
     rows = {r.feature: r for r in B.gains(B.by_fit(chunks, 2, bins, S), bins.columns, 2).collect()}
     assert set(rows) == {"a", "b", "c"} and rows["c"].mean > rows["b"].mean
+
+
+def test_edges_are_exact_up_to_many_distinct_values(spark):
+    rng = np.random.default_rng(8)
+    x = np.floor(rng.random(120_000) ** 3 * 30_000)
+    df = spark.createDataFrame(x.reshape(-1, 1).tolist(), "x double").repartition(5)
+    edges = B.quantile_bins(df, ["x"]).edges["x"]
+    ranks = [math.ceil(i / B.MISSING * len(x)) - 1 for i in range(1, B.MISSING)]
+    assert edges.tolist() == np.unique(np.sort(x)[ranks]).tolist()
+
+
+def test_merged_sketches_keep_ranks(monkeypatch):
+    monkeypatch.setattr(B, "POINTS", 500)
+    rng = np.random.default_rng(9)
+    x = np.sort(rng.normal(size=64_000))
+    parts = [B._sketch([(np.sort(own), np.ones(1000, int), float(own.max()), True)]) for own in rng.permutation(x).reshape(64, 1000)]
+    while len(parts) > 1:
+        parts = [B._sketch(parts[i:i + 2]) for i in range(0, len(parts), 2)]
+    points, counts, top, whole = parts[0]
+    assert not whole and counts.sum() == len(x) and top == x[-1] and len(points) <= 500
+    middles = np.cumsum(counts) - counts / 2
+    assert np.abs(np.searchsorted(x, points) - middles).max() <= 7 * len(x) / (2 * 500)

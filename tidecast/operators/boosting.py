@@ -1,7 +1,7 @@
 """Weighted squared-loss boosted trees over histograms.
 
-Feature values become bins once: numeric columns by the values of Spark's
-mergeable quantile sketch, categorical codes one bin each, missing values a
+Feature values become bins once: numeric columns by quantiles of mergeable
+sketches (sorted runs), categorical codes one bin each, missing values a
 bin of their own.  Binned rows are kept as chunks (one row of Spark holds some
 thousand of them, feature by feature) in a written table.  A tree grows level
 by level from sums of gradient, hessian and rows by (leaf, feature, bin).
@@ -95,24 +95,99 @@ class Bins:
         return np.where(missing, MISSING, np.minimum(np.searchsorted(self.edges[column], values, "left"), MISSING - 1)).astype(np.uint8)
 
 
-def quantile_bins(df: DataFrame, numeric: Sequence[str], codes: Sequence[str] = (), bins: int = MISSING, accuracy: int = 20_000) -> Bins:
-    """Bin edges of all columns in one aggregation.  Columns whose quantiles
-    repeat may have few distinct values; where a sketch counts these as few, they
-    are the edges.  ``codes`` are 0-based category codes; one with more levels
-    than bins is binned like a number."""
-    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in [*numeric, *codes]}
-    shares = [i / bins for i in range(1, bins)]
-    tops = [F.max(value[c]).alias(f"_top_{c}") for c in codes]
-    row = df.agg(*[F.percentile_approx(value[c], shares, accuracy).alias(c) for c in [*numeric, *codes]], *tops).first().asDict()
-    # without a repeated quantile, all of up to bins - 1 distinct values are quantiles
-    tied = [c for c in numeric if row[c] is not None and len(set(row[c])) < len(shares)]
-    sizes = df.agg(*[F.approx_count_distinct(value[c], 0.02).alias(c) for c in tied]).first() if tied else {}
-    few = [c for c in tied if sizes[c] < 1.2 * bins]
-    if few:
-        exact = df.agg(*[F.collect_set(value[c]).alias(c) for c in few]).first()
-        row |= {c: exact[c] for c in few if len(exact[c]) < bins}
-    levels = {c: int(row[f"_top_{c}"]) + 1 for c in codes if row[f"_top_{c}"] is not None and row[f"_top_{c}"] < bins}
-    edges = {c: np.unique(np.array(row[c] if row[c] is not None else [], float)) for c in [*numeric, *codes] if c not in levels}
+#: Values and counts of a column in a sketch; rows that a task sorts at a time.
+POINTS, SORTED = 40_000, 65_536
+#: Groups of tasks whose sketches are merged before those of a column meet.
+GROUPS = 64
+SKETCH = "part int, column string, points array<double>, counts array<long>, top double, whole boolean"
+
+
+def _sketch(parts: list[tuple]) -> tuple:
+    """(values, counts, largest value, whole) of several such; distinct values with
+    their counts as long as they are at most ``POINTS`` (whole), else the
+    middles of that many equal shares of the rows."""
+    points, counts = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    order = np.argsort(points)
+    points, counts = points[order], counts[order]
+    first = np.flatnonzero(np.r_[True, points[1:] != points[:-1]][: len(points)])
+    points, counts = points[first], np.add.reduceat(counts, first) if len(first) else counts
+    whole = all(p[3] for p in parts)
+    tops = [p[2] for p in parts if p[2] is not None]
+    top = max(tops) if tops else None
+    if len(points) > POINTS:
+        below, whole = np.cumsum(counts), False
+        edges = np.arange(POINTS + 1) * int(below[-1]) // POINTS
+        middles = (edges[:-1] + edges[1:]) // 2
+        points, counts = points[np.searchsorted(below, middles, "right")], np.diff(edges)
+    return points, counts, top, whole
+
+
+def _sketch_rows(part: int, sketches: dict) -> pa.Table:
+    values = [[part] * len(sketches), list(sketches), *([x[i] for x in sketches.values()] for i in range(4))]
+    kinds = [pa.int32(), pa.string(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.float64(), pa.bool_()]
+    return pa.table([pa.array(v, k) for v, k in zip(values, kinds)], names=[x.split()[0] for x in SKETCH.split(", ")])
+
+
+def _sketch_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A sketch for each column of a partition's rows.  Runs of ``SORTED`` rows are
+    merged in pairs of equal size, so n rows are cut log2(n / SORTED) times at most."""
+    levels: dict[str, list] = {}
+    held: list = []
+
+    def flush() -> None:
+        rows = pa.Table.from_batches(held)
+        held.clear()
+        for c in rows.column_names:
+            x = rows[c].combine_chunks().drop_null().to_numpy(zero_copy_only=False)
+            x = np.sort(x[~np.isnan(x)])
+            first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]][: len(x)])
+            own, stack = _sketch([(x[first], np.diff(np.r_[first, len(x)]), float(x[-1]) if len(x) else None, True)]), levels.setdefault(c, [])
+            i = 0
+            while i < len(stack) and stack[i] is not None:
+                own, stack[i], i = _sketch([stack[i], own]), None, i + 1
+            stack[i:i + 1] = [own]
+
+    for b in batches:
+        for at in range(0, b.num_rows, SORTED):
+            held.append(b.slice(at, SORTED))
+            if sum(x.num_rows for x in held) >= SORTED:
+                flush()
+    if held:
+        flush()
+    yield from _sketch_rows(TaskContext.get().partitionId() % GROUPS, {c: _sketch([s for s in stack if s is not None]) for c, stack in levels.items()}).to_batches()
+
+
+def _sketch_merge(t: pa.Table) -> pa.Table:
+    points, counts = ([x.values.to_numpy(zero_copy_only=False) for b in t[c].chunks for x in b] for c in ("points", "counts"))
+    return _sketch_rows(0, {t["column"][0].as_py(): _sketch(list(zip(points, counts, t["top"].to_pylist(), t["whole"].to_pylist())))})
+
+
+def quantile_bins(df: DataFrame, numeric: Sequence[str], codes: Sequence[str] = (), bins: int = MISSING) -> Bins:
+    """Bin edges of all columns in one pass: every task sorts its rows' columns
+    and keeps a mergeable sketch of each.  Edges are the values at equal shares of the rows,
+    exact where a column has at most ``POINTS`` distinct values, which are the edges
+    themselves where they are fewer than ``bins``; each merge beyond that moves a rank by
+    1 / (2 * ``POINTS``) of the rows at most.  ``codes`` are 0-based
+    category codes; one with more levels than bins is binned like a number."""
+    columns = [*numeric, *codes]
+    if not columns:
+        return Bins((), {}, {})
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).mapInArrow(_sketch_partition, SKETCH)
+    merged = parts.groupBy("column", "part").applyInArrow(_sketch_merge, SKETCH).groupBy("column").applyInArrow(_sketch_merge, SKETCH)
+
+    def edges_of(t: pa.Table) -> pa.Table:
+        points, counts = (t[c].combine_chunks().values.to_numpy(zero_copy_only=False) for c in ("points", "counts"))
+        few = t["whole"][0].as_py() and len(points) < bins and t["column"][0].as_py() in numeric
+        if len(points) and not few:
+            below = np.cumsum(counts)
+            ranks = [math.ceil(i / bins * int(below[-1])) for i in range(1, bins)]
+            points = np.unique(points[np.searchsorted(below, ranks, "left")])
+        return pa.table({"column": t["column"], "edges": pa.array([points], pa.list_(pa.float64())), "top": t["top"]})
+
+    row = {r["column"]: r for r in merged.groupBy("column").applyInArrow(edges_of, "column string, edges array<double>, top double").collect()}
+    tops = {c: row[c].top for c in codes if c in row and row[c].top is not None}
+    levels = {c: int(top) + 1 for c, top in tops.items() if top < bins}
+    edges = {c: np.array(row[c].edges if c in row else [], float) for c in columns if c not in levels}
     return Bins((*numeric, *codes), edges, levels)
 
 
