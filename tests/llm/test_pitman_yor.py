@@ -176,3 +176,42 @@ def test_large_dishes_are_seated_in_parts():
             py.SEATS = old
 
     assert mean(500) == pytest.approx(mean(4000), rel=0.25)
+
+
+def test_all_parts_of_a_dish_are_seated(monkeypatch):
+    monkeypatch.setattr(py, "SEATS", 10)
+    c = np.array([37, 4, 10, 101])
+    s = py.Seating(c, np.array([0, 0, 1, 1]), np.full(4, 0.2), np.ones(2), np.zeros(2, np.int64), 0.5, 1.0, 3)
+    t, total = s.sweep()
+    assert np.bincount(s.dish, s.c).tolist() == c.tolist() and s.size.sum() == c.sum() and s.c.max() <= 10
+    assert t.sum() == (s.size > 0).sum() and total.tolist() == [t[:2].sum(), t[2:].sum()]
+
+
+def test_rooms_know_the_tables_of_all_others(monkeypatch):
+    """A room whose words are unlike the others' is seated by the counted tables of these, not by its own multiplied."""
+    seen = []
+
+    class Spy(py.Seating):
+        def __init__(self, *args):
+            super().__init__(*args)
+            seen.append((float(self.spread[0]), float(self.outside[0])))
+
+    monkeypatch.setattr(py, "Seating", Spy)
+    room = py.pa.table({"room": py.pa.array([1, 1], py.pa.int32()), "w": [5, 6], "c": [9, 3], "k": [[4, 3], [1, 2]]})
+    py._seat_parent(0.5, 1.0, 0.01, 2, 3, {0: [7, 8], 1: [40, 50], 2: [1, 2]})(room)
+    assert seen == [(1.0, 40.0), (1.0, 50.0)]
+
+
+def test_discount_and_places_over_many_rooms(spark, monkeypatch):
+    """Contexts and parent dealt over many places: tables there add up to the whole's."""
+    monkeypatch.setattr(py, "ROOM", 20)
+    monkeypatch.setattr(py, "BUCKET", 300)
+    calls = []
+    monkeypatch.setattr(py, "_seat_parent", lambda *a, own=py._seat_parent: calls.append(a) or own(*a))
+    texts = [" ".join(f"w{(i * 7 + j * j) % 90}" for j in range(20)) for i in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = py.Model(py.written(py.encode(df, "doc_id", "text", F.lit(False))))
+    rooms, first, second = calls[0][4], calls[0][5], calls[1][5]
+    assert rooms > 1 and len(calls) == 2 and first is None
+    totals = {tuple(second[r][i] for i in range(model.samples)) for r in second}
+    assert len(second) == rooms and all(min(t) > 0 for t in totals)

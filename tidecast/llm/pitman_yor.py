@@ -23,9 +23,11 @@ How it is spread: texts are encoded once as blocks of about ``BLOCK_BYTES``
 (local token numbers and the hashes of their words), written to the shared
 folder.  A block sends each pair once to the bucket of its context, with its
 training count; all counts grow with the input and live in Spark tables.  A context of
-over ``ROOM`` tokens is dealt over the buckets by the word, its T estimated
-from the room's.  A dish of m times ``SEATS`` customers is seated as m equal dishes
-with a share 1/m of the new-table weight, one of which is drawn.  Only the
+over ``ROOM`` tokens is dealt over the buckets by the word, the parent over
+rooms.  These are seated twice: once by themselves, and again with the
+tables that the first seating counted in all other places.  A dish of m times
+``SEATS`` customers is seated as m dishes, each with a share 1/m of the
+new-table weight, all of which are seated.  Only the
 list of such contexts (at most tokens / ROOM) is broadcast.
 
 Words are told apart by 64-bit XXH64.  Cases: a null text is empty and
@@ -52,7 +54,7 @@ from tidecast.llm.common import passes, text_of
 from tidecast.llm.common import written as kept
 
 #: Bytes of text in a block; tokens of a bucket; tokens from which a context is dealt over the buckets.
-BLOCK_BYTES, BUCKET, ROOM = 10 << 20, 3_000_000, 1_000_000
+BLOCK_BYTES, BUCKET, ROOM = 10 << 20, 2_000_000, 1_000_000
 #: Customers of a dish that are seated one by one.
 SEATS = 1024
 #: Sweeps before the kept ones, and kept ones.
@@ -279,13 +281,16 @@ def _merge(t: pa.Table) -> pa.Table:
     )])
 
 
-def _shared(batches):
-    """The words of dishes with several customers, by bucket."""
-    for batch in batches:
-        for r in range(batch.num_rows):
-            word, w, c = _lists(batch, r, "words", "w", "c")
-            w = word[np.unique(w[c > 1])]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), batch.column(0)[r].as_py()), pa.int32()), pa.array(w)], ["bucket", "w"])
+def _shared(dealt: bool):
+    """The words of dishes with several customers, by bucket; of ``dealt`` contexts only."""
+    def run(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                n, room, word, w, c = _lists(batch, r, "n", "room", "words", "w", "c")
+                w = word[np.unique(w[(c > 1) & np.repeat(room.astype(bool), n) if dealt else c > 1])]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), batch.column(0)[r].as_py()), pa.int32()), pa.array(w)], ["bucket", "w"])
+
+    return run
 
 
 def _unpacked(samples: int):
@@ -307,22 +312,25 @@ class Seating:
     restaurant ``rest[i]`` and has the parent's probability ``p[i]``.
 
     ``spread[r]``: by how much restaurant r's tables are multiplied for its
-    total (it holds only this share of its dishes).  The position of a
-    customer is the number of its table; table sizes lie at these numbers.
+    total, where nothing is known of its other places.  ``outside[r]``: its tables there.
+    The position of a customer is the number of its table; table sizes lie
+    at these numbers.
     """
 
-    def __init__(self, c: np.ndarray, rest: np.ndarray, p: np.ndarray, spread: np.ndarray, singles: np.ndarray, discount: float, strength: float, seed: int):
+    def __init__(self, c: np.ndarray, rest: np.ndarray, p: np.ndarray, spread: np.ndarray, singles: np.ndarray, discount: float, strength: float, seed: int, outside: np.ndarray | float = 0.0):
         self.parts = -(-c // SEATS)
-        self.c = -(-c // self.parts)
-        order = np.argsort(-self.c, kind="stable")
-        self.order, self.back = order, np.argsort(order)
-        self.whole = c[order]
-        self.c, self.rest, self.p, self.own = self.c[order], rest[order], p[order], self.parts[order]
+        self.dish = np.repeat(np.arange(len(c)), self.parts)
+        own = self.parts[self.dish]
+        nth = np.arange(len(own)) - (np.cumsum(self.parts) - self.parts)[self.dish]
+        c = c[self.dish] // own + (nth < c[self.dish] % own)
+        order = np.argsort(-c, kind="stable")
+        self.dish = self.dish[order]
+        self.c, self.rest, self.p = c[order], rest[self.dish], p[self.dish] / own[order]
         self.d, self.theta, self.rng = discount, strength, np.random.default_rng(seed)
-        self.spread = spread
+        self.spread, self.outside = spread, np.broadcast_to(np.asarray(outside, np.float64), len(spread))
         self.off = np.cumsum(self.c) - self.c
-        self.at = np.zeros(int(self.c.sum()), np.int64)    # a customer's table
-        self.size = np.zeros(len(self.at), np.int64)
+        self.at = np.zeros(int(self.c.sum()), np.int32)    # a customer's table
+        self.size = np.zeros(len(self.at), np.int32)
         self.t = np.zeros(len(self.c), np.int64)
         self.total = singles.astype(np.float64)  # of each restaurant; dishes of one customer have one table
         self._sweep(first=True)
@@ -330,15 +338,15 @@ class Seating:
     def _sweep(self, first: bool = False) -> None:
         for j in range(int(self.c[0]) if len(self.c) else 0):
             live = int(np.searchsorted(-self.c, -j, "left"))  # dishes with over j customers
-            off, rest, own = self.off[:live], self.rest[:live], self.own[:live]
+            off, rest = self.off[:live], self.rest[:live]
             others = np.full(live, j) if first else self.c[:live] - 1
             if not first:
                 table = self.at[off + j]
                 self.size[table] -= 1
                 gone = self.size[table] == 0
                 self.t[:live] -= gone
-                np.subtract.at(self.total, rest[gone], own[gone])
-            fresh = (self.theta + self.d * self.total[rest] * self.spread[rest]) * self.p[:live] / own
+                np.subtract.at(self.total, rest[gone], 1)
+            fresh = (self.theta + self.d * (self.total[rest] * self.spread[rest] + self.outside[rest])) * self.p[:live]
             taken = np.maximum(others - self.d * self.t[:live], 0.0)
             new = self.rng.random(live) * (fresh + taken) < fresh
             new |= others == 0
@@ -361,31 +369,65 @@ class Seating:
             self.at[off[opened] + j] = table
             self.size[table] = 1
             self.t[opened] += 1
-            np.add.at(self.total, rest[opened], own[opened])
+            np.add.at(self.total, rest[opened], 1)
+
+    def tables(self) -> np.ndarray:
+        """Tables of each dish."""
+        return np.bincount(self.dish, self.t, len(self.parts)).astype(np.int64)
 
     def sweep(self) -> tuple[np.ndarray, np.ndarray]:
         """(tables of each dish, of each restaurant) after another sweep."""
         self._sweep()
-        return np.minimum(self.t * self.own, self.whole)[self.back], self.total.astype(np.int64)
+        return self.tables(), self.total.astype(np.int64)
+
+
+def _read(t: pa.Table):
+    """A merged bucket: its columns, the restaurant of each dish, single customers by restaurant."""
+    batch = t.combine_chunks().to_batches()[0]
+    u, n, room, word, w, c, blocks, sizes, place = _lists(batch, 0, "u", "n", "room", "words", "w", "c", "blocks", "asked", "place")
+    rest = np.repeat(np.arange(len(u)), n)
+    return batch.column(0)[0].as_py(), u, room.astype(bool), word, w, c, blocks, sizes, place, rest, np.bincount(rest[c == 1], minlength=len(u))
+
+
+def _share(t: pa.Table, word: np.ndarray) -> np.ndarray:
+    share = np.zeros(len(word))
+    share[np.searchsorted(word, t["w"].to_numpy())] = t["p"].to_numpy()
+    return share
 
 
-def _seat(discount: float, strength: float, burn: int, samples: int, buckets: int, hot):
-    """Buckets with the shares of their words -> seated buckets and answers."""
+#: A bucket's tables of a context that is dealt over the buckets.
+DEALT = "bucket int, w long, t long"
+
+
+def _seat_dealt(discount: float, strength: float, buckets: int):
+    """Buckets with the shares of their words -> tables of the contexts dealt over the buckets, every dish seated once."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table({"bucket": pa.array([], pa.int32()), "w": pa.array([], pa.int64()), "t": pa.array([], pa.int64())})
+        bucket, u, room, word, w, c, _, _, _, rest, singles = _read(left)
+        own = np.flatnonzero((c > 1) & room[rest])
+        p = _share(right, word)[w[own]]
+        seating = Seating(c[own].astype(np.int64), rest[own], p, np.full(len(u), float(buckets)), singles, discount, strength, SEED + bucket)
+        at = np.flatnonzero(room)
+        return pa.table({"bucket": pa.array(np.full(len(at), bucket), pa.int32()), "w": pa.array(u[at]), "t": pa.array(seating.total[at].astype(np.int64))})
+
+    return run
+
+
+def _seat(discount: float, strength: float, burn: int, samples: int, hot):
+    """Buckets with the shares of their words, and the tables in all other buckets
+    of contexts dealt over them (p NULL) -> seated buckets and answers."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.Table.from_batches([_row(SEATED)])
-        batch = left.combine_chunks().to_batches()[0]
-        u, n, room, word, w, c, blocks, sizes, place = _lists(batch, 0, "u", "n", "room", "words", "w", "c", "blocks", "asked", "place")
-        bucket = batch.column(0)[0].as_py()
-        rest = np.repeat(np.arange(len(u)), n)
+        bucket, u, room, word, w, c, blocks, sizes, place, rest, singles = _read(left)
         customers = np.bincount(rest, c, len(u)).astype(np.int64)
-        singles = np.bincount(rest[c == 1], minlength=len(u))
         shared = np.flatnonzero(c > 1)
-        share = np.zeros(len(word))
-        share[np.searchsorted(word, right["w"].to_numpy())] = right["p"].to_numpy()
-        p = share[w[shared]]
-        spread = np.where(room.astype(bool), float(buckets), 1.0)
-        seating = Seating(c[shared].astype(np.int64), rest[shared], p, spread, singles, discount, strength, SEED + bucket)
+        p = _share(right.filter(right["p"].is_valid()), word)[w[shared]]
+        dealt = right.filter(right["p"].is_null())
+        outside = np.zeros(len(u))
+        outside[np.searchsorted(u, dealt["w"].to_numpy())] = dealt["t"].to_numpy()
+        seating = Seating(c[shared].astype(np.int64), rest[shared], p, np.ones(len(u)), singles, discount, strength, SEED + bucket, outside)
         for _ in range(burn):
             seating.sweep()
         mean, tables, sent = np.ones(len(w)), [], []
@@ -409,17 +451,20 @@ def _seat(discount: float, strength: float, burn: int, samples: int, buckets: in
     return run
 
 
-def _seat_parent(discount: float, strength: float, base: float, samples: int, rooms: int):
-    """Words of a room with their customers in each kept sweep -> their tables."""
+def _seat_parent(discount: float, strength: float, base: float, samples: int, rooms: int, outside: dict[int, list[int]] | None):
+    """Words of a room with their customers in each kept sweep -> their tables.
+    ``outside``: tables of all other rooms, by room and sweep, once they are counted."""
     def run(t: pa.Table) -> pa.Table:
         n = t.num_rows
         k = t["k"].combine_chunks().flatten().to_numpy().reshape(n, samples)
         out = np.ones((n, samples), np.int64)
+        others = [0] * samples if outside is None else outside[t["room"][0].as_py()]
         for s in range(samples):
             shared = np.flatnonzero(k[:, s] > 1)
-            seating = Seating(k[shared, s], np.zeros(len(shared), np.int64), np.full(len(shared), base), np.array([float(rooms)]), np.array([n - len(shared)]), discount, strength, SEED + s)
+            spread = np.array([float(rooms) if outside is None else 1.0])
+            seating = Seating(k[shared, s], np.zeros(len(shared), np.int64), np.full(len(shared), base), spread, np.array([n - len(shared)]), discount, strength, SEED + s, others[s])
             out[shared, s] = seating.sweep()[0]
-        return pa.table({"w": t["w"], "c": t["c"], "k": t["k"], "t": pa.array(out.tolist(), pa.list_(pa.int64()))})
+        return pa.table({"room": t["room"], "w": t["w"], "c": t["c"], "k": t["k"], "t": pa.array(out.tolist(), pa.list_(pa.int64()))})
 
     return run
 
@@ -451,13 +496,21 @@ class Model:
         merged = written(asked.groupBy("bucket").applyInArrow(_merge, MERGED))
         d = _discount(*merged.agg(F.sum("n1"), F.sum("n2")).first())
 
-        shared = merged.mapInArrow(_shared, "bucket int, w long")
         total = float(max(self.tokens, 1))
-        shares = shared.join(counts, "w").select("bucket", "w", (F.col("c") / F.lit(total)).alias("p"))
-        seat = _seat(d, strength, burn, samples, self.buckets, hot)
-        seated = merged.groupBy("bucket").cogroup(shares.groupBy("bucket")).applyInArrow(seat, SEATED)
-        self.seated = written(seated)
-        _remove(merged)
+
+        def shares(dealt: bool) -> DataFrame:
+            return merged.mapInArrow(_shared(dealt), "bucket int, w long").join(counts, "w").select("bucket", "w", (F.col("c") / F.lit(total)).alias("p"))
+
+        known = shares(False).withColumn("t", F.lit(None).cast("long"))
+        dealt = None
+        if pairs and self.buckets > 1:
+            dealt = written(merged.groupBy("bucket").cogroup(shares(True).groupBy("bucket")).applyInArrow(_seat_dealt(d, strength, self.buckets), DEALT))
+            every = F.broadcast(dealt.groupBy("w").agg(F.sum("t").alias("every")))  # a line for each such context
+            known = known.unionByName(dealt.join(every, "w").select("bucket", "w", F.lit(None).cast("double").alias("p"), (F.col("every") - F.col("t")).alias("t")))
+        seat = _seat(d, strength, burn, samples, hot)
+        self.seated = written(merged.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(seat, SEATED))
+        for table in [merged] if dealt is None else [merged, dealt]:
+            _remove(table)
 
         def unpacked(names: list[str], schema: str) -> DataFrame:
             return self.seated.where("block is null").select(*names).mapInArrow(_unpacked(samples), schema)
@@ -473,9 +526,16 @@ class Model:
         sent = sent.select(F.col("key").alias("w"), F.array(*[F.col(f"s{i}").cast("long") for i in range(samples)]).alias("k"))
         rooms = int(max(1, -(-self.known // ROOM)))
         parents = written(counts.join(sent, "w").withColumn("room", F.pmod(F.xxhash64("w"), F.lit(rooms)).cast("int")))
-        d0 = _discount(*parents.agg(F.sum((F.col("k")[0] == 1).cast("long")), F.sum((F.col("k")[0] == 2).cast("long"))).first())
+        d0 = _discount(*parents.agg(*[F.sum(sum((F.col("k")[i] == n).cast("long") for i in range(samples))) for n in (1, 2)]).first())
         base = 1.0 / (self.known + 1)
-        words = written(parents.groupBy("room").applyInArrow(_seat_parent(d0, strength, base, samples, rooms), "w long, c long, k array<long>, t array<long>"))
+        outside = None
+        for _ in range(2 if rooms > 1 else 1):  # the second time each room knows the tables of all others
+            if outside is not None:
+                _remove(words)
+            seat = _seat_parent(d0, strength, base, samples, rooms, outside)
+            words = written(parents.groupBy("room").applyInArrow(seat, "room int, w long, c long, k array<long>, t array<long>"))
+            found = {r[0]: list(r)[1:] for r in words.groupBy("room").agg(*[F.sum(F.col("t")[i]) for i in range(samples)]).collect()}
+            outside = {room: [sum(x[i] for x in found.values()) - own[i] for i in range(samples)] for room, own in found.items()}
         sums = words.agg(*[F.sum(F.col(x)[i]) for i in range(samples) for x in ("k", "t")]).first()
         customers, tables = [s or 0 for s in sums[0::2]], [s or 0 for s in sums[1::2]]
         #: Of a word that training rows don't hold, in each kept sweep.
