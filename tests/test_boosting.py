@@ -189,7 +189,8 @@ def test_gains_list_every_column(spark):
     assert set(rows) == {"a", "b", "c"} and rows["c"].mean > rows["b"].mean
 
 
-def test_edges_are_exact_up_to_many_distinct_values(spark):
+def test_edges_are_exact_up_to_many_distinct_values(spark, monkeypatch):
+    monkeypatch.setattr(B, "SKETCH_ROWS", 0)
     rng = np.random.default_rng(8)
     x = np.floor(rng.random(120_000) ** 3 * 30_000)
     df = spark.createDataFrame(x.reshape(-1, 1).tolist(), "x double").repartition(5)
@@ -209,3 +210,10 @@ def test_merged_sketches_keep_ranks(monkeypatch):
     assert not whole and counts.sum() == len(x) and top == x[-1] and len(points) <= 500
     middles = np.cumsum(counts) - counts / 2
     assert np.abs(np.searchsorted(x, points) - middles).max() <= 7 * len(x) / (2 * 500)
+
+
+def test_both_sketches_agree_on_few_rows(spark):
+    df, _ = panel(spark, 300)
+    df = df.selectExpr("a", "b", "if(id % 9 = 0, double('NaN'), a) as d", "cast(null as double) as none", "c")
+    some, other = B._edges(df, ["a", "b", "d", "none"], ["c"], B.MISSING), B._sorted_edges(df, ["a", "b", "d", "none"], ["c"], B.MISSING)
+    assert {c: e.tolist() for c, e in some[0].items()} == {c: e.tolist() for c, e in other[0].items()} and some[1] == other[1]

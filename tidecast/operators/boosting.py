@@ -1,8 +1,8 @@
 """Weighted squared-loss boosted trees over histograms.
 
 Feature values become bins once: numeric columns by quantiles of mergeable
-sketches (sorted runs), categorical codes one bin each, missing values a
-bin of their own.  Binned rows are kept as chunks (one row of Spark holds some
+sketches (Spark's, over many rows sorted runs), categorical codes one bin
+each, missing values a bin of their own.  Binned rows are kept as chunks (one row of Spark holds some
 thousand of them, feature by feature) in a written table.  A tree grows level
 by level from sums of gradient, hessian and rows by (leaf, feature, bin).
 Every split tries the missing bin on both sides; categorical bins are ordered
@@ -95,6 +95,8 @@ class Bins:
         return np.where(missing, MISSING, np.minimum(np.searchsorted(self.edges[column], values, "left"), MISSING - 1)).astype(np.uint8)
 
 
+#: Rows up to which Spark's quantile sketch finds the edges.
+SKETCH_ROWS = 1_000_000
 #: Values and counts of a column in a sketch; rows that a task sorts at a time.
 POINTS, SORTED = 40_000, 65_536
 #: Groups of tasks whose sketches are merged before those of a column meet.
@@ -162,16 +164,31 @@ def _sketch_merge(t: pa.Table) -> pa.Table:
     return _sketch_rows(0, {t["column"][0].as_py(): _sketch(list(zip(points, counts, t["top"].to_pylist(), t["whole"].to_pylist())))})
 
 
-def quantile_bins(df: DataFrame, numeric: Sequence[str], codes: Sequence[str] = (), bins: int = MISSING) -> Bins:
-    """Bin edges of all columns in one pass: every task sorts its rows' columns
-    and keeps a mergeable sketch of each.  Edges are the values at equal shares of the rows,
-    exact where a column has at most ``POINTS`` distinct values, which are the edges
-    themselves where they are fewer than ``bins``; each merge beyond that moves a rank by
-    1 / (2 * ``POINTS``) of the rows at most.  ``codes`` are 0-based
-    category codes; one with more levels than bins is binned like a number."""
+def _edges(df: DataFrame, numeric: Sequence[str], codes: Sequence[str], bins: int, accuracy: int = 20_000) -> tuple[dict, dict]:
+    """(edges, largest value) of all columns in one aggregation.  Columns whose quantiles
+    repeat may have few distinct values; where a sketch counts these as few, they
+    are the edges."""
+    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in [*numeric, *codes]}
+    shares = [i / bins for i in range(1, bins)]
+    tops = [F.max(value[c]).alias(f"_top_{c}") for c in codes]
+    row = df.agg(*[F.percentile_approx(value[c], shares, accuracy).alias(c) for c in [*numeric, *codes]], *tops).first().asDict()
+    # without a repeated quantile, all of up to bins - 1 distinct values are quantiles
+    tied = [c for c in numeric if row[c] is not None and len(set(row[c])) < len(shares)]
+    sizes = df.agg(*[F.approx_count_distinct(value[c], 0.02).alias(c) for c in tied]).first() if tied else {}
+    few = [c for c in tied if sizes[c] < 1.2 * bins]
+    if few:
+        exact = df.agg(*[F.collect_set(value[c]).alias(c) for c in few]).first()
+        row |= {c: exact[c] for c in few if len(exact[c]) < bins}
+    edges = {c: np.unique(np.array(row[c] if row[c] is not None else [], float)) for c in [*numeric, *codes]}
+    return edges, {c: row[f"_top_{c}"] for c in codes if row[f"_top_{c}"] is not None}
+
+
+def _sorted_edges(df: DataFrame, numeric: Sequence[str], codes: Sequence[str], bins: int) -> tuple[dict, dict]:
+    """Like :func:`_edges`, where that costs too much: every task sorts its rows'
+    columns and keeps a mergeable sketch of each.  Exact where a column has at
+    most ``POINTS`` distinct values; each merge beyond that moves a rank by
+    1 / (2 * ``POINTS``) of the rows at most."""
     columns = [*numeric, *codes]
-    if not columns:
-        return Bins((), {}, {})
     parts = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).mapInArrow(_sketch_partition, SKETCH)
     merged = parts.groupBy("column", "part").applyInArrow(_sketch_merge, SKETCH).groupBy("column").applyInArrow(_sketch_merge, SKETCH)
 
@@ -185,10 +202,17 @@ def quantile_bins(df: DataFrame, numeric: Sequence[str], codes: Sequence[str] =
         return pa.table({"column": t["column"], "edges": pa.array([points], pa.list_(pa.float64())), "top": t["top"]})
 
     row = {r["column"]: r for r in merged.groupBy("column").applyInArrow(edges_of, "column string, edges array<double>, top double").collect()}
-    tops = {c: row[c].top for c in codes if c in row and row[c].top is not None}
+    return {c: np.array(row[c].edges if c in row else [], float) for c in columns}, {c: row[c].top for c in codes if c in row and row[c].top is not None}
+
+
+def quantile_bins(df: DataFrame, numeric: Sequence[str], codes: Sequence[str] = (), bins: int = MISSING) -> Bins:
+    """Bin edges of all columns, by Spark's sketch for up to ``SKETCH_ROWS`` rows, else by
+    sorted runs.  ``codes`` are 0-based category codes; one with more levels
+    than bins is binned like a number."""
+    how = _edges if df.count() <= SKETCH_ROWS else _sorted_edges
+    edges, tops = how(df, numeric, codes, bins)
     levels = {c: int(top) + 1 for c, top in tops.items() if top < bins}
-    edges = {c: np.array(row[c].edges if c in row else [], float) for c in columns if c not in levels}
-    return Bins((*numeric, *codes), edges, levels)
+    return Bins((*numeric, *codes), {c: e for c, e in edges.items() if c not in levels}, levels)
 
 
 def write_chunks(df: DataFrame, bins: Bins, keep: Sequence[str], label: str | None, weight: str | None, folds: Sequence[str] = ()) -> DataFrame:
