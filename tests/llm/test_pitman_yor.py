@@ -4,6 +4,7 @@ against exact posteriors, probabilities against the formula."""
 import itertools
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -215,3 +216,25 @@ def test_discount_and_places_over_many_rooms(spark, monkeypatch):
     assert rooms > 1 and len(calls) == 2 and first is None
     totals = {tuple(second[r][i] for i in range(model.samples)) for r in second}
     assert len(second) == rooms and all(min(t) > 0 for t in totals)
+
+
+@pytest.mark.parametrize("words", [50, 1 << 30])
+def test_places_of_tokens(words):
+    """Every token's pair, also where codes and positions don't fit one number."""
+    rng = np.random.default_rng(4)
+    b = object.__new__(py.Block)
+    b.code = rng.integers(0, 300, 5000) * (words // 50)
+    b.pair, b.word = np.unique(b.code), range(words)
+    assert (b.places() == np.searchsorted(b.pair, b.code)).all()
+
+
+def test_seating_holds_few_bytes_a_customer():
+    n = 100_000
+    c, rest, p = np.full(n, 2), np.arange(n) // 10, np.full(n, 1e-3)
+    tracemalloc.start()
+    try:
+        s = py.Seating(c, rest, p, np.ones(n // 10), np.zeros(n // 10, np.int64), 0.5, 1.0, 3)
+        held, _ = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert s.size.sum() == 2 * n and held < 70 * n

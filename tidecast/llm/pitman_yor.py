@@ -54,7 +54,7 @@ from tidecast.llm.common import passes, text_of
 from tidecast.llm.common import written as kept
 
 #: Bytes of text in a block; tokens of a bucket; tokens from which a context is dealt over the buckets.
-BLOCK_BYTES, BUCKET, ROOM = 10 << 20, 2_000_000, 1_000_000
+BLOCK_BYTES, BUCKET, ROOM = 10 << 20, 1_250_000, 1_000_000
 #: Customers of a dish that are seated one by one.
 SEATS = 1024
 #: Sweeps before the kept ones, and kept ones.
@@ -201,6 +201,17 @@ class Block:
         self.u = context[self.pair // len(self.word)]
         self.w = self.pair % len(self.word)
 
+    def places(self) -> np.ndarray:
+        """Place in ``pair`` of every token."""
+        bits = len(self.code).bit_length()
+        if 2 * len(self.word).bit_length() + bits > 63:
+            return np.searchsorted(self.pair, self.code)
+        own = np.sort(self.code << bits | np.arange(len(self.code)))  # sorting numbers is much faster than looking them up
+        out = np.empty(len(own), np.int64)
+        code = own >> bits
+        out[own & ((1 << bits) - 1)] = np.cumsum(np.r_[False, code[1:] != code[:-1]][: len(own)])
+        return out
+
     def buckets(self, buckets: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bucket, dealt by the word) of each pair."""
         room = np.isin(self.u, hot)
@@ -319,57 +330,67 @@ class Seating:
 
     def __init__(self, c: np.ndarray, rest: np.ndarray, p: np.ndarray, spread: np.ndarray, singles: np.ndarray, discount: float, strength: float, seed: int, outside: np.ndarray | float = 0.0):
         self.parts = -(-c // SEATS)
-        self.dish = np.repeat(np.arange(len(c)), self.parts)
-        own = self.parts[self.dish]
-        nth = np.arange(len(own)) - (np.cumsum(self.parts) - self.parts)[self.dish]
-        c = c[self.dish] // own + (nth < c[self.dish] % own)
+        dish = np.repeat(np.arange(len(c), dtype=np.int32), self.parts)
+        own = self.parts[dish]
+        nth = np.arange(len(own)) - (np.cumsum(self.parts) - self.parts)[dish]
+        c = (c[dish] // own + (nth < c[dish] % own)).astype(np.int32)
+        del nth
         order = np.argsort(-c, kind="stable")
-        self.dish = self.dish[order]
+        self.dish = dish[order]
         self.c, self.rest, self.p = c[order], rest[self.dish], p[self.dish] / own[order]
         self.d, self.theta, self.rng = discount, strength, np.random.default_rng(seed)
         self.spread, self.outside = spread, np.broadcast_to(np.asarray(outside, np.float64), len(spread))
-        self.off = np.cumsum(self.c) - self.c
+        self.off = np.cumsum(self.c, dtype=np.int64) - self.c
         self.at = np.zeros(int(self.c.sum()), np.int32)    # a customer's table
         self.size = np.zeros(len(self.at), np.int32)
-        self.t = np.zeros(len(self.c), np.int64)
+        self.t = np.zeros(len(self.c), np.int32)
         self.total = singles.astype(np.float64)  # of each restaurant; dishes of one customer have one table
         self._sweep(first=True)
 
     def _sweep(self, first: bool = False) -> None:
-        for j in range(int(self.c[0]) if len(self.c) else 0):
-            live = int(np.searchsorted(-self.c, -j, "left"))  # dishes with over j customers
+        c, t, at, size, random = self.c, self.t, self.at, self.size, self.rng.random
+        load = self.total * self.spread + self.outside  # tables of each restaurant as they count
+        lives = np.searchsorted(-c, -np.arange(int(c[0]) if len(c) else 0), "left")  # dishes with over j customers
+        for j, live in enumerate(lives.tolist()):
             off, rest = self.off[:live], self.rest[:live]
-            others = np.full(live, j) if first else self.c[:live] - 1
+            others = np.full(live, j) if first else c[:live] - 1
             if not first:
-                table = self.at[off + j]
-                self.size[table] -= 1
-                gone = self.size[table] == 0
-                self.t[:live] -= gone
-                np.subtract.at(self.total, rest[gone], 1)
-            fresh = (self.theta + self.d * (self.total[rest] * self.spread[rest] + self.outside[rest])) * self.p[:live]
-            taken = np.maximum(others - self.d * self.t[:live], 0.0)
-            new = self.rng.random(live) * (fresh + taken) < fresh
+                table = at[off + j]
+                left = size[table] - 1
+                size[table] = left
+                gone = np.flatnonzero(left == 0)
+                t[gone] -= 1
+                where = rest[gone]
+                np.subtract.at(self.total, where, 1)
+                np.subtract.at(load, where, self.spread[where])
+            fresh = (self.theta + self.d * load[rest]) * self.p[:live]
+            taken = np.maximum(others - self.d * t[:live], 0.0)
+            new = random(live) * (fresh + taken) < fresh
             new |= others == 0
             pick = np.flatnonzero(~new)
             while len(pick):  # a random other customer's table, with its share of (size - d)
-                k = (self.rng.random(len(pick)) * others[pick]).astype(np.int64)
+                k = (random(len(pick)) * others[pick]).astype(np.int64)
                 if not first:
                     k += k >= j
-                table = self.at[off[pick] + k]
-                sit = self.rng.random(len(pick)) * self.size[table] < self.size[table] - self.d
-                chosen = pick[sit]
-                self.at[off[chosen] + j] = table[sit]
-                self.size[table[sit]] += 1
+                table = at[off[pick] + k]
+                n = size[table]
+                sit = random(len(pick)) * n < n - self.d
+                chosen, table = pick[sit], table[sit]
+                at[off[chosen] + j] = table
+                size[table] += 1
                 pick = pick[~sit]
             opened = np.flatnonzero(new)
-            table, free = off[opened] + j, self.c[opened]
-            while (busy := self.size[table] > 0).any():  # the next number without a table
-                start = off[opened[busy]]
-                table[busy] = start + (table[busy] + 1 - start) % free[busy]
-            self.at[off[opened] + j] = table
-            self.size[table] = 1
-            self.t[opened] += 1
-            np.add.at(self.total, rest[opened], 1)
+            if len(opened):
+                table, free = off[opened] + j, c[opened]
+                while (busy := np.flatnonzero(size[table] > 0)).size:  # the next number without a table
+                    own = off[opened[busy]]
+                    table[busy] = own + (table[busy] + 1 - own) % free[busy]
+                at[off[opened] + j] = table
+                size[table] = 1
+                t[opened] += 1
+                where = rest[opened]
+                np.add.at(self.total, where, 1)
+                np.add.at(load, where, self.spread[where])
 
     def tables(self) -> np.ndarray:
         """Tables of each dish."""
@@ -384,9 +405,9 @@ class Seating:
 def _read(t: pa.Table):
     """A merged bucket: its columns, the restaurant of each dish, single customers by restaurant."""
     batch = t.combine_chunks().to_batches()[0]
-    u, n, room, word, w, c, blocks, sizes, place = _lists(batch, 0, "u", "n", "room", "words", "w", "c", "blocks", "asked", "place")
-    rest = np.repeat(np.arange(len(u)), n)
-    return batch.column(0)[0].as_py(), u, room.astype(bool), word, w, c, blocks, sizes, place, rest, np.bincount(rest[c == 1], minlength=len(u))
+    u, n, room, word, w, c = _lists(batch, 0, "u", "n", "room", "words", "w", "c")
+    rest = np.repeat(np.arange(len(u), dtype=np.int32), n)
+    return batch, u, room.astype(bool), word, w, c, rest, np.bincount(rest[c == 1], minlength=len(u))
 
 
 def _share(t: pa.Table, word: np.ndarray) -> np.ndarray:
@@ -404,10 +425,11 @@ def _seat_dealt(discount: float, strength: float, buckets: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({"bucket": pa.array([], pa.int32()), "w": pa.array([], pa.int64()), "t": pa.array([], pa.int64())})
-        bucket, u, room, word, w, c, _, _, _, rest, singles = _read(left)
+        batch, u, room, word, w, c, rest, singles = _read(left)
+        bucket = batch.column(0)[0].as_py()
         own = np.flatnonzero((c > 1) & room[rest])
         p = _share(right, word)[w[own]]
-        seating = Seating(c[own].astype(np.int64), rest[own], p, np.full(len(u), float(buckets)), singles, discount, strength, SEED + bucket)
+        seating = Seating(c[own], rest[own].astype(np.int64), p, np.full(len(u), float(buckets)), singles, discount, strength, SEED + bucket)
         at = np.flatnonzero(room)
         return pa.table({"bucket": pa.array(np.full(len(at), bucket), pa.int32()), "w": pa.array(u[at]), "t": pa.array(seating.total[at].astype(np.int64))})
 
@@ -420,14 +442,15 @@ def _seat(discount: float, strength: float, burn: int, samples: int, hot):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.Table.from_batches([_row(SEATED)])
-        bucket, u, room, word, w, c, blocks, sizes, place, rest, singles = _read(left)
+        batch, u, _, word, w, c, rest, singles = _read(left)
+        bucket = batch.column(0)[0].as_py()
         customers = np.bincount(rest, c, len(u)).astype(np.int64)
         shared = np.flatnonzero(c > 1)
         p = _share(right.filter(right["p"].is_valid()), word)[w[shared]]
         dealt = right.filter(right["p"].is_null())
         outside = np.zeros(len(u))
         outside[np.searchsorted(u, dealt["w"].to_numpy())] = dealt["t"].to_numpy()
-        seating = Seating(c[shared].astype(np.int64), rest[shared], p, np.ones(len(u)), singles, discount, strength, SEED + bucket, outside)
+        seating = Seating(c[shared], rest[shared].astype(np.int64), p, np.ones(len(u)), singles, discount, strength, SEED + bucket, outside)
         for _ in range(burn):
             seating.sweep()
         mean, tables, sent = np.ones(len(w)), [], []
@@ -435,18 +458,21 @@ def _seat(discount: float, strength: float, burn: int, samples: int, hot):
         for _ in range(samples):
             t, total = seating.sweep()
             mean[shared] += t / samples
-            every = np.ones(len(w))
+            every = np.ones(len(w), np.int32)
             every[shared] = t
             tables.append(total)
             sent.append(np.bincount(w, every, len(word)).astype(np.int64))
+        del seating, every, shared
         whole = customers.copy()  # of a context dealt over the buckets: all of it
         at = np.searchsorted(hot.value[0], u)
         inside = np.flatnonzero((at < len(hot.value[0])) & (hot.value[0][np.minimum(at, max(len(hot.value[0]) - 1, 0))] == u)) if len(hot.value[0]) else []
         whole[inside] = hot.value[1][at[inside]] if len(hot.value[0]) else whole[inside]
         a = np.maximum(c - discount * mean, 0.0) / (strength + whole[rest])
         own = _row(SEATED, bucket=bucket, u=u, customers=customers, tables=np.stack(tables, 1).ravel(), words=word, sent=np.stack(sent, 1).ravel())
-        given = np.split(np.r_[a, 0.0][place], np.cumsum(sizes)[:-1])
-        return pa.Table.from_batches([own, *[_row(SEATED, bucket=bucket, block=k, a=x) for k, x in zip(blocks.tolist(), given)]])
+        a = np.r_[a, 0.0].astype(np.float32)  # as it is packed
+        blocks, sizes, place = _lists(batch, 0, "blocks", "asked", "place")
+        edges = np.r_[0, np.cumsum(sizes)].tolist()
+        return pa.Table.from_batches([own, *[_row(SEATED, bucket=bucket, block=k, a=a[place[i:j]]) for k, i, j in zip(blocks.tolist(), edges, edges[1:])]])
 
     return run
 
@@ -578,24 +604,26 @@ def _score(model: Model):
         batch = left.combine_chunks().to_batches()[0]
         b = Block(batch, 0)
         bucket, _ = b.buckets(buckets, hot.value)
+        order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
         seen = np.zeros(len(b.pair))
         c, p, back = np.zeros(len(b.word), np.int64), np.tile(unknown, (len(b.word), 1)), np.ones((len(b.word), samples))
         for told in right.to_batches():
             for r in range(told.num_rows):
                 k = told.column(1)[r].as_py()
                 if k >= 0:
-                    seen[bucket == k] = _lists(told, r, "a")[0]
+                    seen[order[edges[k]: edges[k + 1]]] = _lists(told, r, "a")[0]
                     continue
                 at, counts, values = _lists(told, r, "at", "c", "v")
                 c[at] = counts
                 p[at], back[at] = np.split(values.reshape(len(at), -1), 2, axis=1)
         width = len(b.word)
         mixed = np.mean(seen[:, None] + back[b.pair // width] * p[b.pair % width], 1) if len(b.pair) else seen
-        logs = np.log10(mixed)[np.searchsorted(b.pair, b.code)]
-        base = np.log10((c[b.token] + 0.5) / (tokens + 0.5 * (known + 1)))
+        logs = np.log10(mixed)[b.places()]
+        base = np.log10((c + 0.5) / (tokens + 0.5 * (known + 1)))[b.token]
         first = np.cumsum(b.size) - b.size
         ids = batch.column(batch.schema.get_field_index("doc_id"))[0].values
-        return pa.table([ids, pa.array(b.held), pa.array(b.size.astype(np.int64)), pa.array(np.add.reduceat((c[b.token] > 0).astype(np.int64), first)),
+        return pa.table([ids, pa.array(b.held), pa.array(b.size.astype(np.int64)), pa.array(np.add.reduceat((c > 0).astype(np.int64)[b.token], first)),
                          pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(logs, first))], schema=schema)
 
     return run
