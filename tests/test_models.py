@@ -92,3 +92,16 @@ def test_ridge_takes_the_larger_of_equal_penalties(spark):
         best = min(i["mae"] for i in own)
         assert max(i["alpha"] for i in own if i["mae"] == best) == next(i["alpha"] for i in own if i["chosen"])
     assert res.valid.where("pred is null").count() == 0 < res.test.count()
+
+
+def test_horizons_share_their_trailing_frames(monkeypatch):
+    """Ten horizons are fitted on frames that are computed once, not once for each."""
+    from types import SimpleNamespace
+
+    from tidecast.plans import models
+
+    calls = []
+    monkeypatch.setattr(models, "build_all_horizons", lambda *a, **k: calls.append((a[1:], k)))
+    monkeypatch.setattr(models, "fit_boosted", lambda *a, **k: k)
+    assert models.fit_horizons(SimpleNamespace(calendar=SimpleNamespace(horizons=(1, 2))), 4, patience=3) == {"patience": 3}
+    assert calls == [((4, [1, 2]), {"method": "shift"})]

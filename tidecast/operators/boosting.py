@@ -109,7 +109,7 @@ def _sketch(parts: list[tuple]) -> tuple:
     their counts as long as they are at most ``POINTS`` (whole), else the
     middles of that many equal shares of the rows."""
     points, counts = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    order = np.argsort(points)
+    order = np.argsort(points, kind="stable")  # merges sorted runs
     points, counts = points[order], counts[order]
     first = np.flatnonzero(np.r_[True, points[1:] != points[:-1]][: len(points)])
     points, counts = points[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -217,29 +217,45 @@ def quantile_bins(df: DataFrame, numeric: Sequence[str], codes: Sequence[str] =
 
 def write_chunks(df: DataFrame, bins: Bins, keep: Sequence[str], label: str | None, weight: str | None, folds: Sequence[str] = ()) -> DataFrame:
     """Binned rows of ``df`` (with a column ``fit``) as chunks, written and read
-    back: fit, chunk, n, bins, label, weight, folds and the ``keep`` columns as arrays."""
+    back: fit, chunk, n, bins, label, weight, folds and the ``keep`` columns as arrays.
+    Rows are binned where they lie; a byte for each column and fold mask is shuffled."""
     spark = df.sparkSession
-    extra = [c for c in (label, weight) if c]
-    parts = max(spark.sparkContext.defaultParallelism, 1)
+    parts, width = max(spark.sparkContext.defaultParallelism, 1), len(bins.columns)
     kinds = dict(df.select(*keep).dtypes)
     schema = "fit int, chunk long, n int, bins binary, label array<double>, weight array<double>, folds binary, " + ", ".join(f"`{c}` array<{kinds[c]}>" for c in keep)
+    rows_schema = "_fit int, _bins binary, _label double, _weight double, _folds int, " + ", ".join(f"`{c}` {kinds[c]}" for c in keep)
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = b.num_rows
+
+            def of(c):
+                return b.column(b.schema.get_field_index(c))
+
+            def floats(c):
+                return of(c).cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+            matrix = np.empty((n, width), np.uint8)
+            for i, c in enumerate(bins.columns):
+                matrix[:, i] = bins.of(c, floats(c))
+            masks = np.zeros(n, np.int32)
+            for i, c in enumerate(folds):
+                masks |= of(c).fill_null(False).to_numpy(zero_copy_only=False).astype(np.int32) << i
+            ends = pa.py_buffer(np.arange(0, (n + 1) * width, width, dtype=np.int32) if width else np.zeros(n + 1, np.int32))
+            y = pa.array(floats(label) if label else np.zeros(n))
+            w = pa.array(floats(weight) if weight else np.ones(n))
+            packed = pa.Array.from_buffers(pa.binary(), n, [None, ends, pa.py_buffer(matrix)])
+            yield pa.RecordBatch.from_arrays([of("_fit"), packed, y, w, pa.array(masks), *[of(c) for c in keep]], ["_fit", "_bins", "_label", "_weight", "_folds", *keep])
 
     def chunk(fit: int, number: int, t: pa.Table) -> pa.RecordBatch:
         n = t.num_rows
-
-        def floats(c):
-            return t[c].cast(pa.float64()).combine_chunks().to_numpy(zero_copy_only=False)
-
-        matrix = np.stack([bins.of(c, floats(c)) for c in bins.columns]) if bins.columns else np.zeros((0, n), np.uint8)
-        masks = np.zeros(n, np.uint8)
-        for i, c in enumerate(folds):
-            masks |= t[c].combine_chunks().fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint8) << i
-        y = floats(label) if label else np.zeros(n)
-        w = floats(weight) if weight else np.ones(n)
+        matrix = np.frombuffer(b"".join(t["_bins"].to_pylist()), np.uint8).reshape(n, width)
+        masks = t["_folds"].combine_chunks().to_numpy().astype(np.uint8)
+        y, w = (t[c].combine_chunks().to_numpy(zero_copy_only=False) for c in ("_label", "_weight"))
         whole = [pa.array([0, n], pa.int32())]
         held = [pa.ListArray.from_arrays(whole[0], t[c].combine_chunks()) for c in keep]
         return pa.RecordBatch.from_arrays(
-            [pa.array([fit], pa.int32()), pa.array([number]), pa.array([n], pa.int32()), pa.array([matrix.tobytes()], pa.binary()), pa.array([y]), pa.array([w]), pa.array([masks.tobytes()], pa.binary()), *held],
+            [pa.array([fit], pa.int32()), pa.array([number]), pa.array([n], pa.int32()), pa.array([matrix.T.tobytes()], pa.binary()), pa.array([y]), pa.array([w]), pa.array([masks.tobytes()], pa.binary()), *held],
             ["fit", "chunk", "n", "bins", "label", "weight", "folds", *keep],
         )
 
@@ -259,8 +275,8 @@ def write_chunks(df: DataFrame, bins: Bins, keep: Sequence[str], label: str | No
                 yield chunk(fit, number, own)
                 number += 1
 
-    columns = list(dict.fromkeys([*keep, *extra, *folds, *bins.columns]))
-    rows = df.select(F.col("fit").cast("int").alias("fit"), *columns).repartition(parts, *keep)
+    columns = list(dict.fromkeys([*keep, *(c for c in (label, weight) if c), *folds, *bins.columns]))
+    rows = df.select(F.col("fit").cast("int").alias("_fit"), *columns).mapInArrow(binned, rows_schema).repartition(parts, *keep)
     path = scratch_path(spark, "chunks")
     rows.mapInArrow(run, schema).write.parquet(path)
     return spark.read.schema(schema).parquet(path)

@@ -210,9 +210,9 @@ def train_predictions(valid: DataFrame, by: Iterable[str] = ()) -> DataFrame:
 
 
 def fit_horizons(tables: PanelTables, version: int, horizons: Iterable[int] | None = None, **overrides) -> Boosted:
-    """Boosters of all horizons, from one table of their features."""
+    """Boosters of all horizons, from one table of their features (trailing frames computed once, looked up by each horizon)."""
     horizons = list(horizons or tables.calendar.horizons)
-    return fit_boosted(build_all_horizons(tables, version, horizons), version, **overrides)
+    return fit_boosted(build_all_horizons(tables, version, horizons, method="shift"), version, **overrides)
 
 
 def ridge_horizons(tables: PanelTables, version: int, horizons: Iterable[int] | None = None) -> DataFrame:
