@@ -238,3 +238,12 @@ def test_seating_holds_few_bytes_a_customer():
     finally:
         tracemalloc.stop()
     assert s.size.sum() == 2 * n and held < 70 * n
+
+
+def test_pairs_are_divided_once(spark):
+    """A block keeps both halves of its pairs, so that neither requests nor scores divide them again."""
+    df = spark.createDataFrame([(1, "a b a c"), (2, "b a"), (3, "")], "doc_id long, text string")
+    batch = py.encode(df.coalesce(1), "doc_id", "text", F.col("doc_id") == 2).toArrow().combine_chunks().to_batches()[0]
+    b = py.Block(batch, 0)
+    assert (b.context * len(b.word) + b.w == b.pair).all() and (b.w < len(b.word)).all()
+    assert (b.u == np.where(b.context == len(b.word) - 1, py.START, b.word[b.context])).all()

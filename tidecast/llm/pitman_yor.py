@@ -198,8 +198,9 @@ class Block:
         self.count = np.add.reduceat(1 - (fold & 1), first)
         context = self.word.copy()
         context[-1] = START
-        self.u = context[self.pair // len(self.word)]
-        self.w = self.pair % len(self.word)
+        self.context = self.pair // len(self.word)  # local number of the word before
+        self.u = context.take(self.context)
+        self.w = self.pair - self.context * len(self.word)
 
     def places(self) -> np.ndarray:
         """Place in ``pair`` of every token."""
@@ -244,14 +245,18 @@ def requests(blocks: DataFrame, buckets: int, hot) -> DataFrame:
                 bucket, room = b.buckets(buckets, hot.value)
                 order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
                 edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                by_hash = np.argsort(b.word)
+                words, rank = b.word[by_hash], np.empty_like(by_hash)
+                rank[by_hash] = np.arange(len(by_hash))
+                held, place = np.zeros(len(words), bool), np.empty_like(rank)
                 for k in np.flatnonzero(np.diff(edges)).tolist():
                     at = order[edges[k]: edges[k + 1]]
-                    u, first = b.u[at], _runs(b.pair[at] // len(b.word))
-                    local, w = np.unique(b.w[at], return_inverse=True)
-                    by_hash = np.argsort(b.word[local])
-                    place = np.empty_like(by_hash)
-                    place[by_hash] = np.arange(len(by_hash))
-                    yield _row(ASKED, block=batch.column(0)[r].as_py(), bucket=k, u=u[first], n=np.diff(np.r_[first, len(u)]), room=room[at][first], words=b.word[local][by_hash], w=place[w], c=b.count[at])
+                    u, first, w = b.u[at], _runs(b.context[at]), rank[b.w[at]]
+                    held[w] = True
+                    own = np.flatnonzero(held)
+                    held[own] = False
+                    place[own] = np.arange(len(own))
+                    yield _row(ASKED, block=batch.column(0)[r].as_py(), bucket=k, u=u[first], n=np.diff(np.r_[first, len(u)]), room=room[at][first], words=words[own], w=place[w], c=b.count[at])
 
     return blocks.mapInArrow(run, ASKED)
 
@@ -344,53 +349,74 @@ class Seating:
         self.at = np.zeros(int(self.c.sum()), np.int32)    # a customer's table
         self.size = np.zeros(len(self.at), np.int32)
         self.t = np.zeros(len(self.c), np.int32)
-        self.total = singles.astype(np.float64)  # of each restaurant; dishes of one customer have one table
+        self.singles = singles.astype(np.float64)  # dishes of one customer have one table
+        self.total = self.singles  # tables of each restaurant
         self._sweep(first=True)
 
     def _sweep(self, first: bool = False) -> None:
         c, t, at, size, random = self.c, self.t, self.at, self.size, self.rng.random
         load = self.total * self.spread + self.outside  # tables of each restaurant as they count
+        single = bool((self.spread == 1).all())
         lives = np.searchsorted(-c, -np.arange(int(c[0]) if len(c) else 0), "left")  # dishes with over j customers
+        fresh_, taken_, drawn_, place_, table_ = (np.empty(len(c), k) for k in (float, float, float, np.intp, at.dtype))  # of every step
         for j, live in enumerate(lives.tolist()):
             off, rest = self.off[:live], self.rest[:live]
-            others = np.full(live, j) if first else c[:live] - 1
+            fresh, taken, drawn, table = fresh_[:live], taken_[:live], drawn_[:live], table_[:live]
+            place = np.add(off, j, out=place_[:live])
+            others = j if first else c[:live] - 1
             if not first:
-                table = at[off + j]
-                left = size[table] - 1
+                at.take(place, out=table, mode="clip")
+                left = size.take(table, mode="clip")
+                left -= 1
                 size[table] = left
-                gone = np.flatnonzero(left == 0)
+                gone = (left == 0).nonzero()[0]
                 t[gone] -= 1
-                where = rest[gone]
-                np.subtract.at(self.total, where, 1)
-                np.subtract.at(load, where, self.spread[where])
-            fresh = (self.theta + self.d * load[rest]) * self.p[:live]
-            taken = np.maximum(others - self.d * t[:live], 0.0)
-            new = random(live) * (fresh + taken) < fresh
-            new |= others == 0
-            pick = np.flatnonzero(~new)
-            while len(pick):  # a random other customer's table, with its share of (size - d)
-                k = (random(len(pick)) * others[pick]).astype(np.int64)
-                if not first:
-                    k += k >= j
-                table = at[off[pick] + k]
-                n = size[table]
-                sit = random(len(pick)) * n < n - self.d
-                chosen, table = pick[sit], table[sit]
-                at[off[chosen] + j] = table
-                size[table] += 1
-                pick = pick[~sit]
-            opened = np.flatnonzero(new)
+                where = rest.take(gone)
+                np.subtract.at(load, where, 1.0 if single else self.spread[where])
+            random(out=drawn)
+            if first and j == 0:
+                opened = np.arange(live)
+            else:
+                load.take(rest, out=fresh, mode="clip")  # (theta + d T) p
+                fresh *= self.d
+                fresh += self.theta
+                fresh *= self.p[:live]
+                np.multiply(t[:live], self.d, out=taken)
+                np.subtract(others, taken, out=taken)
+                np.maximum(taken, 0.0, out=taken)
+                taken += fresh
+                drawn *= taken
+                new = drawn < fresh
+                if not first and live > lives[1]:
+                    new |= others == 0
+                opened, pick = new.nonzero()[0], np.logical_not(new, out=new).nonzero()[0]
+                while len(pick):  # a random other customer's table, with its share of (size - d)
+                    k = (random(len(pick)) * (others if first else others.take(pick))).astype(np.int64)
+                    if not first:
+                        k += k >= j
+                    k += off.take(pick)
+                    own = at.take(k)
+                    n = size.take(own)
+                    sit = random(len(pick)) * n < n - self.d
+                    chosen, own = pick[sit], own[sit]
+                    at[place.take(chosen)] = own
+                    size[own] += 1
+                    pick = pick[np.logical_not(sit, out=sit)]
             if len(opened):
-                table, free = off[opened] + j, c[opened]
-                while (busy := np.flatnonzero(size[table] > 0)).size:  # the next number without a table
-                    own = off[opened[busy]]
-                    table[busy] = own + (table[busy] + 1 - own) % free[busy]
-                at[off[opened] + j] = table
-                size[table] = 1
+                to = place.take(opened)
+                own = to.copy()
+                if not first:
+                    begin, free = off.take(opened), c.take(opened)
+                    busy = (size.take(own) > 0).nonzero()[0]
+                    while len(busy):  # the next number without a table
+                        own[busy] = begin[busy] + (own[busy] + 1 - begin[busy]) % free[busy]
+                        busy = busy[size.take(own[busy]) > 0]
+                at[to] = own
+                size[own] = 1
                 t[opened] += 1
-                where = rest[opened]
-                np.add.at(self.total, where, 1)
-                np.add.at(load, where, self.spread[where])
+                where = rest.take(opened)
+                np.add.at(load, where, 1.0 if single else self.spread[where])
+        self.total = self.singles + np.bincount(self.rest, t, len(self.singles))
 
     def tables(self) -> np.ndarray:
         """Tables of each dish."""
@@ -617,9 +643,14 @@ def _score(model: Model):
                 at, counts, values = _lists(told, r, "at", "c", "v")
                 c[at] = counts
                 p[at], back[at] = np.split(values.reshape(len(at), -1), 2, axis=1)
-        width = len(b.word)
-        mixed = np.mean(seen[:, None] + back[b.pair // width] * p[b.pair % width], 1) if len(b.pair) else seen
-        logs = np.log10(mixed)[b.places()]
+        mixed = np.zeros(len(b.pair))
+        for s in range(samples):
+            told = np.ascontiguousarray(back[:, s]).take(b.context)
+            told *= np.ascontiguousarray(p[:, s]).take(b.w)
+            told += seen
+            mixed += told
+        mixed /= samples
+        logs = np.log10(mixed, out=mixed).take(b.places())
         base = np.log10((c + 0.5) / (tokens + 0.5 * (known + 1)))[b.token]
         first = np.cumsum(b.size) - b.size
         ids = batch.column(batch.schema.get_field_index("doc_id"))[0].values
