@@ -217,3 +217,21 @@ def test_both_sketches_agree_on_few_rows(spark):
     df = df.selectExpr("a", "b", "if(id % 9 = 0, double('NaN'), a) as d", "cast(null as double) as none", "c")
     some, other = B._edges(df, ["a", "b", "d", "none"], ["c"], B.MISSING), B._sorted_edges(df, ["a", "b", "d", "none"], ["c"], B.MISSING)
     assert {c: e.tolist() for c, e in some[0].items()} == {c: e.tolist() for c, e in other[0].items()} and some[1] == other[1]
+
+
+def test_packed_rows_give_the_same_edges_and_chunks(spark, monkeypatch):
+    """Numeric columns carried as one array: same edges by both sketches, same bins in the chunks."""
+    rng = np.random.default_rng(6)
+    rows = [(i, int(i % 3), None if i % 7 == 0 else float(rng.normal()), float("nan") if i % 11 == 0 else float(i % 5), i % 4, float(i)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, fit int, a double, b double, c int, y double").repartition(3).cache()
+    packed = df.select("id", "fit", "c", "y", B.pack(["a", "b"]))
+    for limit in (B.SKETCH_ROWS, 10):
+        monkeypatch.setattr(B, "SKETCH_ROWS", limit)
+        plain, other = B.quantile_bins(df, ["a", "b"], ["c"]), B.quantile_bins(packed, ["a", "b"], ["c"])
+        assert plain.columns == other.columns and plain.levels == other.levels
+        assert all((plain.edges[c] == other.edges[c]).all() for c in plain.edges)
+    found = []
+    for x, names in ((df, ()), (packed, ("a", "b"))):
+        chunks = B.write_chunks(x, plain, ["id"], "y", None, packed=names).collect()
+        found.append({i: (r.fit, bytes(m)) for r in chunks for i, m in zip(r.id, np.frombuffer(r.bins, np.uint8).reshape(3, -1).T)})
+    assert len(found[0]) == 900 and found[0] == found[1]

@@ -34,7 +34,7 @@ from dataclasses import dataclass, field, replace
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidecast.sources.io import scratch_path
@@ -95,6 +95,21 @@ class Bins:
         return np.where(missing, MISSING, np.minimum(np.searchsorted(self.edges[column], values, "left"), MISSING - 1)).astype(np.uint8)
 
 
+#: Array column in which a packed frame holds its numeric columns.
+PACKED = "_numeric"
+
+
+def pack(columns: Sequence[str]) -> Column:
+    """``columns`` as one array of doubles: every later step carries one column instead of all of them."""
+    return F.array(*[F.col(c).cast("double") for c in columns]).cast("array<double>").alias(PACKED)
+
+
+def _matrix(b: pa.RecordBatch, width: int) -> np.ndarray:
+    """Rows of a batch's packed columns, NaN where there is none."""
+    cells = b.column(b.schema.get_field_index(PACKED))
+    return cells.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(b.num_rows, width)
+
+
 #: Rows up to which Spark's quantile sketch finds the edges.
 SKETCH_ROWS = 1_000_000
 #: Values and counts of a column in a sketch; rows that a task sorts at a time.
@@ -130,17 +145,19 @@ def _sketch_rows(part: int, sketches: dict) -> pa.Table:
     return pa.table([pa.array(v, k) for v, k in zip(values, kinds)], names=[x.split()[0] for x in SKETCH.split(", ")])
 
 
-def _sketch_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A sketch for each column of a partition's rows.  Runs of ``SORTED`` rows are
+def _sketch_partition(batches: Iterator[pa.RecordBatch], packed: Sequence[str] = ()) -> Iterator[pa.RecordBatch]:
+    """A sketch for each column of a partition's rows; ``packed`` names those of the
+    packed array.  Runs of ``SORTED`` rows are
     merged in pairs of equal size, so n rows are cut log2(n / SORTED) times at most."""
     levels: dict[str, list] = {}
     held: list = []
 
     def flush() -> None:
         rows = pa.Table.from_batches(held)
+        matrix = np.concatenate([_matrix(b, len(packed)) for b in held]) if packed else None
         held.clear()
-        for c in rows.column_names:
-            x = rows[c].combine_chunks().drop_null().to_numpy(zero_copy_only=False)
+        for c in [*packed, *(c for c in rows.column_names if c != PACKED)]:
+            x = matrix[:, packed.index(c)] if c in packed else rows[c].combine_chunks().drop_null().to_numpy(zero_copy_only=False)
             x = np.sort(x[~np.isnan(x)])
             first = np.flatnonzero(np.r_[True, x[1:] != x[:-1]][: len(x)])
             own, stack = _sketch([(x[first], np.diff(np.r_[first, len(x)]), float(x[-1]) if len(x) else None, True)]), levels.setdefault(c, [])
@@ -188,8 +205,9 @@ def _sorted_edges(df: DataFrame, numeric: Sequence[str], codes: Sequence[str], b
     columns and keeps a mergeable sketch of each.  Exact where a column has at
     most ``POINTS`` distinct values; each merge beyond that moves a rank by
     1 / (2 * ``POINTS``) of the rows at most."""
-    columns = [*numeric, *codes]
-    parts = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).mapInArrow(_sketch_partition, SKETCH)
+    columns, packed = [*numeric, *codes], list(numeric) if PACKED in df.columns else []
+    own = [F.col(c).cast("double").alias(c) for c in (codes if packed else columns)]
+    parts = df.select(*([PACKED] if packed else []), *own).mapInArrow(lambda batches: _sketch_partition(batches, packed), SKETCH)
     merged = parts.groupBy("column", "part").applyInArrow(_sketch_merge, SKETCH).groupBy("column").applyInArrow(_sketch_merge, SKETCH)
 
     def edges_of(t: pa.Table) -> pa.Table:
@@ -207,19 +225,23 @@ def _sorted_edges(df: DataFrame, numeric: Sequence[str], codes: Sequence[str], b
 
 def quantile_bins(df: DataFrame, numeric: Sequence[str], codes: Sequence[str] = (), bins: int = MISSING) -> Bins:
     """Bin edges of all columns, by Spark's sketch for up to ``SKETCH_ROWS`` rows, else by
-    sorted runs.  ``codes`` are 0-based category codes; one with more levels
+    sorted runs; a packed frame holds ``numeric`` in its array.  ``codes`` are 0-based category codes; one with more levels
     than bins is binned like a number."""
-    how = _edges if df.count() <= SKETCH_ROWS else _sorted_edges
-    edges, tops = how(df, numeric, codes, bins)
+    if df.count() > SKETCH_ROWS:
+        edges, tops = _sorted_edges(df, numeric, codes, bins)
+    else:
+        plain = df.select(*[F.col(PACKED)[i].alias(c) for i, c in enumerate(numeric)], *codes) if PACKED in df.columns else df
+        edges, tops = _edges(plain, numeric, codes, bins)
     levels = {c: int(top) + 1 for c, top in tops.items() if top < bins}
     return Bins((*numeric, *codes), {c: e for c, e in edges.items() if c not in levels}, levels)
 
 
-def write_chunks(df: DataFrame, bins: Bins, keep: Sequence[str], label: str | None, weight: str | None, folds: Sequence[str] = ()) -> DataFrame:
+def write_chunks(df: DataFrame, bins: Bins, keep: Sequence[str], label: str | None, weight: str | None, folds: Sequence[str] = (), packed: Sequence[str] = ()) -> DataFrame:
     """Binned rows of ``df`` (with a column ``fit``) as chunks, written and read
     back: fit, chunk, n, bins, label, weight, folds and the ``keep`` columns as arrays.
+    ``packed`` names the columns of a packed frame's array.
     Rows are binned where they lie; a byte for each column and fold mask is shuffled."""
-    spark = df.sparkSession
+    spark, place = df.sparkSession, {c: i for i, c in enumerate(packed)}
     parts, width = max(spark.sparkContext.defaultParallelism, 1), len(bins.columns)
     kinds = dict(df.select(*keep).dtypes)
     schema = "fit int, chunk long, n int, bins binary, label array<double>, weight array<double>, folds binary, " + ", ".join(f"`{c}` array<{kinds[c]}>" for c in keep)
@@ -236,8 +258,9 @@ def write_chunks(df: DataFrame, bins: Bins, keep: Sequence[str], label: str | No
                 return of(c).cast(pa.float64()).to_numpy(zero_copy_only=False)
 
             matrix = np.empty((n, width), np.uint8)
+            rows = _matrix(b, len(place)) if place else None
             for i, c in enumerate(bins.columns):
-                matrix[:, i] = bins.of(c, floats(c))
+                matrix[:, i] = bins.of(c, rows[:, place[c]] if c in place else floats(c))
             masks = np.zeros(n, np.int32)
             for i, c in enumerate(folds):
                 masks |= of(c).fill_null(False).to_numpy(zero_copy_only=False).astype(np.int32) << i
@@ -275,7 +298,7 @@ def write_chunks(df: DataFrame, bins: Bins, keep: Sequence[str], label: str | No
                 yield chunk(fit, number, own)
                 number += 1
 
-    columns = list(dict.fromkeys([*keep, *(c for c in (label, weight) if c), *folds, *bins.columns]))
+    columns = list(dict.fromkeys([*keep, *(c for c in (label, weight) if c), *folds, *([PACKED] if place else []), *(c for c in bins.columns if c not in place)]))
     rows = df.select(F.col("fit").cast("int").alias("_fit"), *columns).mapInArrow(binned, rows_schema).repartition(parts, *keep)
     path = scratch_path(spark, "chunks")
     rows.mapInArrow(run, schema).write.parquet(path)

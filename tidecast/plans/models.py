@@ -53,6 +53,13 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """Materialise as a table of the shared folder, of which later steps read single columns."""
+    path = scratch_path(df.sparkSession, "fit-rows")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _spread(df: DataFrame) -> DataFrame:
     """Dealt over all cores where a materialised frame has fewer partitions:
     sketches of many columns cost far more than the bytes that AQE goes by."""
@@ -114,16 +121,15 @@ def fit_boosted(features: DataFrame, version: int, **overrides) -> Boosted:
     settings = replace(BOOSTER, **overrides)
     cols, cats = feature_columns(version), CATEGORICAL[version]
     frame = training_frame(features).withColumnRenamed("horizon", "fit")
-    # The feature plan runs once: codes, bins and chunks read this.
-    df = _spread(_checkpoint(frame.select("fit", *dict.fromkeys([*KEY, LABEL, "weight", *cols]))))
+    numeric = [c for c in cols if c not in cats]
+    # The feature plan runs once: codes, bins and chunks read this table, each only the columns that it needs.
+    df = _spread(_written(frame.select("fit", *dict.fromkeys([*KEY, LABEL, "weight", *cats]), B.pack(numeric))))
     for c, codes in code_tables(df, cats).items():
         df = df.join(codes.withColumnRenamed("code", f"code_{c}"), df[c].eqNullSafe(codes["value"]), "left").drop("value")
-    numeric = [c for c in cols if c not in cats]
-    df = df.withColumns({c: F.col(c).cast("double") for c in numeric})
     train = holdout_folds(df.where(F.col(LABEL).isNotNull()), N_FOLDS)
     bins = B.quantile_bins(train, numeric, [f"code_{c}" for c in cats])
-    chunks = B.write_chunks(train, bins, KEY, LABEL, "weight", FOLDS)
-    test = B.write_chunks(df.where(F.col(LABEL).isNull()), bins, KEY, None, None)
+    chunks = B.write_chunks(train, bins, KEY, LABEL, "weight", FOLDS, packed=numeric)
+    test = B.write_chunks(df.where(F.col(LABEL).isNull()), bins, KEY, None, None, packed=numeric)
     return Boosted(version, bins, B.fit_boosters(chunks, N_FOLDS, bins, settings), chunks, test)
 
 
