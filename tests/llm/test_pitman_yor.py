@@ -247,3 +247,56 @@ def test_pairs_are_divided_once(spark):
     b = py.Block(batch, 0)
     assert (b.context * len(b.word) + b.w == b.pair).all() and (b.w < len(b.word)).all()
     assert (b.u == np.where(b.context == len(b.word) - 1, py.START, b.word[b.context])).all()
+
+
+def test_few_dishes_are_seated_as_many(monkeypatch):
+    """Steps of few dishes, seated one by one, draw the same numbers and give the same tables as numpy's."""
+    def seated(few, spread):
+        monkeypatch.setattr(py, "FEW", few)
+        rng = np.random.default_rng(5)
+        c, rest = rng.zipf(1.5, 400).clip(2, 300), rng.integers(0, 30, 400)
+        s = py.Seating(c, rest, np.full(400, 0.02), np.full(30, spread), np.arange(30), 0.6, 1.0, 8, 3.0)
+        return [s.at.copy(), s.size.copy(), *s.sweep(), *s.sweep(), s.at, s.size]
+
+    for spread in (1.0, 4.0):
+        want = seated(0, spread)
+        for few in (8, 64, 10**6):
+            assert all((x == y).all() for x, y in zip(want, seated(few, spread)))
+
+
+def test_vocabulary_goes_in_parts(spark, monkeypatch):
+    """A block sends its words packed, once to each part; counts and answers are those of the whole."""
+    texts = [(i, " ".join(f"w{(i * 7 + j * j) % 90}" for j in range(20))) for i in range(60)] + [(60, None), (61, "new old")]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(2)
+    monkeypatch.setattr(py, "BLOCK_BYTES", 400)
+    blocks = py.written(py.encode(df, "doc_id", "text", fold()))
+    plain = Counter(w for i, t in texts if not in_fold(i) for w in tokens(t))
+    hash_of = lambda w: py.END if w is None else py.xxhash.xxh64_intdigest(w.encode(), py.SEED) - (1 << 63)
+    assert {r.w: r.c for r in py.word_counts(blocks, 5).collect()} == {hash_of(w): c for w, c in plain.items()}
+    held = {r.block: r.word for r in blocks.collect()}
+    sent = py.vocabulary(blocks, 5, False).collect()
+    assert len(held) > 2 and len({(r.block, r.bucket) for r in sent}) == len(sent) <= 5 * len(held)
+    for block, words in held.items():
+        own = [(r.bucket, w) for r in sent if r.block == block for w in py._unpack("words", r.words).tolist()]
+        assert sorted(w for _, w in own) == sorted(words) and all(w % 5 == k for k, w in own)
+    monkeypatch.setattr(py, "PART", 100)
+    want = base_scores(texts, in_fold)
+    for r in py.score(df, fold()).collect():
+        n, known, total, base = want[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total) and r.base_score == pytest.approx(base, rel=1e-9)
+
+
+def test_requests_of_many_buckets(spark):
+    """Many buckets or few, a block asks for the same pairs."""
+    df = spark.createDataFrame([(i, " ".join(f"w{(i * 31 + j * j * 7) % 900}" for j in range(40))) for i in range(60)], "doc_id long, text string").coalesce(1)
+    blocks = py.written(py.encode(df, "doc_id", "text", fold()))
+
+    def asked(buckets):
+        pairs = []
+        for r in py.requests(blocks, buckets, spark.sparkContext.broadcast(np.zeros(0, np.int64))).collect():
+            n, words, w, c = (py._unpack(k, r[k]) for k in ("n", "words", "w", "c"))
+            assert (words[1:] > words[:-1]).all() and len(r.u) == len(n) and set(w.tolist()) == set(range(len(words)))
+            pairs += zip(np.repeat(r.u, n).tolist(), words[w].tolist(), c.tolist())
+        return sorted(pairs)
+
+    assert asked(2) == asked(700)

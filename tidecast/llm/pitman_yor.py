@@ -40,6 +40,8 @@ table gives an empty result; other columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +57,12 @@ from tidecast.llm.common import written as kept
 
 #: Bytes of text in a block; tokens of a bucket; tokens from which a context is dealt over the buckets.
 BLOCK_BYTES, BUCKET, ROOM = 10 << 20, 1_250_000, 1_000_000
+#: Tokens for each part of the vocabulary.
+PART = 2_500_000
 #: Customers of a dish that are seated one by one.
 SEATS = 1024
+#: Dishes of a step that are seated without numpy.
+FEW = 64
 #: Sweeps before the kept ones, and kept ones.
 BURN, SAMPLES = 1, 2
 STRENGTH = 1.0
@@ -65,6 +71,9 @@ SEED = 20
 END = xxhash.xxh64_intdigest(b" end", SEED) - (1 << 63)
 START = xxhash.xxh64_intdigest(b" start", SEED) - (1 << 63)
 ENCODED = "block long, tokens long, doc_id array<long>, held array<boolean>, size binary, token binary, word array<long>"
+#: A block's words in a part of the vocabulary, in order of their hashes.
+WORDS = "block long, bucket int, words binary, c binary"
+#: Answers to a block: of a part of the vocabulary (bucket -1 - part, ``at`` places among the words asked for), of a bucket (a).
 TOLD = "block long, bucket int, at binary, c binary, v binary, a binary"
 #: ``words`` holds distinct hashes in order, ``w`` places in it; a context's pairs lie together, ``n`` of them, in order of w.
 ASKED = "block long, bucket int, u array<long>, n binary, room array<boolean>, words binary, w binary, c binary"
@@ -110,6 +119,12 @@ def _remove(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@cache
+def _codec():
+    """A worker's (de)compressor: making one takes longer than packing a short column."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _pack(name: str, x) -> bytes:
     kind = np.dtype(PACKED[name])
     if name in ASCENDING and len(x):
@@ -118,12 +133,12 @@ def _pack(name: str, x) -> bytes:
     if kind.kind == "f":
         x = ((x.view(np.uint32) + (LOW_BITS + 1) // 2) & ~LOW_BITS).view(kind)
     planes = np.ascontiguousarray(x.view(np.uint8).reshape(-1, kind.itemsize).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes)
+    return _codec()[0].compress(planes)
 
 
 def _unpack(name: str, raw) -> np.ndarray:
     kind = np.dtype(PACKED[name])
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    planes = np.frombuffer(_codec()[1].decompress(raw), np.uint8)
     out = np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).ravel()
     return np.cumsum(out) if name in ASCENDING else out
 
@@ -156,7 +171,8 @@ def encode(docs: DataFrame, doc_id: str, text: str, held: Column) -> DataFrame:
         order = np.argsort(-np.bincount(local, minlength=len(names)), kind="stable")  # frequent words get small numbers
         rank = np.empty(len(names), np.int32)
         rank[order] = np.arange(len(names))
-        hashes = np.array([xxhash.xxh64_intdigest(w, SEED) - (1 << 63) for w in names.take(order).to_pylist()] + [END], np.int64)
+        digest = np.fromiter(map(xxhash.xxh64_intdigest, names.take(order).to_numpy(zero_copy_only=False), repeat(SEED)), np.uint64, len(names))
+        hashes = np.r_[(digest ^ np.uint64(1 << 63)).view(np.int64), END]  # less 1 << 63, as END
         token = np.full(int(size.sum()), len(hashes) - 1, np.int32)
         inner = np.ones(len(token), bool)
         inner[np.cumsum(size) - 1] = False
@@ -223,17 +239,46 @@ class Block:
         return ((key >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64), room
 
 
-def word_counts(blocks: DataFrame) -> DataFrame:
-    """(w, c): training count of every word, the end token among them."""
+def word_places(word: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a block's words by part of the vocabulary (hash mod ``parts``)
+    and in order of their hashes; where each part begins, and the end."""
+    by_hash = np.argsort(word)
+    part = np.mod(word[by_hash], parts)
+    order = by_hash[np.argsort(part.astype(np.uint16) if parts < 1 << 16 else part, kind="stable")]
+    return order, np.r_[0, np.cumsum(np.bincount(part, minlength=parts))]
+
+
+def vocabulary(blocks: DataFrame, parts: int, counted: bool) -> DataFrame:
+    """The words of every block by part of the vocabulary (:data:`WORDS`); if
+    ``counted`` those that training rows hold, with their training counts."""
     def run(batches):
         for b in batches:
             for r in range(b.num_rows):
-                size, token, word, held = _lists(b, r, "size", "token", "word", "held")
-                c = np.bincount(token[np.repeat(~held.astype(bool), size)], minlength=len(word))
-                seen = np.flatnonzero(c)
-                yield pa.RecordBatch.from_arrays([pa.array(word[seen]), pa.array(c[seen])], ["w", "c"])
+                word, c = _lists(b, r, "word")[0], None
+                order, edges = word_places(word, parts)
+                if counted:
+                    size, token, held = _lists(b, r, "size", "token", "held")
+                    c = np.bincount(token[np.repeat(~held.astype(bool), size)], minlength=len(word))
+                block = b.column(b.schema.get_field_index("block"))[r].as_py()
+                for k in np.flatnonzero(np.diff(edges)).tolist():
+                    at = order[edges[k]: edges[k + 1]]
+                    at = at[c[at] > 0] if counted else at
+                    if len(at):
+                        yield _row(WORDS, block=block, bucket=k, words=word[at], c=c[at] if counted else [])
+
+    return blocks.mapInArrow(run, WORDS)
+
+
+def word_counts(blocks: DataFrame, parts: int) -> DataFrame:
+    """(w, c): training count of every word, the end token among them."""
+    def run(t: pa.Table) -> pa.Table:
+        several = [_lists(b, r, "words", "c") for b in t.to_batches() for r in range(b.num_rows)]
+        w, c = (np.concatenate(x) for x in zip(*several))
+        order = np.argsort(w)
+        w, first = w[order], _runs(w[order])
+        return pa.table({"w": w[first], "c": np.add.reduceat(c[order], first)})
 
-    return blocks.mapInArrow(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
+    return vocabulary(blocks, parts, True).groupBy("bucket").applyInArrow(run, "w long, c long")
 
 
 def requests(blocks: DataFrame, buckets: int, hot) -> DataFrame:
@@ -252,11 +297,15 @@ def requests(blocks: DataFrame, buckets: int, hot) -> DataFrame:
                 for k in np.flatnonzero(np.diff(edges)).tolist():
                     at = order[edges[k]: edges[k + 1]]
                     u, first, w = b.u[at], _runs(b.context[at]), rank[b.w[at]]
-                    held[w] = True
-                    own = np.flatnonzero(held)
-                    held[own] = False
-                    place[own] = np.arange(len(own))
-                    yield _row(ASKED, block=batch.column(0)[r].as_py(), bucket=k, u=u[first], n=np.diff(np.r_[first, len(u)]), room=room[at][first], words=words[own], w=place[w], c=b.count[at])
+                    if 16 * len(at) < len(words):  # with many buckets, a pass over the block's words for each would be the most work
+                        own, w = np.unique(w, return_inverse=True)
+                    else:
+                        held[w] = True
+                        own = np.flatnonzero(held)
+                        held[own] = False
+                        place[own] = np.arange(len(own))
+                        w = place[w]
+                    yield _row(ASKED, block=batch.column(0)[r].as_py(), bucket=k, u=u[first], n=np.diff(np.r_[first, len(u)]), room=room[at][first], words=words[own], w=w, c=b.count[at])
 
     return blocks.mapInArrow(run, ASKED)
 
@@ -266,6 +315,19 @@ def _runs(x: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, x[1:] != x[:-1]][: len(x)])
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """Distinct numbers in order; sorting them is faster than numpy's hashing."""
+    x = np.sort(x)
+    return x[_runs(x)]
+
+
+def _used(x: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of 0 .. n - 1 occur in ``x``, and the place of each of x's numbers among them."""
+    held = np.zeros(n, bool)
+    held[x] = True
+    return np.flatnonzero(held), np.cumsum(held)[x] - 1
+
+
 def _merge(t: pa.Table) -> pa.Table:
     """Dishes of a bucket that training rows hold, by context and word, and for
     every pair that a block asked for the place of its dish, or -1."""
@@ -280,7 +342,7 @@ def _merge(t: pa.Table) -> pa.Table:
     context, which = np.unique(np.concatenate(us), return_inverse=True)
     hot = np.zeros(len(context), bool)
     hot[which] = np.concatenate(rooms)
-    word = np.unique(np.concatenate(words))
+    word = _distinct(np.concatenate(words))
     code = np.repeat(which, np.concatenate(ns)) * len(word) + np.concatenate([np.searchsorted(word, x)[w] for x, w in zip(words, ws)])
     order = np.argsort(code)
     code, first = code[order], _runs(code[order])
@@ -289,7 +351,8 @@ def _merge(t: pa.Table) -> pa.Table:
     place = np.empty(len(order), np.int64)
     place[order] = np.repeat(np.where(trained, np.cumsum(trained) - 1, -1), np.diff(np.r_[first, len(order)]))
     code, c = code[first][trained], c[trained]
-    u, (served, w) = code // len(word), np.unique(code % len(word), return_inverse=True)
+    u = code // max(len(word), 1)
+    served, w = _used(code - u * len(word), len(word))
     at = _runs(u)
     return pa.Table.from_batches([_row(
         MERGED, bucket=t["bucket"][0].as_py(), u=context[u[at]], n=np.diff(np.r_[at, len(u)]), room=hot[u[at]], words=word[served], w=w, c=c,
@@ -303,7 +366,7 @@ def _shared(dealt: bool):
         for batch in batches:
             for r in range(batch.num_rows):
                 n, room, word, w, c = _lists(batch, r, "n", "room", "words", "w", "c")
-                w = word[np.unique(w[(c > 1) & np.repeat(room.astype(bool), n) if dealt else c > 1])]
+                w = word[_used(w[(c > 1) & np.repeat(room.astype(bool), n) if dealt else c > 1], len(word))[0]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), batch.column(0)[r].as_py()), pa.int32()), pa.array(w)], ["bucket", "w"])
 
     return run
@@ -370,9 +433,14 @@ class Seating:
                 left -= 1
                 size[table] = left
                 gone = (left == 0).nonzero()[0]
-                t[gone] -= 1
-                where = rest.take(gone)
-                np.subtract.at(load, where, 1.0 if single else self.spread[where])
+                if len(gone) > FEW // 4:
+                    t[gone] -= 1
+                    where = rest.take(gone)
+                    np.subtract.at(load, where, 1.0 if single else self.spread[where])
+                else:
+                    for i in gone.tolist():
+                        t[i] -= 1
+                        load[r := rest.item(i)] -= 1.0 if single else self.spread.item(r)
             random(out=drawn)
             if first and j == 0:
                 opened = np.arange(live)
@@ -390,7 +458,7 @@ class Seating:
                 if not first and live > lives[1]:
                     new |= others == 0
                 opened, pick = new.nonzero()[0], np.logical_not(new, out=new).nonzero()[0]
-                while len(pick):  # a random other customer's table, with its share of (size - d)
+                while len(pick) > FEW:  # a random other customer's table, with its share of (size - d)
                     k = (random(len(pick)) * (others if first else others.take(pick))).astype(np.int64)
                     if not first:
                         k += k >= j
@@ -402,7 +470,20 @@ class Seating:
                     at[place.take(chosen)] = own
                     size[own] += 1
                     pick = pick[np.logical_not(sit, out=sit)]
-            if len(opened):
+                self._sit(pick, j, first)
+            if len(opened) <= FEW // 2:
+                for i in opened.tolist():
+                    begin = off.item(i)
+                    to = own = begin + j
+                    if not first:
+                        free = c.item(i)
+                        while size.item(own) > 0:  # the next number without a table
+                            own = begin + (own + 1 - begin) % free
+                    at[to] = own
+                    size[own] = 1
+                    t[i] += 1
+                    load[r := rest.item(i)] += 1.0 if single else self.spread.item(r)
+            else:
                 to = place.take(opened)
                 own = to.copy()
                 if not first:
@@ -418,6 +499,27 @@ class Seating:
                 np.add.at(load, where, 1.0 if single else self.spread[where])
         self.total = self.singles + np.bincount(self.rest, t, len(self.singles))
 
+    def _sit(self, pick: np.ndarray, j: int, first: bool) -> None:
+        """The j-th customers of a few dishes join tables, as above, one by one: numpy's calls would take longer than the work."""
+        at, size, d = self.at, self.size, self.d
+        dishes = list(zip(self.off.take(pick).tolist(), [j] * len(pick) if first else (self.c.take(pick) - 1).tolist()))
+        while dishes:
+            random = self.rng.random(2 * len(dishes)).tolist()
+            left = []
+            for dish, x, y in zip(dishes, random, random[len(dishes):]):
+                begin, others = dish
+                k = int(x * others)
+                if not first and k >= j:
+                    k += 1
+                own = at.item(begin + k)
+                n = size.item(own)
+                if y * n < n - d:
+                    at[begin + j] = own
+                    size[own] = n + 1
+                else:
+                    left.append(dish)
+            dishes = left
+
     def tables(self) -> np.ndarray:
         """Tables of each dish."""
         return np.bincount(self.dish, self.t, len(self.parts)).astype(np.int64)
@@ -516,7 +618,7 @@ def _seat_parent(discount: float, strength: float, base: float, samples: int, ro
             spread = np.array([float(rooms) if outside is None else 1.0])
             seating = Seating(k[shared, s], np.zeros(len(shared), np.int64), np.full(len(shared), base), spread, np.array([n - len(shared)]), discount, strength, SEED + s, others[s])
             out[shared, s] = seating.sweep()[0]
-        return pa.table({"room": t["room"], "w": t["w"], "c": t["c"], "k": t["k"], "t": pa.array(out.tolist(), pa.list_(pa.int64()))})
+        return pa.table({"room": t["room"], "w": t["w"], "c": t["c"], "k": t["k"], "t": pa.ListArray.from_arrays(np.arange(0, n * samples + 1, samples, np.int32), out.ravel())})
 
     return run
 
@@ -535,14 +637,15 @@ class Model:
     def __init__(self, blocks: DataFrame, strength: float = STRENGTH, burn: int = BURN, samples: int = SAMPLES):
         spark = blocks.sparkSession
         self.blocks, self.samples = blocks, samples
-        counts = written(word_counts(blocks))
+        tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
+        self.buckets, self.parts = (int(max(1, -(-tokens // size))) for size in (BUCKET, PART))
+        counts = written(word_counts(blocks, self.parts))
         self.tokens, self.known = (x or 0 for x in counts.agg(F.sum("c"), F.count("w")).first())
         texts = counts.where(F.col("w") == END).select(F.sum("c")).first()[0] or 0
         large = counts.where((F.col("c") > ROOM) & (F.col("w") != END)).collect()  # at most tokens / ROOM
         pairs = sorted([(r.w, r.c) for r in large] + ([(START, texts)] if texts > ROOM else []))
         hot = spark.sparkContext.broadcast((np.array([x for x, _ in pairs], np.int64), np.array([x for _, x in pairs], np.int64)))
         self.hot = spark.sparkContext.broadcast(hot.value[0])
-        self.buckets = int(max(1, -(-(blocks.agg(F.sum("tokens")).first()[0] or 0) // BUCKET)))
 
         asked = requests(blocks, self.buckets, self.hot).repartition(self.buckets, "bucket")
         merged = written(asked.groupBy("bucket").applyInArrow(_merge, MERGED))
@@ -599,29 +702,29 @@ class Model:
             _remove(table)
 
 
-def _by_block(batches):
-    """Rows (block, at, c, v) of a partition's words, packed by block; bucket -1."""
-    held: dict[int, list] = {}
-    for b in batches:
-        block = b.column(0).to_numpy()
-        order = np.argsort(block, kind="stable")
-        edges = np.r_[_runs(block[order]), len(block)]
-        v = b.column(3).flatten().to_numpy().reshape(len(block), -1) if len(block) else np.zeros((0, 1))
-        for i, j in zip(edges[:-1], edges[1:]):
-            at = order[i:j]
-            held.setdefault(int(block[at[0]]), []).append((b.column(1).to_numpy()[at], b.column(2).to_numpy()[at], v[at]))
-    for block, parts in held.items():
-        at, c, v = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(at)  # by frequency: neighbours have like values
-        at, c, v = at[order], c[order], v[order]
-        yield _row(TOLD, block=block, bucket=-1, at=at, c=c, v=v.ravel(), a=[])
+def _look_up(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Words of blocks and the lexicon of their part of the vocabulary -> answers."""
+    w = right["w"].to_numpy()
+    order = np.argsort(w)
+    w, c, v = w[order], right["c"].to_numpy(), right["v"].combine_chunks().flatten().to_numpy().reshape(len(w), -1) if len(w) else np.zeros((0, 1))
+    rows = [_row(TOLD)]
+    for batch in left.to_batches():
+        for r in range(batch.num_rows):
+            words = _lists(batch, r, "words")[0]
+            place = np.searchsorted(w, words)
+            at = np.flatnonzero(w.take(place, mode="clip") == words) if len(w) else []
+            if not len(at):
+                continue
+            own = order[place[at]]
+            rows.append(_row(TOLD, block=batch.column(0)[r].as_py(), bucket=-1 - batch.column(1)[r].as_py(), at=at, c=c[own], v=v[own].ravel(), a=[]))
+    return pa.Table.from_batches(rows)
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def _score(model: Model):
-    buckets, hot, samples, tokens, known, unknown = model.buckets, model.hot, model.samples, model.tokens, model.known, model.unknown
+    buckets, parts, hot, samples, tokens, known, unknown = model.buckets, model.parts, model.hot, model.samples, model.tokens, model.known, model.unknown
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -632,6 +735,7 @@ def _score(model: Model):
         bucket, _ = b.buckets(buckets, hot.value)
         order = np.argsort(bucket.astype(np.uint16) if buckets < 1 << 16 else bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        words, begin = word_places(b.word, parts)
         seen = np.zeros(len(b.pair))
         c, p, back = np.zeros(len(b.word), np.int64), np.tile(unknown, (len(b.word), 1)), np.ones((len(b.word), samples))
         for told in right.to_batches():
@@ -641,6 +745,7 @@ def _score(model: Model):
                     seen[order[edges[k]: edges[k + 1]]] = _lists(told, r, "a")[0]
                     continue
                 at, counts, values = _lists(told, r, "at", "c", "v")
+                at = words[begin[-1 - k]: begin[-k]][at]
                 c[at] = counts
                 p[at], back[at] = np.split(values.reshape(len(at), -1), 2, axis=1)
         mixed = np.zeros(len(b.pair))
@@ -660,11 +765,6 @@ def _score(model: Model):
     return run
 
 
-def vocabulary(blocks: DataFrame) -> DataFrame:
-    """(block, at, w): the words of every block; the last is the end token."""
-    return blocks.select("block", F.posexplode("word").alias("at", "w"))
-
-
 def score(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score (smoothed shares of single words), score (log10
@@ -674,7 +774,8 @@ def score(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "te
     model = Model(blocks, **settings)
     none = F.lit(None).cast("binary")
     pairs = model.seated.where("block is not null").select("block", "bucket", none.alias("at"), none.alias("c"), none.alias("v"), "a")
-    own = written(vocabulary(blocks).join(model.lexicon, "w").select("block", "at", "c", "v").mapInArrow(_by_block, TOLD))
+    lexicon = model.lexicon.withColumn("bucket", F.pmod("w", F.lit(model.parts)).cast("int"))
+    own = written(vocabulary(blocks, model.parts, False).groupBy("bucket").cogroup(lexicon.groupBy("bucket")).applyInArrow(_look_up, TOLD))
     told = pairs.unionByName(own)
     rows = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_score(model), SCORED)
     return rows.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
