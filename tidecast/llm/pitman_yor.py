@@ -22,7 +22,9 @@ averaged over the kept seatings.  Discounts come from counts of counts, n1 /
 How it is spread: texts are encoded once as blocks of about ``BLOCK_BYTES``
 (local token numbers and the hashes of their words), written to the shared
 folder.  A block sends each pair once to the bucket of its context, with its
-training count; all counts grow with the input and live in Spark tables.  A context of
+training count; all counts grow with the input and live in Spark tables.  Its
+words go once to each part of the vocabulary (hash mod ``parts``) to be counted
+and again to be looked up in the finished lexicon.  A context of
 over ``ROOM`` tokens is dealt over the buckets by the word, the parent over
 rooms.  These are seated twice: once by themselves, and again with the
 tables that the first seating counted in all other places.  A dish of m times
